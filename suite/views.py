@@ -287,18 +287,12 @@ NOW = "(SELECT t FROM now_)"
 
 def sql(body: str, recursive: bool = False) -> str:
     """The body with exactly the common table expressions it uses."""
-    wanted: list[str] = []
-    names = list(CTES)
-
-    def need(text_: str) -> None:
-        for n in names:
-            if n not in wanted and re.search(rf"\b{n}\b", text_):
-                need(CTES[n])
-                if n not in wanted:
-                    wanted.append(n)
-
-    need(body)
-    head = ",\n".join(f"{n} AS ({CTES[n]})" for n in names if n in wanted)
+    wanted, seen = [], [body]
+    for n in reversed(list(CTES)):
+        if any(re.search(rf"\b{n}\b", part) for part in seen):
+            wanted.insert(0, n)
+            seen.append(CTES[n])
+    head = ",\n".join(f"{n} AS ({CTES[n]})" for n in wanted)
     body = body.strip()
     if not head:
         return body

@@ -174,7 +174,9 @@ def chunk_job_batches(docs: DataFrame, batch_size: int = 100) -> DataFrame:
         F.col("seq").alias("seq"),
         F.struct("id", "source_id", "source_kind", "content_type", "content", "metadata", "created_at", "updated_at").alias("item"),
     )
-    grouped = placed.groupBy("source_id", "source_kind", "batch").agg(F.sort_array(F.collect_list(item)).alias("_rows"))
+    grouped = placed.groupBy("source_id", "source_kind", "batch").agg(
+        F.array_sort(F.collect_list(item), lambda a, b: F.signum(a["seq"] - b["seq"]).cast("int")).alias("_rows")
+    )
     return grouped.select(
         "source_id", "source_kind", "batch", F.transform("_rows", lambda r: r["item"]).alias("items"),
         F.size("_rows").alias("item_count"),
@@ -197,23 +199,26 @@ def callback_summary(callbacks: DataFrame) -> DataFrame:
     )
 
 
-def retention_report(bodies: DataFrame, chunks: DataFrame, vectors: DataFrame, as_of: Column, tenant: str | None = None) -> DataFrame:
-    """Expired bodies, stale and orphaned chunks, and rows a retired tenant would lose."""
-    from tributary.operators.joins import missing_vector_chunks, stale_pending
+def retention_report(bodies: DataFrame, chunks: DataFrame, vectors: DataFrame, as_of: Column, tenant: object | None = None) -> DataFrame:
+    """Expired bodies, stale and orphaned chunks, and the rows a retired tenant would lose.
 
+    One pass over the bodies and one over the chunks, which look up their vector node on the way.
+    """
+    stale = (F.col("embedding_state") == "pending") & (F.col("created_at") < as_of - F.make_dt_interval(hours=F.lit(24)))
+    nodes = vectors.select(F.col("node_id").alias("_node")).distinct()
+    marked = chunks.join(nodes, F.col("neo4j_id") == F.col("_node"), "left")
+    of_tenant = F.col("tenant_id") == tenant if tenant is not None else F.lit(False)
+    c = marked.agg(
+        F.count(F.lit(1)).alias("chunks"), F.count_if(of_tenant).alias("tenant_chunks"),
+        F.count_if(stale).alias("stale_pending"), F.count_if(stale & F.col("_node").isNull()).alias("orphaned_chunks"),
+    )
     b = bodies.agg(F.count_if(F.col("purge_at") <= as_of).alias("expired_bodies"))
-    c = chunks.agg(
-        F.count(F.lit(1)).alias("chunks"),
-        F.count_if(F.col("tenant_id") == tenant if tenant is not None else F.lit(False)).alias("tenant_chunks"),
-    )
-    s = stale_pending(chunks, as_of).agg(F.count(F.lit(1)).alias("stale_pending"))
-    o = missing_vector_chunks(chunks, vectors, as_of).agg(F.count(F.lit(1)).alias("orphaned_chunks"))
-    # four one-row aggregates side by side
-    parts = [f.select(F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).alias("value")) for n in f.columns])).alias("m")).select("m.*") for f in (b, c, s, o)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _as_metrics(b).unionByName(_as_metrics(c))
+
+
+def _as_metrics(one_row: DataFrame) -> DataFrame:
+    pairs = [F.struct(F.lit(n).alias("metric"), F.col(n).alias("value")) for n in one_row.columns]
+    return one_row.select(F.explode(F.array(*pairs)).alias("m")).select("m.*")
 
 
 def removal_counts(files: DataFrame, chunks: DataFrame, removed: DataFrame) -> DataFrame:

@@ -42,6 +42,19 @@ def _fold_rows(fold: Fold, state: Any, micros: list[int]) -> tuple[Any, list[tup
     return state, out
 
 
+def _refold(fold: Fold, names: list[str], arriving: dict[int, str]):
+    """Folds the first segment of a slice again, from the state it arrives with."""
+
+    def again(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["_us", "_seq"], ignore_index=True)
+        state, out = _fold_rows(fold, json.loads(arriving[int(key[0])]), pdf["_us"].tolist())
+        pdf[names] = pd.DataFrame(out, columns=names, index=pdf.index)
+        pdf["_state"] = [None] * (len(pdf) - 1) + [json.dumps(state)]
+        return pdf
+
+    return again
+
+
 def sequential_fold(df: DataFrame, key: str, ts: str, seq: str, fold: Fold) -> DataFrame:
     """Add the fold's columns to every row of (key, ts, seq); ``seq`` is unique, ``ts`` a timestamp."""
     spark = df.sparkSession
@@ -117,15 +130,8 @@ def sequential_fold(df: DataFrame, key: str, ts: str, seq: str, fold: Fold) -> D
         if not wrong:
             break
 
-        def again(pdf: pd.DataFrame, arriving: dict[int, str] = wrong) -> pd.DataFrame:
-            pdf = pdf.sort_values(["_us", "_seq"], ignore_index=True)
-            state, out = _fold_rows(fold, json.loads(arriving[int(pdf["_slice"].iloc[0])]), pdf["_us"].tolist())
-            pdf[names] = pd.DataFrame(out, columns=names, index=pdf.index)
-            pdf["_state"] = [None] * (len(pdf) - 1) + [json.dumps(state)]
-            return pdf
-
         todo = base.where(F.col("_slice").isin(list(wrong)) & F.col("_first"))
-        fixed = materialize(todo.groupBy("_slice").applyInPandas(again, schema), "fold")
+        fixed = materialize(todo.groupBy("_slice").applyInPandas(_refold(fold, names, wrong), schema), "fold")
         for r in fixed.where("_state is not null").select("_slice", "_state").collect():
             if r["_slice"] in single:
                 tail_state[r["_slice"]] = r["_state"]

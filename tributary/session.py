@@ -20,6 +20,7 @@ def local_session(cpus: int | str = "*", memory: str = "8g") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.streaming.metricsEnabled", "false")
         .getOrCreate()
     )
