@@ -69,11 +69,13 @@ def bloom_stats(spark, d):
 SQL_STEPS = "o AS (SELECT key, seq, epoch_us(ts) AS us, row_number() OVER (PARTITION BY key ORDER BY ts, seq) AS rn FROM requests)"
 
 
-@query("rotating_dedup", f"""WITH RECURSIVE {SQL_STEPS}, f(key, rn, seq, last, dup) AS (
+SQL_ROTATING = f"""WITH RECURSIVE {SQL_STEPS}, f(key, rn, seq, last, dup) AS (
     SELECT key, rn, seq, us // {DAY * 1000000}, false FROM o WHERE rn = 1 UNION ALL
     SELECT o.key, o.rn, o.seq, CASE WHEN o.us // {DAY * 1000000} - f.last < 3 THEN f.last ELSE o.us // {DAY * 1000000} END,
-      o.us // {DAY * 1000000} - f.last < 3 FROM f JOIN o ON o.key = f.key AND o.rn = f.rn + 1)
-  SELECT key, seq, dup AS is_duplicate FROM f""")
+      o.us // {DAY * 1000000} - f.last < 3 FROM f JOIN o ON o.key = f.key AND o.rn = f.rn + 1)"""
+
+
+@query("rotating_dedup", f"{SQL_ROTATING} SELECT key, seq, dup AS is_duplicate FROM f")
 def rotating_dedup(spark, d):
     return dedup.rotating_dedup(v.requests(spark, d), "key", "ts", "seq", DAY).drop("ts")
 

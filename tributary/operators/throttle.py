@@ -89,6 +89,26 @@ class ReuseWindow:
         return (micros, (False,)) if live is None else (live, (True,))
 
 
+@dataclass
+class Rotation:
+    """Duplicate if the key was added in the current or one of the last ``buckets - 1`` periods."""
+
+    period_seconds: int
+    buckets: int = 3
+    fields: list = field(default_factory=lambda: [T.StructField("is_duplicate", T.BooleanType())])
+
+    def start(self) -> int | None:
+        return None
+
+    def trim(self, state: int | None, micros: int) -> int | None:
+        now = micros // (self.period_seconds * SECOND)
+        return state if state is not None and now - state < self.buckets else None
+
+    def step(self, state: int | None, micros: int) -> tuple[int, tuple]:
+        live = self.trim(state, micros)
+        return (micros // (self.period_seconds * SECOND), (False,)) if live is None else (live, (True,))
+
+
 def throttle_sliding(events: DataFrame, key: str, ts: str, seq: str, limit: int = 100, window_seconds: float = 60.0) -> DataFrame:
     return sequential_fold(events, key, ts, seq, SlidingWindow(limit, window_seconds)).drop("retry_after")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -12,7 +13,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tributary.operators import changes as ch
 from tributary.operators.aggregates import dlq_candidates
-from tributary.operators.throttle import SlidingWindow
+from tributary.operators.folds import Fold
+from tributary.operators.throttle import Rotation, SlidingWindow
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -54,11 +56,6 @@ def stream_dedup(stream: DataFrame, key: str) -> DataFrame:
     return stream.dropDuplicates([key])
 
 
-def stream_dedup_expiring(stream: DataFrame, key: str, ts: str, expiry: str) -> DataFrame:
-    """Drop ids repeated within ``expiry`` of their first sight."""
-    return stream.withWatermark(ts, expiry).dropDuplicatesWithinWatermark([key])
-
-
 def stream_failure_burst(stream: DataFrame, window: str = "60 seconds", slide: str = "10 seconds", threshold: int = 5, lateness: str = "60 seconds") -> DataFrame:
     """Failures per destination and sliding window; windows at or above the threshold."""
     failures = stream.where(~F.col("ok")).withWatermark("ts", lateness)
@@ -69,42 +66,56 @@ def stream_failure_burst(stream: DataFrame, window: str = "60 seconds", slide: s
     )
 
 
-class _Throttle(StatefulProcessor):
-    """Keeps the timestamps of allowed events of one key."""
+class _KeyedFold(StatefulProcessor):
+    """One fold per key; its state survives between micro-batches, optionally with a time to live."""
 
-    def __init__(self, limit: int, window_seconds: float):
-        self.rule = SlidingWindow(limit, window_seconds)
+    def __init__(self, fold: Fold, ttl_ms: int | None):
+        self.fold, self.ttl_ms = fold, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.kept = handle.getListState("kept", T.StructType([T.StructField("us", T.LongType())]))
+        self.state = handle.getValueState("state", T.StructType([T.StructField("json", T.StringType())]), self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
-        state = [r[0] for r in self.kept.get()] if self.kept.exists() else []
+        state = json.loads(self.state.get()[0]) if self.state.exists() else self.fold.start()
         # a micro-batch is bounded by the source's trigger; its rows of one key are put in time order
         batch = pd.concat(list(rows)).sort_values(["us", "seq"], ignore_index=True)
-        allowed = []
+        verdicts = []
         for now in batch["us"].tolist():
-            state, (ok, _) = self.rule.step(state, now)
-            allowed.append(ok)
-        if state:
-            self.kept.put([(int(t),) for t in state])
-        yield pd.DataFrame({"key": key[0], "us": batch["us"], "seq": batch["seq"], "allowed": allowed})
+            state, verdict = self.fold.step(state, now)
+            verdicts.append(verdict)
+        self.state.update((json.dumps(state),))
+        out = pd.DataFrame(verdicts, columns=[f.name for f in self.fold.fields])
+        yield pd.concat([pd.DataFrame({"key": key[0], "us": batch["us"], "seq": batch["seq"]}), out], axis=1)
 
     def close(self) -> None:
         pass
 
 
-def stream_throttle(stream: DataFrame, key: str, ts: str, seq: str, limit: int = 100, window_seconds: float = 60.0) -> DataFrame:
-    """The sliding-window limit on a stream, one list state per key."""
+def stream_fold(stream: DataFrame, key: str, ts: str, seq: str, fold: Fold, ttl_ms: int | None = None) -> DataFrame:
+    """A sequential rule on a stream; ``ttl_ms`` drops the state of keys not seen for that long."""
     use_rocksdb(stream.sparkSession)
     rows = stream.select(F.col(key).alias("key"), F.unix_micros(ts).alias("us"), F.col(seq).alias("seq"))
-    kind = rows.schema["key"].dataType.simpleString()
+    schema = T.StructType(rows.schema.fields + fold.fields)
     return rows.groupBy("key").transformWithStateInPandas(
-        statefulProcessor=_Throttle(limit, window_seconds), outputStructType=f"key {kind}, us bigint, seq bigint, allowed boolean",
-        outputMode="append", timeMode="None",
+        statefulProcessor=_KeyedFold(fold, ttl_ms), outputStructType=schema, outputMode="append",
+        timeMode="None" if ttl_ms is None else "ProcessingTime",
     )
 
 
+def stream_throttle(
+    stream: DataFrame, key: str, ts: str, seq: str, limit: int = 100, window_seconds: float = 60.0, ttl_ms: int | None = None
+) -> DataFrame:
+    """The sliding-window limit on a stream."""
+    return stream_fold(stream, key, ts, seq, SlidingWindow(limit, window_seconds), ttl_ms).drop("retry_after")
+
+
+def stream_dedup_expiring(
+    stream: DataFrame, key: str, ts: str, seq: str, period_seconds: int, buckets: int = 3, ttl_ms: int | None = None
+) -> DataFrame:
+    """Drop ids added in the current or one of the last periods; a repeat does not renew the first sight."""
+    return stream_fold(stream, key, ts, seq, Rotation(period_seconds, buckets), ttl_ms).where("not is_duplicate").drop("is_duplicate")
+
+
 def stream_consume_dlq(stream: DataFrame, ok: Column, checkpoint: str, failures_path: str, done_path: str, error: Column) -> None:
     """Run a handler's verdict over messages; failures are appended with their attempt order, the rest is done.
 
