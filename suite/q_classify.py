@@ -8,7 +8,6 @@ from tributary.functions import classify as c
 from tributary.functions import tables as t
 from tributary.operators import aggregates as agg
 
-EXT = F.col("path")
 SQL_EXT = "CASE WHEN contains(path, '.') THEN lower(regexp_extract(path, '([^.]*)$', 1)) ELSE '' END"
 
 

@@ -13,7 +13,9 @@ from tributary.operators import aggregates as agg
 from tributary.operators import events as ev
 from tributary.operators import joins, throttle
 
-FIXED_NOW = F.lit(datetime.datetime(2024, 2, 1)).cast("timestamp_ntz")
+
+def fixed_now():
+    return F.lit(datetime.datetime(2024, 2, 1)).cast("timestamp_ntz")
 
 
 def docs(spark, d):
@@ -32,15 +34,16 @@ def content_hash(spark, d):
     return v.files(spark, d).select("id", k.content_hash(F.col("content")).alias("content_hash"))
 
 
-SIZE = F.octet_length("content").cast("long")
+def size_bytes():
+    return F.octet_length("content").cast("long")
 
 
 @query("route_by_size", """SELECT id, strlen(content) AS size_bytes, CASE WHEN strlen(content) <= 4096 THEN 'inline' ELSE 'reference' END AS route,
   'inline' AS route_without_store FROM files""")
 def route_by_size(spark, d):
     return v.files(spark, d).select(
-        "id", SIZE.alias("size_bytes"), k.route_by_size(SIZE, 4).alias("route"),
-        k.route_by_size(SIZE, 4, blob_store=False).alias("route_without_store"),
+        "id", size_bytes().alias("size_bytes"), k.route_by_size(size_bytes(), 4).alias("route"),
+        k.route_by_size(size_bytes(), 4, blob_store=False).alias("route_without_store"),
     )
 
 
@@ -62,7 +65,7 @@ def normalize_documents(spark, d):
     items = f.select(
         F.col("id").cast("string").alias("id"), "source_id", "connector_type", "name", "path",
         F.create_map(F.lit("seq"), F.col("seq").cast("string")).alias("metadata"),
-        FIXED_NOW.alias("created_at"), FIXED_NOW.alias("updated_at"),
+        fixed_now().alias("created_at"), fixed_now().alias("updated_at"),
     )
     bodies = f.where(F.col("id") % 10 != 3).select(
         "path", "content", c.content_type_by_ext(c.file_extension(F.col("path"))).alias("content_type"), "language"
@@ -89,7 +92,7 @@ def ingest_payload(spark, d):
   || coalesce(',"suggest_chunk_strategy":"' || {SQL_STRATEGY} || '"', '') || '}}' AS payload
   FROM (SELECT * REPLACE (CAST(id AS VARCHAR) AS id), language AS lang FROM files) WHERE strlen(content) > 4096""")
 def reference_payload(spark, d):
-    large = docs(spark, d).where(k.route_by_size(SIZE, 4) == "reference")
+    large = docs(spark, d).where(k.route_by_size(size_bytes(), 4) == "reference")
     key = k.blob_key(F.col("tenant_id"), F.col("id"), k.content_hash(F.col("content")), F.col("name"))
     return ev.reference_payload(
         large.withColumns({"blob_url": F.concat(F.lit("s3://blobs/"), key), "size_bytes": F.octet_length("content")})
@@ -112,7 +115,7 @@ def event_envelope(spark, d):
         "event_type": F.lit("push"), "payload": F.create_map(F.lit("path"), F.col("path")),
         "job_id": F.concat(F.lit("j"), v.text("id")), "job_type": F.lit("manual"),
     })
-    return e.select("id", *[ev.event_envelope(e, kind, FIXED_NOW).alias(kind) for kind in ev.ENVELOPES])
+    return e.select("id", *[ev.event_envelope(e, kind, fixed_now()).alias(kind) for kind in ev.ENVELOPES])
 
 
 @query("event_parse", """SELECT id, CASE id % 5 WHEN 0 THEN 'malformed' WHEN 1 THEN 'missing field' WHEN 2 THEN 'unknown field' END AS error,

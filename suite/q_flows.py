@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from suite import views as v
 from suite.q_classify import SQL_EXT, cases, quoted
-from suite.q_relational import MID, SQL_CHANGES, SQL_MID, SQL_REPORT, item_changes, items, vectors
+from suite.q_relational import mid, SQL_CHANGES, SQL_MID, SQL_REPORT, item_changes, items, vectors
 from suite.registry import query
 from tributary.functions import tables as t
 from tributary.plans import flows
@@ -17,7 +17,7 @@ SQL_SYNCED = f"""(SELECT *, strlen(content) AS size_bytes FROM files WHERE {SQL_
 OPTIONS = SyncOptions(exclude=["node_modules"], max_mb=1 / 64)
 
 
-@query("full_sync", f"""SELECT source_id, count(*) AS documents_synced, sum(size_bytes) AS total_bytes,
+@query("full_sync", f"""SELECT source_id, count(*) AS documents_synced, CAST(sum(size_bytes) AS BIGINT) AS total_bytes,
   count(*) FILTER (WHERE size_bytes <= 4096) AS inline_documents, count(*) FILTER (WHERE size_bytes > 4096) AS reference_documents FROM {SQL_SYNCED} GROUP BY 1""")
 def full_sync(spark, d):
     return flows.full_sync_stats(flows.full_sync(v.files(spark, d), OPTIONS, 4))
@@ -59,4 +59,4 @@ def webhook_flow(spark, d):
   UNION ALL SELECT 'deleted_jobs', count(*) FROM sync_jobs WHERE status IN ('completed','failed') AND end_time < {SQL_MID} - INTERVAL 7 DAY""")
 def retention_cycle(spark, d):
     wanted = v.chunks(spark, d).withColumn("neo4j_id", F.col("wanted_node"))
-    return flows.retention_cycle(v.sync_jobs(spark, d), v.bodies(spark, d), wanted, vectors(spark, d), MID)
+    return flows.retention_cycle(v.sync_jobs(spark, d), v.bodies(spark, d), wanted, vectors(spark, d), mid())

@@ -15,7 +15,7 @@ DAY = 86400
 
 @query("order_by_size", "SELECT seq, strlen(content) AS sort_key, row_number() OVER (ORDER BY strlen(content), seq) AS position FROM files")
 def order_by_size(spark, d):
-    return ordering.order_by_size(v.files(spark, d), "seq")
+    return ordering.order_by_size(v.files(spark, d), "seq", F.octet_length("content").cast("long"))
 
 
 @query("dequeue_order", """SELECT queue, seq, priority, row_number() OVER (PARTITION BY queue ORDER BY priority, seq) AS position FROM queue""")
@@ -152,12 +152,12 @@ def consume_summary(spark, d):
     return agg.consume_summary(v.messages(spark, d))
 
 
-@query("chunk_job_batches", """SELECT source_id, batch, count(*) AS item_count, string_agg(seq, ',' ORDER BY seq) AS ids, sum(strlen(content)) AS bytes FROM
+@query("chunk_job_batches", """SELECT source_id, batch, count(*) AS item_count, string_agg(seq, ',' ORDER BY seq) AS ids, CAST(sum(strlen(content)) AS BIGINT) AS bytes FROM
   (SELECT *, CAST((row_number() OVER (PARTITION BY source_id ORDER BY seq) - 1) // 20 AS BIGINT) AS batch FROM files) GROUP BY 1, 2""")
 def chunk_job_batches(spark, d):
     rows = docs(spark, d).withColumns({"metadata": F.create_map(F.lit("name"), F.col("name")), "updated_at": F.col("created_at")})
     b = agg.chunk_job_batches(rows, 20)
     return b.select(
-        "source_id", "batch", "item_count", F.array_join(F.transform("items", lambda x: x["id"]), ",").alias("ids"),
+        "source_id", "batch", F.col("item_count").cast("long").alias("item_count"), F.array_join(F.transform("items", lambda x: x["id"]), ",").alias("ids"),
         F.aggregate("items", F.lit(0).cast("long"), lambda a, x: a + F.octet_length(x["content"])).alias("bytes"),
     )

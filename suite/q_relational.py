@@ -5,14 +5,16 @@ import datetime
 from pyspark.sql import functions as F
 
 from suite import views as v
-from suite.q_content import FIXED_NOW, docs
+from suite.q_content import fixed_now, docs
 from suite.registry import query
 from tributary.functions import classify as c
 from tributary.operators import aggregates as agg
 from tributary.operators import joins, lifecycle
 from tributary.operators import changes as ch
 
-MID = F.lit(datetime.datetime(1998, 6, 1)).cast("timestamp_ntz")
+
+def mid():
+    return F.lit(datetime.datetime(1998, 6, 1)).cast("timestamp_ntz")
 SQL_MID = "TIMESTAMP '1998-06-01'"
 
 
@@ -67,7 +69,7 @@ def items(spark, d):
   JOIN files f ON f.path = x.item_id WHERE x.change_type <> 'deleted' AND f.id % 10 <> 7""")
 def incremental_documents(spark, d):
     found = joins.incremental_documents(item_changes(spark, d).drop("source_id"), items(spark, d))
-    return found.select("id", "path", "change_type", "cursor", F.octet_length("content").alias("size_bytes"))
+    return found.select("id", "path", "change_type", "cursor", F.octet_length("content").cast("long").alias("size_bytes"))
 
 
 @query("incremental_cursor", f"""SELECT source_id, count(*) AS changes, max(timestamp) AS cursor FROM {SQL_CHANGES}
@@ -116,7 +118,7 @@ def callback_check(spark, d):
   AND created_at < {SQL_MID} - INTERVAL 24 HOUR AND wanted_node NOT IN (SELECT vec_id FROM embeddings)""")
 def missing_vector_chunks(spark, d):
     wanted = v.chunks(spark, d).withColumn("neo4j_id", F.col("wanted_node"))
-    return joins.missing_vector_chunks(wanted, vectors(spark, d), MID).select("id", "source_id", "wanted_node", "created_at")
+    return joins.missing_vector_chunks(wanted, vectors(spark, d), mid()).select("id", "source_id", "wanted_node", "created_at")
 
 
 @query("reprocess_plan", f"""SELECT id, CASE WHEN created_at + INTERVAL 7 DAY > TIMESTAMP '2024-01-02' THEN 'reuse' ELSE 'refetch' END AS plan
@@ -162,7 +164,7 @@ def stats_rows(stats, key):
     )
 
 
-@query("queue_stats", """SELECT queue, sum(count(*)) OVER (PARTITION BY queue) AS size, min(priority) OVER (PARTITION BY queue) AS highest_priority,
+@query("queue_stats", """SELECT queue, CAST(sum(count(*)) OVER (PARTITION BY queue) AS BIGINT) AS size, min(priority) OVER (PARTITION BY queue) AS highest_priority,
   priority, count(*) AS entries FROM queue GROUP BY queue, priority""")
 def queue_stats(spark, d):
     return stats_rows(agg.queue_stats(v.queue(spark, d)), "queue")
@@ -172,7 +174,7 @@ SQL_BAND = """CASE WHEN priority <= 2 THEN 'critical' WHEN priority <= 4 THEN 'h
   WHEN priority <= 9 THEN 'low' ELSE 'normal' END"""
 
 
-@query("band_stats", f"""SELECT band, sum(count(*)) OVER (PARTITION BY band) AS size, min(priority) OVER (PARTITION BY band) AS highest_priority,
+@query("band_stats", f"""SELECT band, CAST(sum(count(*)) OVER (PARTITION BY band) AS BIGINT) AS size, min(priority) OVER (PARTITION BY band) AS highest_priority,
   priority, count(*) AS entries FROM (SELECT *, {SQL_BAND} AS band FROM routes) GROUP BY band, priority""")
 def band_stats(spark, d):
     return stats_rows(agg.band_stats(v.routes(spark, d)), "band")
@@ -185,7 +187,7 @@ def language_breakdown(spark, d):
 
 
 @query("source_stats", """SELECT f.source_id, files_indexed, total_size, coalesce(chunks_created, 0) AS chunks_created, last_sync_seconds FROM
-  (SELECT id % 100 AS source_id, count(*) AS files_indexed, sum(size) AS total_size FROM files GROUP BY 1) f
+  (SELECT id % 100 AS source_id, count(*) AS files_indexed, CAST(sum(size) AS BIGINT) AS total_size FROM files GROUP BY 1) f
   LEFT JOIN (SELECT source_id % 100 AS source_id, count(*) AS chunks_created FROM chunks GROUP BY 1) c USING (source_id)
   LEFT JOIN (SELECT connector_id % 100 AS source_id, CAST(arg_max(epoch(end_time) - epoch(start_time), (end_time, id)) AS BIGINT) AS last_sync_seconds
     FROM sync_jobs WHERE end_time IS NOT NULL GROUP BY 1) j USING (source_id)""")
@@ -198,7 +200,7 @@ def source_stats(spark, d):
     return agg.source_stats(f, k, j)
 
 
-SQL_CALLBACK_ERRORS = "sum(CASE WHEN doc_id % 9 = 0 THEN 1 ELSE 0 END)"
+SQL_CALLBACK_ERRORS = "CAST(sum(CASE WHEN doc_id % 9 = 0 THEN 1 ELSE 0 END) AS BIGINT)"
 
 
 @query("job_progress", """SELECT source_id AS job_id, count(*) AS files_total, count(*) FILTER (WHERE embedding_state = 'embedded') AS files_processed,
@@ -211,7 +213,7 @@ def job_progress(spark, d):
     ))
 
 
-@query("callback_summary", f"SELECT job_id, sum(len(lines)) AS chunks_processed, {SQL_CALLBACK_ERRORS} AS errors FROM callbacks GROUP BY 1")
+@query("callback_summary", f"SELECT job_id, CAST(sum(len(lines)) AS BIGINT) AS chunks_processed, {SQL_CALLBACK_ERRORS} AS errors FROM callbacks GROUP BY 1")
 def callback_summary(spark, d):
     return agg.callback_summary(v.callbacks(spark, d))
 
@@ -227,7 +229,7 @@ SQL_REPORT = f"""SELECT 'expired_bodies' AS metric, count(*) FILTER (WHERE purge
 @query("retention_report", SQL_REPORT)
 def retention_report(spark, d):
     wanted = v.chunks(spark, d).withColumn("neo4j_id", F.col("wanted_node"))
-    return agg.retention_report(v.bodies(spark, d), wanted, vectors(spark, d), MID, 3)
+    return agg.retention_report(v.bodies(spark, d), wanted, vectors(spark, d), mid(), 3)
 
 
 @query("removal_counts", """SELECT id AS source_id, (SELECT count(*) FROM sync_jobs j WHERE j.connector_id = c.id) AS files_removed,
@@ -255,7 +257,7 @@ def union_sources(spark, d):
     )
     both = joins.union_all([f, web, chat])
     return both.select(
-        "external_id", "source_id", "connector_type", "path", "language", F.octet_length("content").alias("size_bytes"),
+        "external_id", "source_id", "connector_type", "path", "language", F.octet_length("content").cast("long").alias("size_bytes"),
         c.source_kind(F.col("connector_type")).alias("source_kind"),
     )
 
@@ -277,17 +279,17 @@ def listing_diff(spark, d):
 @query("purge_finished_jobs", f"""SELECT id, status, end_time FROM sync_jobs WHERE status NOT IN ('completed','failed') OR end_time IS NULL
   OR end_time >= {SQL_MID} - INTERVAL 7 DAY""")
 def purge_finished_jobs(spark, d):
-    return lifecycle.purge_finished_jobs(v.sync_jobs(spark, d), MID).select("id", "status", "end_time")
+    return lifecycle.purge_finished_jobs(v.sync_jobs(spark, d), mid()).select("id", "status", "end_time")
 
 
 @query("stale_pending", f"SELECT id, created_at FROM chunks WHERE embedding_state = 'pending' AND created_at < {SQL_MID} - INTERVAL 24 HOUR")
 def stale_pending(spark, d):
-    return joins.stale_pending(v.chunks(spark, d), MID).select("id", "created_at")
+    return joins.stale_pending(v.chunks(spark, d), mid()).select("id", "created_at")
 
 
 @query("ttl_expire", f"SELECT id, purge_at FROM bodies WHERE purge_at > {SQL_MID}")
 def ttl_expire(spark, d):
-    return lifecycle.ttl_expire(v.bodies(spark, d), MID).select("id", "purge_at")
+    return lifecycle.ttl_expire(v.bodies(spark, d), mid()).select("id", "purge_at")
 
 
 @query("retire_tenant", """SELECT 'kept' AS store, count(*) AS n FROM chunks WHERE tenant_id <> 4
@@ -301,11 +303,11 @@ def retire_tenant(spark, d):
 @query("storage_mode_split", """SELECT 'metadata' AS store, id, NULL AS bytes, NULL AS purge_at FROM files
   UNION ALL SELECT 'mongo-ttl', id, strlen(content), TIMESTAMP '2024-02-08' FROM files UNION ALL SELECT 'postgres', id, strlen(content), NULL FROM files""")
 def storage_mode_split(spark, d):
-    k = v.files(spark, d).select("id", "tenant_id", "content").withColumn("created_at", FIXED_NOW)
+    k = v.files(spark, d).select("id", "tenant_id", "content").withColumn("created_at", fixed_now())
     out = []
     for mode in ("ephemeral", "mongo-ttl", "postgres"):
         meta, body = lifecycle.storage_mode_split(k, mode)
-        out.append(body.select(F.lit(mode).alias("store"), "id", F.octet_length("content").alias("bytes"), "purge_at"))
+        out.append(body.select(F.lit(mode).alias("store"), "id", F.octet_length("content").cast("long").alias("bytes"), "purge_at"))
     out.append(meta.select(F.lit("metadata").alias("store"), "id"))
     return joins.union_all(out)
 

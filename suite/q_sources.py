@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from suite import landing, views as v
 from suite.q_classify import SQL_EXT, quoted
-from suite.q_content import FIXED_NOW, SQL_BLOB_KEY
+from suite.q_content import fixed_now, SQL_BLOB_KEY
 from suite.registry import query
 from tributary.functions import content as k
 from tributary.functions import tables as t
@@ -180,7 +180,7 @@ def state_tables(spark, d):
 def blob_offload(spark, d):
     path = fresh_path(spark, "blobs")
     rows = v.files(spark, d).withColumns({
-        "id": v.text("id"), "connector_id": F.col("source_id"), "mime_type": F.lit(None).cast("string"), "created_at": FIXED_NOW,
+        "id": v.text("id"), "connector_id": F.col("source_id"), "mime_type": F.lit(None).cast("string"), "created_at": fixed_now(),
     })
     refs = tables.blob_offload(rows, path, 4)
     return refs.select(
@@ -196,7 +196,7 @@ def chunk_body_store(spark, d):
     made = F.expr("timestamp_ntz '2024-01-01'") + F.make_dt_interval((F.col("id") % 30).cast("int"))
     tables.write_chunk_bodies(v.files(spark, d).select("id", "content", made.alias("created_at")), path)
     live = tables.live_bodies(spark.read.parquet(path), F.expr("timestamp_ntz '2024-01-20 12:00:00'"))
-    return live.select("id", F.octet_length("content").alias("bytes"), "purge_at")
+    return live.select("id", F.octet_length("content").cast("long").alias("bytes"), "purge_at")
 
 
 # ---- provider change feeds ---------------------------------------------------------------------
@@ -229,7 +229,7 @@ def changes_bitbucket(spark, d):
     return ch.changes_bitbucket(payloads(spark, d, body))
 
 
-@query("changes_drive", """SELECT id, CASE WHEN id % 3 = 0 THEN 'r' ELSE 's' END || id AS item_id, 'updated' AS change_type, NULL AS cursor FROM files WHERE id % 3 <> 2""")
+@query("changes_drive", """SELECT id, CASE WHEN id % 3 = 0 THEN 'r' ELSE 's' END || id AS item_id, 'updated' AS change_type, CAST(NULL AS VARCHAR) AS cursor FROM files WHERE id % 3 <> 2""")
 def changes_drive(spark, d):
     i = F.col("id")
     body = F.when(i % 3 == 0, F.concat(F.lit('{"resourceId":"r'), v.text("id"), F.lit('"}'))).when(
@@ -238,7 +238,7 @@ def changes_drive(spark, d):
     return ch.changes_drive(payloads(spark, d, body))
 
 
-@query("changes_dropbox", """SELECT id, CAST(id + n AS VARCHAR) AS item_id, 'updated' AS change_type, NULL AS cursor FROM files, range(2) r(n)""")
+@query("changes_dropbox", """SELECT id, CAST(id + n AS VARCHAR) AS item_id, 'updated' AS change_type, CAST(NULL AS VARCHAR) AS cursor FROM files, range(2) r(n)""")
 def changes_dropbox(spark, d):
     body = F.concat(F.lit('{"delta":{"users":['), v.text("id"), F.lit(","), v.text(F.col("id") + 1), F.lit("]}}"))
     return ch.changes_dropbox(payloads(spark, d, body))

@@ -20,7 +20,7 @@ def drained(stream, schema=None):
     return spark.read.schema(stream.schema).parquet(path)
 
 
-@query("read_event_stream", """SELECT topic, partition, "offset", key, value, epoch_ms(ts) AS timestamp FROM messages""")
+@query("read_event_stream", """SELECT topic, CAST(partition AS INT) AS partition, "offset", key, value, epoch_ms(ts) AS timestamp FROM messages""")
 def read_event_stream(spark, d):
     path = landing.land_messages(v.messages(spark, d))
     return drained(streams.read_event_stream(spark, "parquet", path).drop("event_time"))
@@ -32,11 +32,11 @@ def read_event_stream(spark, d):
     || '","file_type":"t","content":' || CAST(to_json(content) AS VARCHAR) || ',"metadata":null,"timestamp":"2024-02-01T00:00:00"}' AS value FROM files)
   SELECT key, value, topic, p AS partition FROM keyed ASOF LEFT JOIN wrapped ON keyed.m <= wrapped.h""")
 def write_event_stream(spark, d):
-    from suite.q_content import FIXED_NOW
+    from suite.q_content import fixed_now
 
     f = docs(spark, d).select("id", "source_id", F.col("path").alias("file_path"), F.lit("t").alias("file_type"), "content")
     stream = landing.stream_of(f, "ingested").withColumn("event_id", F.concat(F.lit("e"), "id"))
-    rows = streams.event_rows(stream, "file_ingested", ev.event_envelope(stream, "file_ingested", FIXED_NOW))
+    rows = streams.event_rows(stream, "file_ingested", ev.event_envelope(stream, "file_ingested", fixed_now()))
     path, checkpoint = fresh_path(spark, "published"), fresh_path(spark, "progress")
     streams.write_event_stream(rows, checkpoint, "parquet", path).start().awaitTermination()
     out = spark.read.schema("key binary, value binary, topic string, partition int").parquet(path)
@@ -100,4 +100,4 @@ def stream_failure_burst(spark, d):
 def stream_changes_to_documents(spark, d):
     stream = landing.stream_of(v.pushes(spark, d).select(F.col("id").alias("g"), F.col("body").alias("payload")), "pushes")
     out = st.stream_changes_to_documents(stream, v.files(spark, d))
-    return drained(out.select("g", "id", "path", "change_type", "cursor", F.octet_length("content").alias("size_bytes")))
+    return drained(out.select("g", "id", "path", "change_type", "cursor", F.octet_length("content").cast("long").alias("size_bytes")))
