@@ -41,7 +41,7 @@ def recent_sources(spark, d):
 
 @query("dedup_first_seen", """SELECT seq, sha256(content) AS content_hash, row_number() OVER (PARTITION BY content ORDER BY seq) > 1 AS is_duplicate FROM files""")
 def dedup_first_seen(spark, d):
-    return dedup.dedup_first_seen(v.files(spark, d).select("seq", "content"), "seq").drop("content")
+    return dedup.dedup_first_seen(v.files(spark, d), "seq")
 
 
 BLOOM = (400, 0.05)

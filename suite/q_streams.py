@@ -69,8 +69,8 @@ def stream_consume_dlq(spark, d):
 
 @query("stream_dedup", "SELECT DISTINCT content_hash FROM (SELECT sha256(content) AS content_hash FROM files)")
 def stream_dedup(spark, d):
-    hashes = v.files(spark, d).select(F.sha2("content", 256).alias("content_hash"))
-    return drained(st.stream_dedup(landing.stream_of(hashes, "hashes"), "content_hash"))
+    hashes = v.files(spark, d).select("seq", F.sha2("content", 256).alias("content_hash"))
+    return drained(st.stream_dedup(landing.stream_of(hashes, "hashes"), "content_hash", F.col("seq"))).select("content_hash")
 
 
 @query("stream_dedup_expiring", f"{SQL_ROTATING} SELECT key, seq FROM f WHERE NOT dup")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions import content as k
+from tributary.session import materialize
 
 
 def _flag(df: DataFrame, firsts: DataFrame, seq: str) -> DataFrame:
@@ -26,8 +27,11 @@ def first_seen(df: DataFrame, key: Column, seq: str) -> DataFrame:
 
 
 def dedup_first_seen(docs: DataFrame, seq: str) -> DataFrame:
-    """Flag every document whose SHA-256 was seen earlier."""
-    hashed = docs.withColumn("content_hash", k.content_hash(F.col("content")))
+    """Hash of every document and whether it was seen earlier: (seq, content_hash, is_duplicate).
+
+    The hashes are written once, so the contents are read a single time.
+    """
+    hashed = materialize(docs.select(seq, k.content_hash(F.col("content")).alias("content_hash")), "hashes")
     return _flag(hashed, first_seen(hashed, F.col("content_hash"), seq), seq)
 
 

@@ -17,7 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tributary.session import materialize, slices
+from tributary.session import by_range, materialize
+
+NO_KEY = "\u0000"  # stands for a null key inside the fold, so that its rows stay one group
 
 
 class Fold(Protocol):
@@ -57,16 +59,14 @@ def _refold(fold: Fold, names: list[str], arriving: dict[int, str]):
 
 def sequential_fold(df: DataFrame, key: str, ts: str, seq: str, fold: Fold) -> DataFrame:
     """Add the fold's columns to every row of (key, ts, seq); ``seq`` is unique, ``ts`` a timestamp."""
-    spark = df.sparkSession
     names = [f.name for f in fold.fields]
+    # the key travels as text: integers with nulls would become floats in pandas
     rows = df.select(
-        F.col(key).alias("_key"), F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"), F.col(seq).alias("_seq")
-    )
-    laid = (
-        rows.repartitionByRange(slices(spark), "_key", "_us", "_seq")
-        .sortWithinPartitions("_key", "_us", "_seq")
-        .withColumn("_slice", F.spark_partition_id())
+        F.coalesce(F.col(key).cast("string"), F.lit(NO_KEY)).alias("_key"),
+        F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"), F.col(seq).alias("_seq")
     )
+    in_order = [F.col("_key"), F.col("_us"), F.col("_seq")]
+    laid = by_range(rows, in_order).withColumn("_slice", F.spark_partition_id())
     schema = T.StructType(
         laid.schema.fields
         + fold.fields
@@ -147,6 +147,6 @@ def sequential_fold(df: DataFrame, key: str, ts: str, seq: str, fold: Fold) -> D
             if latest:
                 out = out.unionByName(fixed.where(F.col("_slice").isin(latest)))
     return out.select(
-        F.col("_key").alias(key), F.timestamp_micros("_us").cast(df.schema[ts].dataType).alias(ts),
+        F.nullif("_key", F.lit(NO_KEY)).cast(df.schema[key].dataType).alias(key), F.timestamp_micros("_us").cast(df.schema[ts].dataType).alias(ts),
         F.col("_seq").alias(seq), *names,
     )

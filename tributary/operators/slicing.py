@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.session import materialize, slices
+from tributary.session import by_range, materialize
 
 AT, SLICE = "_at", "_slice"
 
@@ -21,11 +21,7 @@ AT, SLICE = "_at", "_slice"
 def range_sliced(df: DataFrame, by: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Rows with a slice number and a position that follows (by, order). ``order`` must be total."""
     keys = [F.col(c) for c in by] + list(order)
-    laid = (
-        df.repartitionByRange(slices(df.sparkSession), *keys)
-        .sortWithinPartitions(*keys)
-        .withColumn(AT, F.monotonically_increasing_id())
-    )
+    laid = by_range(df, keys).withColumn(AT, F.monotonically_increasing_id())
     return materialize(laid, "sliced").withColumn(SLICE, F.shiftright(AT, 33))
 
 

@@ -10,6 +10,7 @@ from tributary.functions import content as k
 from tributary.operators import aggregates as agg
 from tributary.operators import changes as ch
 from tributary.operators import dedup, joins, lifecycle
+from tributary.session import materialize
 from tributary.sources.listings import SyncOptions
 
 
@@ -63,8 +64,10 @@ def incremental_sync(changes: DataFrame, items: DataFrame, since: Column, thresh
 def webhook_flow(raw: DataFrame, connectors: DataFrame, secret: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Raw webhooks → verified events → changes and one pending job per accepted event."""
     payload = k.webhook_payload(F.col("body"))
-    events = raw.withColumn("payload", payload).withColumn(
-        "verified", k.verify_signature(F.col("body"), F.col("signature"), secret)
+    # the event log is a table of its own; everything after it reads the log
+    events = materialize(
+        raw.withColumns({"payload": payload, "verified": k.verify_signature(F.col("body"), F.col("signature"), secret)}).drop("body"),
+        "webhook_events",
     )
     good = events.where("verified")
     changes = ch.changes_github(good.select("id", "connector_id", "payload"))

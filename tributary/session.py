@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 _fallback: dict[str, str] = {}
 
@@ -57,6 +58,9 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def slices(spark: SparkSession) -> int:
-    """Number of range slices: the session's shuffle parallelism."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def by_range(df: DataFrame, keys: Sequence[Column]) -> DataFrame:
+    """Rows sorted over range slices, as many as the session's shuffle parallelism.
+
+    No number is given, so adaptive execution may merge neighbouring small slices; their order stays.
+    """
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)

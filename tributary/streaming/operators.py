@@ -51,8 +51,15 @@ def webhook_log(raw: DataFrame, provider: Column, github: Column, gitlab: Column
     )
 
 
-def stream_dedup(stream: DataFrame, key: str) -> DataFrame:
-    """Drop repeated ids, for as long as the state is kept."""
+def stream_dedup(stream: DataFrame, key: str, spread: Column | None = None, salts: int = 16) -> DataFrame:
+    """Drop repeated ids, for as long as the state is kept.
+
+    With ``spread``, a column that varies inside a hot id, repeats are first dropped per salt in
+    parallel, so at most ``salts`` rows of an id ever reach its one state.
+    """
+    if spread is not None:
+        salted = stream.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
+        stream = salted.dropDuplicates([key, "_salt"]).drop("_salt")
     return stream.dropDuplicates([key])
 
 
