@@ -44,7 +44,7 @@ def test_throttle(spark, feed):
 def test_expiring_dedup(spark, feed):
     batch, path = feed
     want = {r["seq"] for r in dedup.rotating_dedup(batch, "key", "ts", "seq", 100).where("not is_duplicate").collect()}
-    got = drained(st.stream_dedup_expiring(stream(spark, path), "key", "ts", "seq", 100, ttl_ms=3_600_000)).collect()
+    got = drained(st.stream_dedup_expiring(stream(spark, path), "key", "ts", "seq", 100)).collect()
     assert {r["seq"] for r in got} == want and len(got) == len(want)
 
 

@@ -99,7 +99,11 @@ class _KeyedFold(StatefulProcessor):
 
 
 def stream_fold(stream: DataFrame, key: str, ts: str, seq: str, fold: Fold, ttl_ms: int | None = None) -> DataFrame:
-    """A sequential rule on a stream; ``ttl_ms`` drops the state of keys not seen for that long."""
+    """A sequential rule on a stream; ``ttl_ms`` drops the state of keys not seen for that long.
+
+    A time to live runs on processing time and so needs a processing-time trigger: Spark keeps planning
+    batches for it, and an available-now run would never end.
+    """
     use_rocksdb(stream.sparkSession)
     rows = stream.select(F.col(key).alias("key"), F.unix_micros(ts).alias("us"), F.col(seq).alias("seq"))
     schema = T.StructType(rows.schema.fields + fold.fields)
