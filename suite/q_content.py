@@ -25,7 +25,7 @@ def docs(spark, d):
     return f.withColumns({
         "id": F.col("id").cast("string"), "connector_id": F.col("source_id"),
         "content_type": c.content_type_by_ext(ext), "source_kind": c.source_kind(F.col("connector_type")),
-        "created_at": F.timestamp_seconds(F.lit(1704067200) + F.col("seq")).cast("timestamp_ntz"),
+        "created_at": v.at(F.lit(1704067200) + F.col("seq")),
     })
 
 

@@ -5,7 +5,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from suite import views as v
-from suite.q_classify import SQL_EXT, cases, quoted
+from suite.q_classify import SQL_EXT, SQL_STRATEGY, cases, quoted
 from suite.q_relational import mid, SQL_CHANGES, SQL_MID, SQL_REPORT, item_changes, items, vectors
 from suite.registry import query
 from tributary.functions import tables as t
@@ -31,6 +31,21 @@ def full_sync_documents(spark, d):
     return out.select("seq", "id", "path", "content_hash", "size_bytes", "route", "language")
 
 
+SQL_ID = "sha256(source_id || '|' || seq)"
+SQL_REQUEST = f"""'{{"tenant_id":"' || tenant_id || '","connector_id":"' || source_id || '","source_type":"' || connector_type || '","file_id":"' || {SQL_ID} || '","file_name":"' || name || '",' """
+SQL_TAIL = f"""',"ingest_flags":{{"for_embeddings":true,"for_graph":true,"priority":"normal"}}' || coalesce(',"suggest_chunk_strategy":"' || {SQL_STRATEGY} || '"', '')"""
+
+
+@query("full_sync_requests", f"""SELECT {SQL_ID} AS id, CASE WHEN size_bytes <= 4096 THEN 'inline' ELSE 'reference' END AS route,
+  {SQL_REQUEST} || CASE WHEN size_bytes <= 4096
+    THEN '"file_path":"' || path || '","content":' || CAST(to_json(content) AS VARCHAR) || {SQL_TAIL} || ',"size_bytes":' || size_bytes || '}}'
+    ELSE '"blob_url":"s3://blobs/' || tenant_id || '/' || {SQL_ID} || '/' || sha256(content) || CASE WHEN contains(name, '.') THEN '.' || regexp_extract(name, '([^.]*)$', 1) ELSE '' END
+      || '","size_bytes":' || size_bytes || {SQL_TAIL} || '}}' END AS payload
+  FROM (SELECT *, {cases(t.LANGUAGES, SQL_EXT)} AS lang FROM {SQL_SYNCED})""")
+def full_sync_requests(spark, d):
+    return flows.sync_requests(flows.full_sync(v.files(spark, d), OPTIONS, 4), "s3://blobs")
+
+
 @query("incremental_sync", f"""SELECT 'document' AS kind, f.path AS what, CASE WHEN strlen(f.content) <= 4096 THEN 'inline' ELSE 'reference' END AS value FROM
   (SELECT * FROM {SQL_CHANGES} WHERE timestamp > TIMESTAMP '2024-01-01 00:02:00' QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY timestamp DESC) = 1) x
   JOIN files f ON f.path = x.item_id WHERE x.change_type <> 'deleted' AND f.id % 10 <> 7

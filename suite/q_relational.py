@@ -42,7 +42,7 @@ def item_changes(spark, d):
     i = F.col("id")
 
     def change(kind, days):
-        at = F.timestamp_seconds(F.lit(1704067200) + i + days * 86400).cast("timestamp_ntz")
+        at = v.at(F.lit(1704067200) + i + days * 86400)
         return F.struct(kind.alias("change_type"), at.alias("timestamp"))
 
     base = F.when(i % 3 == 0, F.lit("created")).when(i % 3 == 1, F.lit("updated")).otherwise(F.lit("deleted"))
@@ -125,7 +125,7 @@ def missing_vector_chunks(spark, d):
   FROM (SELECT id, make_timestamp((1703462400 + id * 600) * 1000000) AS created_at FROM files)""")
 def reprocess_plan(spark, d):
     i = F.col("id")
-    made = F.timestamp_seconds(F.lit(1703462400) + i * 600).cast("timestamp_ntz")
+    made = v.at(F.lit(1703462400) + i * 600)
     rows = v.files(spark, d).select("id", made.alias("created_at"))
     stored = rows.select(F.col("id").alias("chunk_id"), (F.col("created_at") + F.make_dt_interval(F.lit(7))).alias("purge_at"))
     now = F.lit(datetime.datetime(2024, 1, 2)).cast("timestamp_ntz")

@@ -41,6 +41,11 @@ def div(c: str, n: int) -> Column:
     return F.floor(F.col(c) / n)
 
 
+def at(seconds: Column) -> Column:
+    """Wall-clock time of an epoch second, whatever the session's zone."""
+    return F.expr("timestamp_ntz '1970-01-01'") + F.make_dt_interval(secs=seconds)
+
+
 def files(spark: SparkSession, d: str) -> DataFrame:
     t = table(spark, d, "documents")
     i = F.col("doc_id")
@@ -61,7 +66,7 @@ def mimes(spark: SparkSession, d: str) -> DataFrame:
     return files(spark, d).withColumns({
         "mime": pick(MIMES, i % 12), "trashed": i % 11 == 0, "mine": i % 3 != 0,
         "folder": F.concat(F.lit("f"), text(i % 5)),
-        "modified": F.date_format(F.timestamp_seconds(F.lit(1704067200) + i * 60), "yyyy-MM-dd'T'HH:mm:ss"),
+        "modified": F.date_format(at(F.lit(1704067200) + i * 60), "yyyy-MM-dd'T'HH:mm:ss"),
     })
 
 
@@ -77,8 +82,8 @@ def connectors(spark: SparkSession, d: str) -> DataFrame:
     return t.select(
         i.alias("id"), F.col("c_nationkey").cast("long").alias("tenant_id"), kind.alias("type"), F.col("c_name").alias("name"),
         config.alias("config_json"), F.when(i % 10 == 0, F.lit("disabled")).otherwise(F.lit("active")).alias("status"),
-        F.timestamp_seconds(F.lit(1704067200) + i * 60).cast("timestamp_ntz").alias("created_at"),
-        F.when(i % 4 != 0, F.timestamp_seconds(F.lit(1706745600) + i)).cast("timestamp_ntz").alias("last_sync_time"),
+        at(F.lit(1704067200) + i * 60).alias("created_at"),
+        F.when(i % 4 != 0, at(F.lit(1706745600) + i)).alias("last_sync_time"),
     )
 
 
@@ -169,7 +174,7 @@ def pushes(spark: SparkSession, d: str) -> DataFrame:
         F.col("g").alias("id"), body.alias("body"),
         F.when(F.col("g") % 7 == 0, F.lit("sha256=00")).otherwise(signed).alias("signature"),
         F.col("g").alias("connector_id"),
-        F.timestamp_seconds(F.lit(1704067200) + F.col("g")).cast("timestamp_ntz").alias("received_at"),
+        at(F.lit(1704067200) + F.col("g")).alias("received_at"),
     )
 
 
@@ -201,12 +206,6 @@ def bodies(spark: SparkSession, d: str, ttl_days: int = 7) -> DataFrame:
     return chunks(spark, d).withColumn("purge_at", F.col("created_at") + F.make_dt_interval(F.lit(ttl_days)))
 
 
-def as_of(spark: SparkSession, d: str, table_name: str = "lineitem", column: str = "l_shipdate") -> Column:
-    """One day after the newest date of a table, read once as a single value."""
-    newest = table(spark, d, table_name).agg(F.max(column).alias("m")).first()["m"]
-    return F.lit(newest).cast("timestamp_ntz") + F.make_dt_interval(F.lit(1))
-
-
 def _list(values: list[str]) -> str:
     return "[" + ", ".join("'" + v + "'" for v in values) + "]"
 
@@ -280,9 +279,7 @@ CTES = {
     "lines": """
       SELECT doc_id, source, tenant_id, job_id, unnest(lines) AS content, unnest(range(len(lines))) AS n FROM callbacks""",
     "bodies": "SELECT *, created_at + INTERVAL 7 DAY AS purge_at FROM chunks",
-    "now_": "SELECT max(l_shipdate) + INTERVAL 1 DAY AS t FROM lineitem",
 }
-NOW = "(SELECT t FROM now_)"
 
 
 def sql(body: str, recursive: bool = False) -> str:

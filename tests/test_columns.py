@@ -153,3 +153,8 @@ def test_empty_option_lists_fall_back(spark):
     o = ev.parse_sync_options(spark.createDataFrame([(config,), ("{}",)], "config_json string")).collect()
     assert (o[0]["include_languages"], o[0]["folder_id"], o[0]["include_shared"]) == (["go"], "r", False)
     assert (o[1]["branch"], o[1]["include_shared"], o[1]["exclude_paths"], o[1]["repository"]) == ("main", True, [], "")
+
+
+def test_domains(spark):
+    ok = c.in_domain(F.col("x").cast("string"), "connector_status")
+    assert [one(spark, ok, x=x) for x in ("syncing", "gone", None)] == [True, False, False]

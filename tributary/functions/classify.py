@@ -182,5 +182,10 @@ def glob_filter(
     return kept
 
 
+def in_domain(value: Column, domain: str) -> Column:
+    """Whether an enumerated value is one of the allowed ones; null is not."""
+    return F.coalesce(value.isin(t.DOMAINS[domain]), F.lit(False))
+
+
 def only_files(node_type: Column) -> Column:
     return node_type.isin("blob", "commit_file", "file")

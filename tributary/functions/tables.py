@@ -107,5 +107,19 @@ RABBIT_TYPES = [
     "sync.scheduled", "sync.manual",
 ]
 
+# fixed values: allowed values of enumerated columns
+DOMAINS = {
+    "connector_type": list(SOURCE_KINDS),
+    "content_type": [
+        "text", "code", "markdown", "html", "json", "xml", "yaml", "binary", "unknown", "document", "spreadsheet",
+        "presentation", "pdf",
+    ],
+    "source_kind": ["code_repo", "document", "chat", "ticketing", "wiki", "email", "web", "other"],
+    "sync_type": ["full", "incremental", "webhook"],
+    "job_status": ["pending", "running", "completed", "failed"],
+    "connector_status": ["active", "syncing", "disabled", "error"],
+    "priority": ["low", "normal", "high"],
+}
+
 # fixed values: priority bands, most urgent first, with inclusive bounds
 BANDS = {"critical": (0, 2), "high": (3, 4), "normal": (5, 6), "low": (7, 9)}

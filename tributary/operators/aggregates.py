@@ -97,8 +97,9 @@ def source_stats(files: DataFrame, chunks: DataFrame, jobs: DataFrame) -> DataFr
 
 def dlq_candidates(failures: DataFrame, max_retries: int = 3) -> DataFrame:
     """Every ``max_retries``-th failure of a message becomes a dead-letter envelope; counting then restarts."""
-    counted = ranked(failures, [F.col("seq")], ["topic", "partition", "offset"], "_attempt")
-    dead = counted.where(F.col("_attempt") % max_retries == 0)
+    # only the ids are ranked; payloads move once, for the attempts that die
+    counted = ranked(failures.select("topic", "partition", "offset", "seq"), [F.col("seq")], ["topic", "partition", "offset"], "_attempt")
+    dead = failures.join(counted.where(F.col("_attempt") % max_retries == 0).select("seq"), "seq", "left_semi")
     envelope = F.concat(
         F.lit('{"original_topic":'), _json_string(F.col("topic")),
         F.lit(',"original_partition":'), F.col("partition").cast("string"),
@@ -167,9 +168,9 @@ def consume_summary(messages: DataFrame, batch_size: int = 100) -> DataFrame:
 
 def chunk_job_batches(docs: DataFrame, batch_size: int = 100) -> DataFrame:
     """Job payloads of at most ``batch_size`` documents of one source."""
-    placed = ranked(docs, [F.col("seq")], ["source_id"]).withColumn(
-        "batch", F.floor((F.col("rn") - 1) / batch_size)
-    )
+    # only the ids are ranked; contents move once to their rank and once to their batch
+    at = ranked(docs.select("source_id", "seq"), [F.col("seq")], ["source_id"])
+    placed = docs.join(at.select("seq", F.floor((F.col("rn") - 1) / batch_size).alias("batch")), "seq")
     item = F.struct(
         F.col("seq").alias("seq"),
         F.struct("id", "source_id", "source_kind", "content_type", "content", "metadata", "created_at", "updated_at").alias("item"),

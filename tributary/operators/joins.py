@@ -62,7 +62,9 @@ def insert_if_absent(batch: DataFrame, stored: DataFrame, keys: list[str], seq:
     unique, so a key shared by a third of the rows never meets in one task.
     """
     firsts = batch.groupBy(*keys).agg(F.min(seq).alias(seq))
-    new = firsts.join(stored.select(*keys), keys, "left_anti").select(seq)
+    # an outer join stays above the aggregate; an anti-join would be pushed below it, onto the raw rows
+    known = stored.select(*keys).withColumn("_stored", F.lit(True))
+    new = firsts.join(known, keys, "left").where("_stored is null").select(seq)
     return batch.join(new, seq, "left_semi")
 
 
@@ -125,14 +127,14 @@ def hash_ring_partition(df: DataFrame, key: str, num_partitions: int = 3) -> Dat
     """Partition of every key by consistent hashing: owner of the first ring point at or after md5(key).
 
     Equal-width lower-case hex compares like the number. The ring has a known number of points, which
-    is checked before it is broadcast.
+    is checked before it is broadcast. A null key keeps its row and gets no partition.
     """
     ring = hash_ring(df.sparkSession, num_partitions)
     if num_partitions * VIRTUAL_NODES <= MAX_BROADCAST_POINTS:
         ring = F.broadcast(ring)
     hashed = df.withColumn("_h", F.md5(F.col(key))).withColumn("_p", F.substring("_h", 1, 2))
     match = (F.col("_p") == F.col("_prefix")) & (F.col("_h") > F.col("lo")) & (F.col("_h") <= F.col("hi"))
-    return hashed.join(ring, match).drop("_h", "_p", "_prefix", "lo", "hi")
+    return hashed.join(ring, match, "left").drop("_h", "_p", "_prefix", "lo", "hi")
 
 
 def reprocess_plan(chunks: DataFrame, bodies: DataFrame, as_of: Column) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tributary.functions.classify import in_domain
 from tributary.operators.joins import latest_by
 from tributary.operators.slicing import previous
 
@@ -82,14 +83,16 @@ def connector_state(log: DataFrame) -> DataFrame:
 
 
 def new_jobs(requests: DataFrame, connectors: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pending jobs for known connectors, and the rejected requests."""
+    """Pending jobs for known connectors and sync types, and the rejected requests."""
     known = connectors.select(F.col("id").alias("connector_id"), "tenant_id")
-    jobs = requests.join(known, "connector_id").select(
+    valid = in_domain(F.col("type"), "sync_type")
+    jobs = requests.where(valid).join(known, "connector_id").select(
         F.sha2(F.concat_ws("|", F.col("request_id").cast("string"), F.col("connector_id").cast("string")), 256).alias("id"),
         "request_id", "connector_id", "tenant_id", F.col("type"), F.lit("pending").alias("status"),
         F.col("requested_at").alias("start_time"),
     )
-    rejected = requests.join(known.select("connector_id"), "connector_id", "left_anti")
+    unknown = requests.where(valid).join(known.select("connector_id"), "connector_id", "left_anti")
+    rejected = unknown.unionByName(requests.where(~valid).select(*unknown.columns))
     return jobs, rejected
 
 

@@ -10,6 +10,7 @@ from tributary.functions import content as k
 from tributary.operators import aggregates as agg
 from tributary.operators import changes as ch
 from tributary.operators import dedup, joins, lifecycle
+from tributary.operators import events as ev
 from tributary.session import materialize
 from tributary.sources.listings import SyncOptions
 
@@ -42,6 +43,14 @@ def full_sync(
     return docs
 
 
+def sync_requests(docs: DataFrame, base_url: str) -> DataFrame:
+    """Request to send per synced document: its content inline, or a reference to its blob."""
+    key = k.blob_key(F.col("tenant_id"), F.col("id"), F.col("content_hash"), F.col("name"))
+    rows = docs.withColumns({"connector_id": F.col("source_id"), "blob_url": F.concat(F.lit(base_url.rstrip("/") + "/"), key)})
+    inline = ev.ingest_payload(rows.where("route = 'inline'")).withColumn("route", F.lit("inline"))
+    return inline.unionByName(ev.reference_payload(rows.where("route = 'reference'")).withColumn("route", F.lit("reference")))
+
+
 def full_sync_stats(docs: DataFrame) -> DataFrame:
     """Per source: documents and bytes, inline and by reference."""
     return docs.groupBy("source_id").agg(

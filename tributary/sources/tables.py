@@ -24,6 +24,11 @@ STATE_TABLES = {
 }
 
 
+def _clustered(df: DataFrame, column: str) -> DataFrame:
+    """Rows of one folder together, for few and even files; adaptive execution splits a folder that is too large."""
+    return df.hint("rebalance", F.col(column))
+
+
 def write_state(df: DataFrame, table: str, path: str, mode: str = "append") -> None:
     """Write rows of a state table; missing columns become null, extra ones are dropped.
 
@@ -32,14 +37,16 @@ def write_state(df: DataFrame, table: str, path: str, mode: str = "append") -> N
     schema = df.sparkSession.createDataFrame([], STATE_TABLES[table]).schema
     have = set(df.columns)
     cols = [(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]
-    writer = df.select(*cols).write.mode(mode)
+    rows = df.select(*cols)
     if table == "chunks":
-        writer = writer.partitionBy("tenant_id")
-    writer.parquet(path)
+        _clustered(rows, "tenant_id").write.mode(mode).partitionBy("tenant_id").parquet(path)
+    else:
+        rows.write.mode(mode).parquet(path)
 
 
 def read_state(spark: SparkSession, table: str, path: str) -> DataFrame:
-    return spark.read.schema(STATE_TABLES[table]).parquet(path)
+    read = spark.read.schema(STATE_TABLES[table]).parquet(path)
+    return read.select(*[f.name for f in spark.createDataFrame([], STATE_TABLES[table]).schema])
 
 
 def blob_references(docs: DataFrame, base_url: str, threshold_kb: int = 256) -> DataFrame:
@@ -59,10 +66,10 @@ def blob_references(docs: DataFrame, base_url: str, threshold_kb: int = 256) ->
 def blob_offload(docs: DataFrame, path: str, threshold_kb: int = 256) -> DataFrame:
     """Write large contents below ``path`` and return their file_blobs rows, read back from there.
 
-    A tenant may own a third of the rows, so its folder is written by as many tasks as it has input.
+    A tenant may own a third of the rows; its folder is then written by several tasks.
     """
     blobs = blob_references(docs, path, threshold_kb)
-    blobs.write.mode("append").partitionBy("tenant_id").parquet(path)
+    _clustered(blobs, "tenant_id").write.mode("append").partitionBy("tenant_id").parquet(path)
     schema = STATE_TABLES["file_blobs"]
     return docs.sparkSession.read.schema(schema).parquet(path)
 
@@ -78,8 +85,8 @@ def chunk_bodies(chunks: DataFrame, mode: str, ttl_days: int = 7) -> DataFrame:
 
 def write_chunk_bodies(chunks: DataFrame, path: str, mode: str = "mongo-ttl", ttl_days: int = 7) -> None:
     """Partitioned by purge date, so expiry drops whole folders."""
-    bodies = chunk_bodies(chunks, mode, ttl_days)
-    bodies.withColumn("purge_date", F.to_date("purge_at")).write.mode("append").partitionBy("purge_date").parquet(path)
+    bodies = chunk_bodies(chunks, mode, ttl_days).withColumn("purge_date", F.to_date("purge_at"))
+    _clustered(bodies, "purge_date").write.mode("append").partitionBy("purge_date").parquet(path)
 
 
 def live_bodies(bodies: DataFrame, as_of: Column) -> DataFrame:
