@@ -20,7 +20,7 @@ def drained(stream, schema=None):
     return spark.read.schema(stream.schema).parquet(path)
 
 
-@query("read_event_stream", """SELECT topic, CAST(partition AS INT) AS partition, "offset", key, value, epoch_ms(ts) AS timestamp FROM messages""")
+@query("read_event_stream", """SELECT topic, CAST(partition AS INT) AS partition, "offset", key, value, epoch_us(ts) // 1000 AS timestamp FROM messages""")
 def read_event_stream(spark, d):
     path = landing.land_messages(v.messages(spark, d))
     return drained(streams.read_event_stream(spark, "parquet", path).drop("event_time"))
