@@ -119,11 +119,11 @@ def test_bloom_size():
 def test_bloom_positions(spark):
     m, n = k.bloom_size(100_000, 0.01)
     keys = [f"key-{i}" for i in range(50)]
-    got = spark.createDataFrame([(x,) for x in keys], "k string").select("k", k.bloom_positions(F.col("k"), m, n).alias("p"))
-    for row in got.collect():
+    rows = k.bloom_positions(spark.createDataFrame([(x,) for x in keys], "k string"), F.col("k"), m, n, "p")
+    for row in rows.groupBy("k").agg(F.collect_list("p").alias("p")).collect():
         digest = hashlib.sha256(row["k"].encode()).digest()
         a, b = int.from_bytes(digest[:16], "big"), int.from_bytes(digest[16:], "big") | 1
-        assert row["p"] == [(a + i * b) % m for i in range(n)]
+        assert sorted(row["p"]) == sorted((a + i * b) % m for i in range(n))
 
 
 def test_backoff(spark):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -104,8 +104,16 @@ def _hex_mod(digest: Column, start: int, m: int, odd: bool = False) -> Column:
     return acc
 
 
-def bloom_positions(key: Column, bits: int, hashes: int) -> Column:
-    """Array of the bit positions of a key: double hashing over the two halves of its SHA-256."""
-    digest = F.sha2(key, 256)
-    h1, h2 = _hex_mod(digest, 1, bits), _hex_mod(digest, 33, bits, odd=True)
-    return F.array(*[(h1 + F.lit(i) * h2) % F.lit(bits) for i in range(hashes)])
+def bloom_positions(df: DataFrame, key: Column, bits: int, hashes: int, name: str) -> DataFrame:
+    """One row per bit position of a key: double hashing over the two halves of its SHA-256.
+
+    The digest and its halves are columns of their own, so they are computed once per key.
+    """
+    digest = F.col("_digest")
+    halves = (
+        df.withColumn("_digest", F.sha2(key, 256))
+        .withColumns({"_h1": _hex_mod(digest, 1, bits), "_h2": _hex_mod(digest, 33, bits, odd=True)})
+        .drop("_digest")
+    )
+    numbered = halves.withColumn("_i", F.explode(F.array(*[F.lit(i).cast("long") for i in range(hashes)])))
+    return numbered.withColumn(name, (F.col("_h1") + F.col("_i") * F.col("_h2")) % F.lit(bits)).drop("_h1", "_h2", "_i")

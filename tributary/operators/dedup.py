@@ -47,7 +47,7 @@ def bloom_dedup(items: DataFrame, key: str, seq: str, expected_items: int = 100_
     per bit position, one combining aggregate over at most ``bits`` groups, names all new items.
     """
     bits, hashes = k.bloom_size(expected_items, false_positive_rate)
-    set_bits = items.select(seq, F.explode(k.bloom_positions(F.col(key).cast("string"), bits, hashes)).alias("_bit"))
+    set_bits = k.bloom_positions(items.select(seq, key), F.col(key).cast("string"), bits, hashes, "_bit")
     new = set_bits.groupBy("_bit").agg(F.min(seq).alias(seq)).select(seq).distinct()
     return _flag(items, new, seq)
 

@@ -27,18 +27,20 @@ class SlidingWindow:
     def start(self) -> list[int]:
         return []
 
+    def __post_init__(self) -> None:
+        self.window = int(self.window_seconds * SECOND)
+
     def trim(self, state: list[int], micros: int) -> list[int]:
-        cutoff = micros - int(self.window_seconds * SECOND)
-        return [t for t in state if t >= cutoff]
+        return [t for t in state if t >= micros - self.window]
 
     def step(self, state: list[int], micros: int) -> tuple[list[int], tuple]:
-        window = int(self.window_seconds * SECOND)
-        if state and state[0] < micros - window:
-            state = self.trim(state, micros)
+        # the list is changed in place: it holds at most ``limit`` entries and has one owner
+        while state and state[0] < micros - self.window:
+            del state[0]
         allowed = len(state) < self.limit
         if allowed:
-            state = [*state, micros]
-        wait = max(0, state[0] + window - micros) / SECOND if state else 0.0
+            state.append(micros)
+        wait = max(0, state[0] + self.window - micros) / SECOND if state else 0.0
         return state, (allowed, wait)
 
 
