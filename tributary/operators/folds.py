@@ -74,28 +74,31 @@ def sequential_fold(df: DataFrame, key: str, ts: str, seq: str, fold: Fold) -> D
     )
 
     def whole_slice(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # rows arrive sorted; a segment may cross batches, so the open one is carried along
-        key_now, state, first, held = None, None, True, None
+        # rows arrive sorted; the last row of a segment carries the state it ends with, and whether a
+        # batch ends a segment is only known from the next one, so one batch is held back
+        held, key_now, state, first = None, None, None, True
         for pdf in batches:
-            if pdf.empty:
+            out, firsts, states = [], [], [None] * len(pdf)
+            for i, (key_here, now) in enumerate(zip(pdf["_key"].tolist(), pdf["_us"].tolist())):
+                if key_here != key_now:
+                    if i > 0:
+                        states[i - 1] = json.dumps(state)
+                    elif held is not None:
+                        held.iloc[-1, -1] = json.dumps(state)
+                    first = key_now is None
+                    key_now, state = key_here, fold.start()
+                state, row = fold.step(state, now)
+                out.append(row)
+                firsts.append(first)
+            if not out:
                 continue
-            parts = []
-            for value, seg in pdf.groupby("_key", sort=False):
-                if held is not None and value != key_now:
-                    held.iloc[-1, held.columns.get_loc("_state")] = json.dumps(state)
-                    first = False
-                if held is None or value != key_now:
-                    key_now, state = value, fold.start()
-                if held is not None:
-                    parts.append(held)
-                state, out = _fold_rows(fold, state, seg["_us"].tolist())
-                held = pd.concat([seg, pd.DataFrame(out, columns=names, index=seg.index)], axis=1)
-                held["_first"] = first
-                held["_state"] = pd.Series([None] * len(held), index=held.index, dtype=object)
-            if parts:
-                yield pd.concat(parts)
+            if held is not None:
+                yield held
+            held = pd.concat([pdf.reset_index(drop=True), pd.DataFrame(out, columns=names)], axis=1)
+            held["_first"] = firsts
+            held["_state"] = pd.Series(states, dtype=object)
         if held is not None:
-            held.iloc[-1, held.columns.get_loc("_state")] = json.dumps(state)
+            held.iloc[-1, -1] = json.dumps(state)
             yield held
 
     base = materialize(laid.mapInPandas(whole_slice, schema), "fold")

@@ -6,13 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions.classify import in_domain
+from tributary.functions.tables import DOMAINS
 from tributary.operators.joins import latest_by
 from tributary.operators.slicing import previous
 
 FINISHED = ["completed", "failed"]
 
 # fixed values: legal steps of a job, from nothing to its end
-LEGAL_STEPS = ["none>pending", "pending>running", "pending>failed", "running>completed", "running>failed"]
+LEGAL_STEPS = [
+    (None, "pending"), ("pending", "running"), ("pending", "failed"), ("running", "completed"), ("running", "failed"),
+]
 
 
 def is_purged(as_of: Column, days: int = 7) -> Column:
@@ -51,8 +54,14 @@ def storage_mode_split(chunks: DataFrame, mode: str, ttl_days: int = 7) -> tuple
 
 def job_lifecycle(log: DataFrame) -> DataFrame:
     """State of every job from its status log (job_id, seq, ts, status, documents_synced, error_message)."""
-    stepped = previous(log, "status", [F.col("seq")], ["job_id"], "_before")
-    step = F.concat_ws(">", F.coalesce("_before", F.lit("none")), F.col("status"))
+    # statuses are compared as their place in the list of statuses, 0 for an unknown one
+    place = DOMAINS["job_status"].index
+    code = F.coalesce(F.array_position(F.lit(DOMAINS["job_status"]), F.col("status")), F.lit(0)).cast("int")
+    stepped = previous(log.withColumn("_code", code), "_code", [F.col("seq")], ["job_id"], "_before", nullable=False)
+    legal = F.lit(False)
+    for before, after in LEGAL_STEPS:
+        came = F.col("_before").isNull() if before is None else F.col("_before") == place(before) + 1
+        legal = legal | (came & (F.col("_code") == place(after) + 1))
     ends = F.col("status").isin(FINISHED)
     return stepped.groupBy("job_id").agg(
         F.max_by("status", "seq").alias("status"),
@@ -60,7 +69,7 @@ def job_lifecycle(log: DataFrame) -> DataFrame:
         F.max(F.when(ends, F.col("ts"))).alias("end_time"),
         F.max_by(F.when(F.col("status") == "completed", F.col("documents_synced")), "seq").alias("documents_synced"),
         F.max_by(F.when(F.col("status") == "failed", F.col("error_message")), "seq").alias("error_message"),
-        F.count_if(~step.isin(LEGAL_STEPS)).alias("illegal_steps"),
+        F.count_if(~F.coalesce(legal, F.lit(False))).alias("illegal_steps"),
     )
 
 

@@ -91,14 +91,16 @@ def running_sum(df: DataFrame, value: Column, order: Sequence[Column], by: Seque
     ).drop("_value")
 
 
-def previous(df: DataFrame, value: str, order: Sequence[Column], by: Sequence[str], name: str) -> DataFrame:
-    """Exact ``lag`` of one column over (by, order)."""
-    boxed = F.struct(F.col(value).alias("v"))
+def previous(
+    df: DataFrame, value: str, order: Sequence[Column], by: Sequence[str], name: str, nullable: bool = True
+) -> DataFrame:
+    """Exact ``lag`` of one column over (by, order); a column without nulls needs no box and aggregates faster."""
+    boxed = F.struct(F.col(value).alias("v")) if nullable else F.col(value)
     return sliced_window(
         df, by, order,
         local=lambda w: F.lag(boxed).over(w),
         segment=F.max_by(boxed, F.col(AT)),
         carry=lambda w: F.last("_segment").over(w),
-        combine=lambda here, before: F.coalesce(here, before)["v"],
+        combine=lambda here, before: F.coalesce(here, before)["v"] if nullable else F.coalesce(here, before),
         name=name,
     )
