@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,6 +48,26 @@ def shared_dir(spark: SparkSession) -> str:
     return _fallback[app]
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that they find it wherever the driver started."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="package-"), "tributary.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path nobody used before, inside the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
