@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tributary.session import ship
+
 SLICE_BYTES = 2 << 20
 
 
@@ -32,7 +34,9 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
 
 
 def offsets_of(values: pa.Array) -> np.ndarray:
-    """Byte offsets of a string or binary array, from 0."""
+    """Byte offsets of a string or binary array, from 0; a null takes no bytes."""
+    if values.null_count:
+        values = values.fill_null("" if "string" in str(values.type) else b"")
     wide = pa.types.is_large_string(values.type) or pa.types.is_large_binary(values.type)
     kind = np.int64 if wide else np.int32
     raw = np.frombuffer(values.buffers()[1], kind)[values.offset : values.offset + len(values) + 1].astype(np.int64)
@@ -50,6 +54,8 @@ def bytes_of(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def mapped(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``fn`` over the batches of each partition, with this package at hand."""
+    ship(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import quality
+from tributary.llm import bpe, langid, quality, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -64,3 +65,34 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.host_quality(_table(spark, sf_dir, "documents")).drop("host_rate")
+
+
+@query("op1_secret_scan")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(_table(spark, sf_dir, "documents"))
+    base = [r.kind for r in secrets.BASE_RULES]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    return found.select(
+        "doc_id", *[count(k) for k in base],
+        F.sha2(listed(F.filter("found", lambda x: x["kind"].isin(base))), 256).alias("base_sha256"),
+        listed(F.col("found")).alias("spans"),
+    )
+
+
+@query("op5_bpe")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op9_language")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = langid.in_fold("doc_id", 4, 2)
+    model = langid.train(docs.where(~held_out), "doc_id", "text", "lang")
+    return langid.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
