@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, langid, quality, secrets
+from tributary.llm import bpe, langid, packing, quality, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -96,3 +96,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = langid.in_fold("doc_id", 4, 2)
     model = langid.train(docs.where(~held_out), "doc_id", "text", "lang")
     return langid.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op8_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).drop("ids")

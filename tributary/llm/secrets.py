@@ -67,10 +67,15 @@ def _walk(items, flags: int) -> tuple[frozenset[str] | None, Query]:
     return (strings, EVERY) if whole else (None, _all([*needed, _spelled(strings)]))
 
 
+def _folds_widely(char: str, flags: int) -> bool:
+    """Whether a character in any case may stand for others than A-Z folding tells: k and s have such, and all beyond ASCII may."""
+    return bool(flags & re.IGNORECASE) and (not char.isascii() or (not flags & re.ASCII and char in "kKsS"))
+
+
 def _node(op: str, arg, flags: int) -> tuple[frozenset[str] | None, Query]:
     if op == "LITERAL":
-        return frozenset({chr(arg)}), EVERY
-    if op == "IN" and all(str(o) == "LITERAL" for o, _ in arg):
+        return (None, EVERY) if _folds_widely(chr(arg), flags) else (frozenset({chr(arg)}), EVERY)
+    if op == "IN" and all(str(o) == "LITERAL" and not _folds_widely(chr(c), flags) for o, c in arg):
         return frozenset(chr(c) for _, c in arg), EVERY
     if op == "SUBPATTERN":
         return _walk(arg[3], flags)
