@@ -100,13 +100,15 @@ def tokenized(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
 
 def pack(
-    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", size: int = SEQUENCE, end_id: int = END_ID
+    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", size: int = SEQUENCE, end_id: int = END_ID,
+    with_ids: bool = True,
 ) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids): a row for each piece of a document.
 
     All documents, each with ``end_id`` behind it, form one stream that is cut every ``size`` ids; only the last sequence is
     shorter. The first pass leaves totals by task; their running sum, a row for each task, gives every document its place in
-    the stream, and the second pass cuts. ``ids`` holds a piece's ids as little-endian unsigned 32-bit integers.
+    the stream, and the second pass cuts. ``ids`` holds a piece's ids as little-endian unsigned 32-bit integers; it is left
+    out unless ``with_ids``.
 
     A null or empty text is its end id alone; repeated rows are packed each; an empty table gives no pieces; other columns
     are ignored. The order of documents is that of the table's partitions.
@@ -137,13 +139,15 @@ def pack(
                     wholes.append(n)
                     sequences.append(place // size)
                     offsets.append(place % size)
-                    cuts.append(part)
+                    if with_ids:
+                        cuts.append(part)
                     start += length
             longs = [pa.array(x, pa.int64()) for x in (starts, lengths, sums, wholes, sequences, offsets)]
-            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
+            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+            bodies = [pa.array(cuts, pa.binary())] if with_ids else []
             doc_ids = piece.column("doc_id").take(pa.array(which, pa.int64()))
-            yield pa.RecordBatch.from_arrays([doc_ids, *longs, pa.array(cuts, pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([doc_ids, *longs, *bodies], names=names + ["ids"] * with_ids)
 
     doc_kind = dict(docs.dtypes)[id_col]
-    schema = f"doc_id {doc_kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
-    return mapped(placed, cut, schema)
+    schema = f"doc_id {doc_kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+    return mapped(placed, cut, schema + ", ids binary" * with_ids)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, langid, packing, quality, secrets
+from tributary.llm import bpe, langid, packing, quality, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -100,4 +100,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).drop("ids")
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+
+
+@query("op4_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return toxicity.held_out_scores(docs, labels)
