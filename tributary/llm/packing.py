@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -23,8 +25,20 @@ LONGEST_CACHED, CACHED_WORDS = 48, 700_000
 TOGETHER = 1000
 
 
+#: Words of letters that no normal form changes, alone or before a full stop or comma.
+LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
+STOPPED = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+[.,]").fullmatch
+
+#: How the tokenizer must cut a text for its words to be encoded one by one (a fixed value).
+WORDWISE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
 class WordIds:
-    """Ids of whole texts by a tokenizer that drops white space, so that no id spans two words: words are encoded once."""
+    """Ids of whole texts by a tokenizer file.
+
+    Where the tokenizer cuts by ``WORDWISE``, no id spans white space, or a letter and a full stop or comma behind it, so words
+    are encoded once, and a word before such a mark is not encoded again. Any other tokenizer encodes texts as they are.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
@@ -32,37 +46,59 @@ class WordIds:
         self.tokenizer.no_padding()
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.known: dict[str, bytes] = {"": b""}
+        spec = json.loads(self.tokenizer.to_str())
+        cuts = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        self.wordwise = any(x.get("pattern") == {"Regex": WORDWISE} and x.get("invert") for x in cuts)
+        self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        suffix = spec["model"].get("end_of_word_suffix")
+        self.closing = np.zeros(self.size, bool) if suffix else None
+        for token, i in self.tokenizer.get_vocab().items() if suffix else ():
+            self.closing[i] = token.endswith(suffix)
+        self.stops = {c: np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, self.kind).tobytes() for c in ".,"}
 
         # a mark that is one id wherever it stands alone, so that many words can be encoded as one text
         marks = ((c, self.tokenizer.encode(c, add_special_tokens=False).ids) for c in "^~|")
         self.mark, self.mark_id = next(((c, ids[0]) for c, ids in marks if len(ids) == 1), (None, None))
 
-    def _learn(self, words: list[str]) -> None:
-        joined = [w for w in words if self.mark and self.mark not in w]
-        for at in range(0, len(joined), TOGETHER):
-            some = joined[at : at + TOGETHER]
-            text = f" {self.mark} ".join([*some, ""])
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
-            ends = np.flatnonzero(ids == self.mark_id)
-            raw, size = ids.tobytes(), self.kind.itemsize
+    def _together(self, words: list[str], between: str, is_end: np.ndarray, keep_end: int) -> None:
+        """Encodes many words as one text and cuts the ids where ``is_end`` says so."""
+        size = self.kind.itemsize
+        for at in range(0, len(words), TOGETHER):
+            some = words[at : at + TOGETHER]
+            ids = np.array(self.tokenizer.encode_batch_fast([between.join([*some, ""])], add_special_tokens=False)[0].ids, self.kind)
+            ends = np.flatnonzero(is_end[ids])
             starts = np.concatenate([[0], ends[:-1] + 1])
-            self.known.update((w, raw[a:b]) for w, a, b in zip(some, (starts * size).tolist(), (ends * size).tolist(), strict=True))
-        alone = [w for w in words if self.mark in w] if self.mark else words
+            raw = ids.tobytes()
+            self.known.update([(w, raw[a:b]) for w, a, b in zip(some, (starts * size).tolist(), ((ends + keep_end) * size).tolist(), strict=True)])
+
+    def _learn(self, words: list[str]) -> None:
+        plain = [w for w in words if LETTERS(w)] if self.closing is not None else []
+        others = list(set(words).difference(plain)) if plain else words
+        alone = [w for w in others if self.mark is None or self.mark in w]
+        if plain:  # each is one piece, whose last id says so
+            self._together(plain, " ", self.closing, 1)
+        if len(alone) < len(others):
+            self._together([w for w in others if self.mark not in w], f" {self.mark} ", np.arange(self.size) == self.mark_id, 0)
         for w, x in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False), strict=True):
             self.known[w] = np.array(x.ids, self.kind).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes of ``kind``."""
+        if not self.wordwise:
+            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            return [np.array(x.ids, self.kind).tobytes() for x in found]
         cut = [x.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for x in texts]
         missing = [w for w in set().union(*cut) if w not in self.known]
         if len(self.known) + len(missing) > CACHED_WORDS:
             self.known = {"": b""}
-            missing = [w for w in set().union(*cut) if w]
-        self._learn(missing)
+            missing = [w for w in set().union(*cut) if w not in self.known]
+        ended = [w for w in missing if STOPPED(w)]
+        self._learn([*{w[:-1] for w in ended}.difference(self.known).union(missing).difference(ended)])
+        self.known.update([(w, self.known[w[:-1]] + self.stops[w[-1]]) for w in ended])
         out = [b"".join(map(self.known.__getitem__, words)) for words in cut]
-        for w in missing:
-            if len(w) > LONGEST_CACHED:
-                del self.known[w]
+        for w in [x for x in missing if len(x) > LONGEST_CACHED]:
+            self.known.pop(w)
+            self.known.pop(w[:-1], None)
         return out
 
 
