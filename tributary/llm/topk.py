@@ -17,6 +17,9 @@ PIVOTS, PIVOT_SAMPLE = 32, 512
 #: Candidates and queries that one task holds at a time, at least and at most; in between, as many cells as SPREAD.
 CELL, CHUNK, SPREAD = (512, 16_384), (2048, 16_384), 64
 
+#: Bounds that are held at once.
+BOUNDS = 1 << 18
+
 
 def whole_vectors(rows: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
     """(vec_id, vec, dim): floor(scale * x) of vectors whose components are all there and finite; a row for each id.
@@ -74,27 +77,35 @@ def _matrix(column: pa.ChunkedArray, n: int, kind: type) -> np.ndarray:
     return flat.to_numpy(zero_copy_only=False).astype(kind).reshape(n, -1)
 
 
-def best_of_cell(ids: np.ndarray, x: np.ndarray, table: np.ndarray, query_id, q: np.ndarray, row: np.ndarray, k: int) -> list[tuple[int, int]]:
-    """(position, score) of the ``k`` best candidates but the query's own, equal scores by id.
+def upper_bounds(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """For queries (distances to pivots in ``rows``) and candidates (in ``table``) a bound on the inner product from above.
+
+    A candidate is at least as far from a query as their distances to any pivot differ. The first pivot is the origin.
+    """
+    low = np.zeros((len(rows), len(table)))
+    for p in range(table.shape[1]):
+        np.maximum(low, np.abs(table[:, p] - rows[:, p, None]), out=low)
+    lengths = table[:, 0] ** 2 + rows[:, 0, None] ** 2
+    return (lengths - np.maximum(low * (1 - 1e-9) - 1e-6, 0) ** 2) / 2 * (1 + 1e-9) + 1
+
+
+def best_of_cell(ids: np.ndarray, x: np.ndarray, above: np.ndarray, order: np.ndarray, q: np.ndarray, k: int) -> list[tuple[int, object]]:
+    """(score, id) of the ``k`` best candidates, equal scores by id.
 
-    A candidate is at least as far from the query as their distances to any pivot differ, which bounds the inner product from
-    above. Candidates are evaluated in the order of their bounds until the next bound falls below the k-th score.
+    Candidates are evaluated in the order of their bounds, until the next bound falls below the k-th score.
     """
-    low = np.abs(table - row).max(axis=1)
-    own = table[:, 0] ** 2 + row[0] ** 2  # the first pivot is the origin
-    above = (own - np.maximum(low * (1 - 1e-9) - 1e-6, 0) ** 2) / 2 * (1 + 1e-9) + 1
-    order = np.argsort(-above, kind="stable")
-    order = order[ids[order] != query_id]
-    best: list[tuple[int, int]] = []
+    best: list[tuple[int, object]] = []
     at, step = 0, 64
-    while at < len(order) and (len(best) < k or above[order[at]] >= best[-1][1]):
+    while at < len(order) and (len(best) < k or above[order[at]] >= -best[-1][0]):
         some = order[at : at + step]
         scores = x[some] @ q
-        best += zip(some.tolist(), scores.tolist(), strict=True)
-        best.sort(key=lambda b: (-b[1], ids[b[0]]))
-        del best[k:]
+        if len(best) >= k:
+            some, scores = some[good := scores >= -best[-1][0]], scores[good]
+        if len(some) > 4 * k:  # no more than the k-th of these and its equals can stay
+            some, scores = some[good := scores >= np.partition(scores, -k)[-k]], scores[good]
+        best = sorted(best + [(-int(s), i) for s, i in zip(scores.tolist(), ids[some].tolist(), strict=True)])[:k]
         at, step = at + step, step * 2
-    return [(i, int(s)) for i, s in best]
+    return [(-s, i) for s, i in best]
 
 
 def _exact(x: np.ndarray, q: np.ndarray) -> type:
@@ -138,8 +149,13 @@ def top_k(
             x, q = x.astype(kind), q.astype(kind)
             table, rows = _matrix(near["table"], near.num_rows, np.float64), _matrix(asked["table"], asked.num_rows, np.float64)
             ids = near["vec_id"].to_numpy()
-            for i, query_id in enumerate(asked["vec_id"].to_pylist()):
-                out += [(query_id, ids[at], score) for at, score in best_of_cell(ids, x, table, query_id, q[i], rows[i], k)]
+            asked_ids = asked["vec_id"].to_numpy()
+            for first in range(0, len(q), block := max(1, BOUNDS // len(x))):
+                above = upper_bounds(table, rows[first : first + block])
+                order = np.argsort(-above, axis=1, kind="stable")
+                for i, query_id in enumerate(asked_ids[first : first + block].tolist()):
+                    others = order[i][ids[order[i]] != query_id]
+                    out += [(query_id, one, score) for score, one in best_of_cell(ids, x, above[i], others, q[first + i], k)]
         columns = list(zip(*out, strict=True)) or [[], [], []]
         kinds = (near.schema.field("vec_id").type, near.schema.field("vec_id").type, pa.int64())
         return pa.table({n: pa.array(list(c), t) for n, c, t in zip(("query_id", "vec_id", "score"), columns, kinds, strict=True)})
