@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, langid, neardup, packing, quality, secrets, topk, toxicity
+from tributary.llm import bpe, langid, neardup, packing, quality, repeats, secrets, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -130,3 +130,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_near_duplicates")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+@query("op2_suffix_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_digests(_table(spark, sf_dir, "documents"))
