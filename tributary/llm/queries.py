@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, langid, neardup, packing, quality, repeats, secrets, topk, toxicity
+from tributary.llm import bpe, langid, lm, neardup, packing, quality, repeats, secrets, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -135,3 +135,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_suffix_dedup")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_digests(_table(spark, sf_dir, "documents"))
+
+
+@query("op3_lm_score")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return lm.score(docs, lm.train(docs))
