@@ -19,6 +19,11 @@ def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def as_row(docs: DataFrame) -> Column:
+    """All columns as one, so that no name meets another beside it; ``row.*`` gives them back."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of ``batches`` in order, in pieces of about ``limit`` bytes of ``column``; a longer value is a piece of its own."""
     for batch in batches:

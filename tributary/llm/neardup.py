@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.arrow import bytes_of, mapped, mix, slices, texts_of, words_in
+from tributary.llm.arrow import as_row, bytes_of, mapped, mix, slices, texts_of, words_in
 from tributary.llm.graph import components
 from tributary.session import materialize
 
@@ -94,7 +94,7 @@ def _print_of(hashes: np.ndarray) -> bytes:
 
 
 def sketches(docs: DataFrame, size: int, bands: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, n_shingles, f1, f2, bands): the set's size, its fingerprint and its band keys, a row per row of ``docs``."""
+    """(doc_id, print, n_shingles, f1, f2, bands): a hash of the text, the set's size, its fingerprint and its band keys."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
@@ -103,14 +103,15 @@ def sketches(docs: DataFrame, size: int, bands: int, id_col: str, text_col: str)
             keys = [_bands(signature(s, bands * ROWS), bands) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
-                    piece.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints[:, 0]), pa.array(prints[:, 1]),
+                    piece.column("id"), piece.column("print"), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints[:, 0]), pa.array(prints[:, 1]),
                     pa.array(keys, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "f1", "f2", "bands"],
+                names=["doc_id", "print", "n_shingles", "f1", "f2", "bands"],
             )
 
     kind = dict(docs.dtypes)[id_col]
-    return mapped(texts_of(docs, id_col, text_col), sketch, f"doc_id {kind}, n_shingles long, f1 long, f2 long, bands array<bigint>")
+    texts = texts_of(docs, id_col, text_col).withColumn("print", F.xxhash64("text"))
+    return mapped(texts, sketch, f"doc_id {kind}, print long, n_shingles long, f1 long, f2 long, bands array<bigint>")
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
@@ -168,6 +169,26 @@ def near_duplicates(
     with nothing; rows with one id and one text share a verdict; rows without id are kept if their component has no id at
     all; an empty table gives no rows; other columns are ignored.
     """
+    return _verdicts(docs, size, percent, id_col, text_col).drop("print")
+
+
+def without_near_duplicates(
+    docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns; of rows with one id and one text, one."""
+    kept = materialize(_verdicts(docs, size, percent, id_col, text_col).where("kept").select("doc_id", "print"), "kept")
+    keys = kept.select(F.col("doc_id").alias("_id"), F.col("print").alias("_p")).distinct()
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    marked = docs.select(as_row(docs), F.col(id_col).alias("id"), F.xxhash64(text).alias("print"))
+    out = marked.join(keys, F.col("id").eqNullSafe(F.col("_id")) & (F.col("print") == F.col("_p")), "left_semi")
+    again = kept.groupBy("doc_id", "print").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    if not again.isEmpty():
+        out = out.dropDuplicates(["id", "print"])
+    return out.select("row.*")
+
+
+def _verdicts(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """``near_duplicates`` with ``print``."""
     bands = bands_for(percent)
     rows = materialize(sketches(docs, size, bands, id_col, text_col), "sketches")
     nodes = rows.where("n_shingles > 0").groupBy("f1", "f2").agg(
@@ -218,6 +239,6 @@ def near_duplicates(
     named = nodes.select("node", "label", "f1", "f2").join(of, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("label").alias("component_id"))
     verdict = named.join(least, "component").select("f1", "f2", "component_id")
-    full = rows.where("n_shingles > 0").join(verdict, ["f1", "f2"]).select("doc_id", "n_shingles", "component_id")
-    empty = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    full = rows.where("n_shingles > 0").join(verdict, ["f1", "f2"]).select("doc_id", "print", "n_shingles", "component_id")
+    empty = rows.where("n_shingles = 0").select("doc_id", "print", "n_shingles", F.col("doc_id").alias("component_id"))
     return full.unionByName(empty).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.llm.anchors import GRAM, pieces, segments
-from tributary.llm.arrow import bytes_of, mapped, mix, offsets_of, slices
+from tributary.llm.arrow import as_row, bytes_of, mapped, mix, slices
 from tributary.llm.suffixes import equal_windows
 from tributary.session import materialize
 
@@ -302,12 +302,14 @@ def _merged(spans: list[dict]) -> list[tuple[int, int]]:
 
 
 def _with_spans(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
+    """(row, text, spans): the other columns of each row of ``docs``, its text and what to take out of it."""
     spans = repeated_spans(docs, window, id_col, text_col)
     by_doc = spans.groupBy("ord", "print").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
     text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.withColumns({"_ord": F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)), "_print": F.xxhash64(text)})
-    renamed = by_doc.select(F.col("ord").alias("_o"), F.col("print").alias("_p"), F.col("spans").alias("_spans"))
-    return keyed.join(renamed, (F.col("_ord") == F.col("_o")) & (F.col("_print") == F.col("_p")), "left").drop("_ord", "_print", "_o", "_p")
+    keyed = docs.select(
+        as_row(docs.drop(text_col)), F.col(text_col).alias("text"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("ord"), F.xxhash64(text).alias("print")
+    )
+    return keyed.join(by_doc, ["ord", "print"], "left").select("row", "text", "spans")
 
 
 def repeat_digests(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -318,7 +320,9 @@ def repeat_digests(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     texts, as do different texts under one id. A repeated row is the same document and doesn't repeat itself. Null texts
     count as empty and keep their nothing; an empty table gives no rows; other columns are ignored.
     """
-    rows = _with_spans(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), window, "doc_id", "text")
+    named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = _with_spans(named, window, "doc_id", "text")
+    rows = rows.select(F.col("row.doc_id").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), "spans")
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
@@ -336,7 +340,6 @@ def repeat_digests(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
             )
 
-    rows = rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("_spans").alias("spans"))
     kind = dict(docs.dtypes)[id_col]
     return mapped(rows, digest, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
@@ -346,9 +349,9 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
     rows = _with_spans(docs, window, id_col, text_col)
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, text_col):
+        for piece in slices(batches):
             texts = []
-            for text, spans in zip(piece.column(text_col).to_pylist(), piece.column("_spans").to_pylist(), strict=True):
+            for text, spans in zip(piece.column("text").to_pylist(), piece.column("spans").to_pylist(), strict=True):
                 if text is not None and spans:
                     raw, out, at = text.encode(), [], 0
                     for a, b in _merged(spans):
@@ -356,7 +359,8 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
                         at = b
                     text = "".join([*out, raw[at:].decode("utf-8", "ignore")])
                 texts.append(text)
-            at = piece.schema.get_field_index(text_col)
-            yield piece.set_column(at, piece.schema.field(at), pa.array(texts, piece.schema.field(at).type)).drop_columns(["_spans"])
+            yield pa.RecordBatch.from_arrays([piece.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
 
-    return mapped(rows, clean, docs.schema)
+    kind = rows.schema["row"].dataType.simpleString()
+    done = mapped(rows, clean, f"row {kind}, text string")
+    return done.select(*[F.col("text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns])

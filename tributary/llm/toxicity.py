@@ -105,14 +105,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if not counted["k"]:
         return None
     prior = min(max(counted["k"] / counted["n"], 0.001), 0.5)
-    known = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
+    known = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).where("doc is not null and text is not null")
     # the sample is bounded by its parameter, so it may be broadcast
     ids = bounded_sample(judged.where("toxic").select("id"), TOXIC_DOCS, F.col("id"))
-    toxic = known.join(F.broadcast(ids), F.col(id_col) == F.col("id"), "left_semi")
-    plain = bounded_sample(known, UNLABELLED_DOCS, F.col(id_col))
-    sample = toxic.select(F.col(text_col).alias("text"), F.lit(True).alias("toxic")).unionByName(
-        plain.select(F.col(text_col).alias("text"), F.lit(False).alias("toxic"))
-    )
+    toxic = known.join(F.broadcast(ids), F.col("doc") == F.col("id"), "left_semi")
+    plain = bounded_sample(known, UNLABELLED_DOCS, F.col("doc"))
+    sample = toxic.select("text", F.lit(True).alias("toxic")).unionByName(plain.select("text", F.lit(False).alias("toxic")))
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
@@ -167,6 +165,19 @@ def score(docs: DataFrame, model: Classifier | None, id_col: str = "doc_id", tex
     return mapped(texts_of(docs, id_col, text_col), judge, f"doc_id {dict(docs.dtypes)[id_col]}, score double, predicted int")
 
 
+def without_toxic(docs: DataFrame, model: Classifier | None, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, with all their columns; a null text counts as empty."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = sent.value
+        for piece in slices(batches, text_col):
+            keep = [not known or known.score(x or "") < threshold for x in piece.column(text_col).to_pylist()]
+            yield piece.filter(pa.array(keep, pa.bool_()))
+
+    return mapped(docs, judge, docs.schema)
+
+
 def learnable(rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows that labels may be learned from: two folds of three by the id."""
     return rows.where(~in_fold(id_col, 3, 1))
