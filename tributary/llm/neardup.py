@@ -17,8 +17,8 @@ from tributary.session import materialize
 
 #: Bins in a band. There are as many bands as it takes to miss a pair at the threshold less often than MISSED.
 ROWS, MISSED = 5, 1e-8
-#: Star rounds before what is left is compared directly.
-STARS = 2
+#: Star rounds before what is left is compared directly, and classes of hashes that are told apart by their size then.
+STARS, CLASSES = 2, 1 << 18
 
 
 def bands_for(percent: int) -> int:
@@ -151,6 +151,55 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return mapped(both, check, "a long, b long")
 
 
+def _prefixes(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(key, node, n, component): of each set its first hashes in an order from rare to frequent, as many as it can't do without.
+
+    Two sets at the threshold lack less than so many of each other's hashes, so they share one of these, whatever the order is.
+    Hashes are ordered by the size of their class, of ``CLASSES``, over all sets; a passage that many share comes last.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CLASSES, np.int64)
+        for batch in batches:
+            flat = np.frombuffer(b"".join(batch.column("set").to_pylist()), np.uint64)
+            total += np.bincount((flat % np.uint64(CLASSES)).astype(np.int64), minlength=CLASSES)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["class", "n"])
+
+    here = materialize(nodes.join(sets, "node"), "unsettled-sets")
+    sizes = np.zeros(CLASSES, np.int64)  # as many rows as classes at most
+    found = mapped(here.select("set"), count, "class long, n long").groupBy("class").agg(F.sum("n").alias("n")).toArrow()
+    sizes[found["class"].to_numpy()] = found["n"].to_numpy()
+    sent = nodes.sparkSession.sparkContext.broadcast(sizes)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size_of = sent.value
+        for piece in slices(batches, "set"):
+            keys = []
+            for raw in piece.column("set").to_pylist():
+                h = np.frombuffer(raw, np.uint64)
+                order = np.lexsort((h, size_of[(h % np.uint64(CLASSES)).astype(np.int64)]))
+                keys.append(h[order[: len(h) - -(-percent * len(h) // 100) + 1]].view(np.int64))
+            yield piece.select(["node", "n", "component"]).append_column("keys", pa.array(keys, pa.list_(pa.int64())))
+
+    told = mapped(here, first, "node long, n long, component long, keys array<bigint>")
+    return told.select(F.explode("keys").alias("key"), "node", "n", "component")
+
+
+def _rest(joined: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(x, y, n, m): nodes of unsettled buckets that may still be linked with a node of another component.
+
+    Under each key of the sets' prefixes, all but the members of its largest component are paired with those of others.
+    """
+    prefixes = materialize(_prefixes(joined.select("node", "n", "component").distinct(), sets, percent), "prefixes")
+    sizes = prefixes.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
+    main = sizes.groupBy("key").agg(F.max(F.struct("c", "component")).alias("top"), F.count(F.lit(1)).alias("of")).where("of > 1")
+    main = main.select("key", F.col("top.component").alias("main"))
+    minor = prefixes.join(main, "key").where("component != main").select("key", F.col("node").alias("x"), "n", "component")
+    other = prefixes.select("key", F.col("node").alias("y"), F.col("n").alias("m"), F.col("component").alias("its"))
+    return minor.join(other, "key").where("component != its")
+
+
 def near_duplicates(
     docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -162,8 +211,8 @@ def near_duplicates(
     1. Documents with one set become one node, so copies cost nothing further.
     2. Band keys put nodes into buckets. In each bucket every member is paired with one centre only. Pairs are confirmed on
        full sets; confirmed links make components. A second round takes other centres where a bucket still has several.
-    3. What is then left of a bucket outside its largest component is paired with its members of other components, so that
-       no link is lost to a badly chosen centre.
+    3. Members of buckets that still have several components are compared exactly: sets at the threshold share one of their
+       rarest hashes, so only nodes that do are paired, and no link is lost to a badly chosen centre.
 
     A pair at the threshold shares no bucket with a chance below ``MISSED``. Null and empty texts have no shingles and are linked
     with nothing; rows with one id and one text share a verdict; rows without id are kept if their component has no id at
@@ -219,11 +268,7 @@ def _verdicts(docs: DataFrame, size: int, percent: int, id_col: str, text_col: s
             other = joined.select("key", F.col("node").alias("y"), F.col("n").alias("m"), F.col("component").alias("its"))
             pairs = found.where("x != y").join(other, ["key", "y"]).where("component != its")
         else:
-            sizes = joined.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
-            main = sizes.groupBy("key").agg(F.max(F.struct("c", "component")).alias("top")).select("key", F.col("top.component").alias("main"))
-            minor = joined.join(main, "key").where("component != main").select("key", F.col("node").alias("x"), "n", "component")
-            other = joined.select("key", F.col("node").alias("y"), F.col("n").alias("m"), F.col("component").alias("its"))
-            pairs = minor.join(other, "key").where("component != its")
+            pairs = _rest(joined, sets, percent)
         pairs = possible(pairs)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
