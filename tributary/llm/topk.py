@@ -42,7 +42,8 @@ def choose_pivots(vectors: DataFrame) -> dict[int, np.ndarray]:
     sample = bounded_sample(vectors, PIVOT_SAMPLE, F.col("vec_id")).orderBy(F.xxhash64("vec_id"), "vec_id").collect()
     out = {}
     for dim in {r["dim"] for r in sample}:
-        x = np.array([r["vec"] for r in sample if r["dim"] == dim], float).reshape(-1, dim)
+        own = [r["vec"] for r in sample if r["dim"] == dim]
+        x = np.array(own, float).reshape(len(own), dim)
         chosen = [np.zeros(dim)]
         far = np.sqrt((x**2).sum(axis=1))
         while len(chosen) <= PIVOTS and far.max() > 0:
@@ -72,9 +73,12 @@ def with_distances(vectors: DataFrame, pivots: dict[int, np.ndarray]) -> DataFra
     return mapped(vectors, measure, f"vec_id {kind}, vec array<bigint>, dim int, table array<double>")
 
 
-def _matrix(column: pa.ChunkedArray, n: int, kind: type) -> np.ndarray:
+def _matrix(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    """Lists of one length as rows."""
+    n = len(column)
     flat = pa.concat_arrays(column.chunks).flatten() if column.num_chunks else pa.array([], pa.float64())
-    return flat.to_numpy(zero_copy_only=False).astype(kind).reshape(n, -1)
+    flat = flat.to_numpy(zero_copy_only=False).astype(kind)
+    return flat.reshape(n, len(flat) // n)
 
 
 def upper_bounds(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -144,10 +148,10 @@ def top_k(
     def search(key: tuple, near: pa.Table, asked: pa.Table) -> pa.Table:
         out: list[tuple] = []
         if near.num_rows and asked.num_rows:
-            x, q = _matrix(near["vec"], near.num_rows, np.int64), _matrix(asked["vec"], asked.num_rows, np.int64)
+            x, q = _matrix(near["vec"], np.int64), _matrix(asked["vec"], np.int64)
             kind = _exact(x, q)
             x, q = x.astype(kind), q.astype(kind)
-            table, rows = _matrix(near["table"], near.num_rows, np.float64), _matrix(asked["table"], asked.num_rows, np.float64)
+            table, rows = _matrix(near["table"], np.float64), _matrix(asked["table"], np.float64)
             ids = near["vec_id"].to_numpy()
             asked_ids = asked["vec_id"].to_numpy()
             for first in range(0, len(q), block := max(1, BOUNDS // len(x))):
