@@ -32,7 +32,10 @@ def page_of(column: str = "id") -> Column:
 
 def land_files(files: DataFrame) -> str:
     """Files below a posix path of the shared folder, written by the tasks that hold them."""
-    base = urlparse(fresh_path(files.sparkSession, "files")).path
+    where = urlparse(fresh_path(files.sparkSession, "files"))
+    if where.scheme not in ("", "file"):
+        raise RuntimeError(f"local files need a shared folder that executors mount, not {where.scheme}://")
+    base = where.path
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -68,7 +68,7 @@ def normalize_documents(spark, d):
         fixed_now().alias("created_at"), fixed_now().alias("updated_at"),
     )
     bodies = f.where(F.col("id") % 10 != 3).select(
-        "path", "content", c.content_type_by_ext(c.file_extension(F.col("path"))).alias("content_type"), "language"
+        "source_id", "path", "content", c.content_type_by_ext(c.file_extension(F.col("path"))).alias("content_type"), "language"
     )
     return ev.normalize_documents(items, bodies).select(
         "id", "source_id", "connector_type", "external_id", "name", "path", "size_bytes", "content_hash", "language",

@@ -1,7 +1,5 @@
 """End-to-end flows."""
 
-import datetime
-
 from pyspark.sql import functions as F
 
 from suite import views as v
@@ -46,13 +44,23 @@ def full_sync_requests(spark, d):
     return flows.sync_requests(flows.full_sync(v.files(spark, d), OPTIONS, 4), "s3://blobs")
 
 
+SQL_SOURCE_NO = "CAST(regexp_extract(source_id, '(\\d+)$', 1) AS INT)"
+SQL_FRESH = f"""({SQL_SOURCE_NO} % 5 = 4 OR timestamp >= TIMESTAMP '2024-01-01 00:02:00' + to_minutes({SQL_SOURCE_NO} % 3))"""
+
+
+def cursors(spark, d):
+    """A cursor per source; one source in five has none yet."""
+    sources = v.files(spark, d).select("source_id").distinct()
+    no = F.regexp_extract("source_id", r"(\d+)$", 1).cast("int")
+    return sources.where(no % 5 != 4).select("source_id", v.at(F.lit(1704067320) + no % 3 * 60).alias("cursor"))
+
+
 @query("incremental_sync", f"""SELECT 'document' AS kind, f.path AS what, CASE WHEN strlen(f.content) <= 4096 THEN 'inline' ELSE 'reference' END AS value FROM
-  (SELECT * FROM {SQL_CHANGES} WHERE timestamp > TIMESTAMP '2024-01-01 00:02:00' QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY timestamp DESC) = 1) x
-  JOIN files f ON f.path = x.item_id WHERE x.change_type <> 'deleted' AND f.id % 10 <> 7
-  UNION ALL SELECT 'cursor', source_id, strftime(max(timestamp), '%Y-%m-%d %H:%M:%S') FROM {SQL_CHANGES} WHERE timestamp > TIMESTAMP '2024-01-01 00:02:00' GROUP BY source_id""")
+  (SELECT * FROM {SQL_CHANGES} WHERE {SQL_FRESH} QUALIFY row_number() OVER (PARTITION BY source_id, item_id ORDER BY timestamp DESC) = 1) x
+  JOIN files f ON f.source_id = x.source_id AND f.path = x.item_id WHERE x.change_type <> 'deleted' AND f.id % 10 <> 7
+  UNION ALL SELECT 'cursor', source_id, strftime(max(timestamp), '%Y-%m-%d %H:%M:%S') FROM {SQL_CHANGES} WHERE {SQL_FRESH} GROUP BY source_id""")
 def incremental_sync(spark, d):
-    since = F.lit(datetime.datetime(2024, 1, 1, 0, 2)).cast("timestamp_ntz")
-    found, cursor = flows.incremental_sync(item_changes(spark, d), items(spark, d), since, 4)
+    found, cursor = flows.incremental_sync(item_changes(spark, d), items(spark, d), cursors(spark, d), 4)
     return found.select(F.lit("document").alias("kind"), F.col("path").alias("what"), F.col("route").alias("value")).unionByName(
         cursor.select(F.lit("cursor").alias("kind"), F.col("source_id").alias("what"), F.date_format("cursor", "yyyy-MM-dd HH:mm:ss").alias("value"))
     )

@@ -65,15 +65,15 @@ def items(spark, d):
 
 
 @query("incremental_documents", f"""SELECT f.id, f.path, x.change_type, x.cursor, strlen(f.content) AS size_bytes FROM
-  (SELECT * FROM {SQL_CHANGES} QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY timestamp DESC) = 1) x
-  JOIN files f ON f.path = x.item_id WHERE x.change_type <> 'deleted' AND f.id % 10 <> 7""")
+  (SELECT * FROM {SQL_CHANGES} QUALIFY row_number() OVER (PARTITION BY source_id, item_id ORDER BY timestamp DESC) = 1) x
+  JOIN files f ON f.source_id = x.source_id AND f.path = x.item_id WHERE x.change_type <> 'deleted' AND f.id % 10 <> 7""")
 def incremental_documents(spark, d):
-    found = joins.incremental_documents(item_changes(spark, d).drop("source_id"), items(spark, d))
+    found = joins.incremental_documents(item_changes(spark, d), items(spark, d))
     return found.select("id", "path", "change_type", "cursor", F.octet_length("content").cast("long").alias("size_bytes"))
 
 
 @query("incremental_cursor", f"""SELECT source_id, count(*) AS changes, max(timestamp) AS cursor FROM {SQL_CHANGES}
-  WHERE timestamp > TIMESTAMP '2024-01-02 00:01:00' GROUP BY 1""")
+  WHERE timestamp >= TIMESTAMP '2024-01-02 00:01:00' GROUP BY 1""")
 def incremental_cursor(spark, d):
     since = F.lit(datetime.datetime(2024, 1, 2, 0, 1)).cast("timestamp_ntz")
     fresh = ch.changes_since(item_changes(spark, d), since)

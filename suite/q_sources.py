@@ -206,12 +206,16 @@ def push_payloads(spark, d):
     return v.pushes(spark, d).select("id", F.col("body").alias("payload"))
 
 
-@query("changes_github", "SELECT g AS id, item_id, change_type, cursor FROM push_files")
+SQL_ORDERED = """(SELECT *, 0 AS commit_no, CAST(row_number() OVER (PARTITION BY g
+  ORDER BY CASE change_type WHEN 'created' THEN 0 WHEN 'updated' THEN 1 ELSE 2 END, item_id) - 1 AS INT) AS position FROM push_files)"""
+
+
+@query("changes_github", f"SELECT g AS id, item_id, change_type, cursor, commit_no, position FROM {SQL_ORDERED}")
 def changes_github(spark, d):
     return ch.changes_github(push_payloads(spark, d))
 
 
-@query("changes_gitlab", "SELECT g AS id, item_id, change_type, cursor FROM push_files WHERE g % 4 <> 0")
+@query("changes_gitlab", f"SELECT g AS id, item_id, change_type, cursor, commit_no, position FROM {SQL_ORDERED} WHERE g % 4 <> 0")
 def changes_gitlab(spark, d):
     return ch.changes_gitlab(push_payloads(spark, d))
 

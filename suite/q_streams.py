@@ -23,7 +23,7 @@ def drained(stream, schema=None):
 @query("read_event_stream", """SELECT topic, CAST(partition AS INT) AS partition, "offset", key, value, epoch_us(ts) // 1000 AS timestamp FROM messages""")
 def read_event_stream(spark, d):
     path = landing.land_messages(v.messages(spark, d))
-    return drained(streams.read_event_stream(spark, "parquet", path).drop("event_time"))
+    return drained(streams.read_event_stream(spark, "parquet", path, batch_size=2).drop("event_time"))
 
 
 @query("write_event_stream", """WITH ring AS (SELECT md5('partition-' || p || '-vnode-' || i) AS h, CAST(p AS INT) AS p FROM range(3) a(p), range(150) b(i)),

@@ -96,7 +96,10 @@ def source_stats(files: DataFrame, chunks: DataFrame, jobs: DataFrame) -> DataFr
 
 
 def dlq_candidates(failures: DataFrame, max_retries: int = 3) -> DataFrame:
-    """Every ``max_retries``-th failure of a message becomes a dead-letter envelope; counting then restarts."""
+    """Every ``max_retries``-th failure of a message becomes a dead-letter envelope; counting then restarts.
+
+    A value that is no JSON goes as a string, a missing one as null, so the envelope is always JSON.
+    """
     # only the ids are ranked; payloads move once, for the attempts that die
     counted = ranked(failures.select("topic", "partition", "offset", "seq"), [F.col("seq")], ["topic", "partition", "offset"], "_attempt")
     dead = failures.join(counted.where(F.col("_attempt") % max_retries == 0).select("seq"), "seq", "left_semi")
@@ -104,7 +107,8 @@ def dlq_candidates(failures: DataFrame, max_retries: int = 3) -> DataFrame:
         F.lit('{"original_topic":'), _json_string(F.col("topic")),
         F.lit(',"original_partition":'), F.col("partition").cast("string"),
         F.lit(',"original_offset":'), F.col("offset").cast("string"),
-        F.lit(',"original_value":'), F.col("value"),
+        F.lit(',"original_value":'),
+        F.coalesce(F.when(F.try_parse_json("value").isNotNull(), F.col("value")), _json_string(F.col("value")), F.lit("null")),
         F.lit(',"error":'), F.coalesce(_json_string(F.col("error")), F.lit("null")),
         F.lit(f',"retry_count":{max_retries}}}'),
     )

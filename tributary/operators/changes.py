@@ -26,16 +26,21 @@ def _paths(paths: Column, change: str, cursor: Column) -> Column:
     )
 
 
+def _ordered(rows: DataFrame, array: str | Column, keep: list, at: str, element: str) -> DataFrame:
+    """Elements of an array with their number."""
+    return rows.select(*keep, F.posexplode(array).alias(at, element))
+
+
 def changes_github(webhooks: DataFrame, payload: str = "payload") -> DataFrame:
-    """Added, modified and removed paths of every commit of a push."""
+    """Added, modified and removed paths of every commit of a push, numbered by (commit_no, position) in their order."""
     p, keep = _parsed(webhooks, PUSH, payload)
-    commits = p.select(*keep, F.explode("_p.commits").alias("c"))
+    commits = _ordered(p, "_p.commits", keep, "commit_no", "c")
     cursor = F.col("c.id")
     all_paths = F.concat(
         _paths(F.col("c.added"), "created", cursor), _paths(F.col("c.modified"), "updated", cursor),
         _paths(F.col("c.removed"), "deleted", cursor),
     )
-    return commits.select(*keep, F.explode(all_paths).alias("e")).select(*keep, "e.*")
+    return _ordered(commits, all_paths, [*keep, "commit_no"], "position", "e").select(*keep, "e.*", "commit_no", "position")
 
 
 def changes_gitlab(webhooks: DataFrame, payload: str = "payload") -> DataFrame:
@@ -77,9 +82,16 @@ def changes_onedrive(webhooks: DataFrame, payload: str = "payload") -> DataFrame
     )
 
 
-def changes_since(changes: DataFrame, cursor_ts: Column) -> DataFrame:
-    """Only what came after the stored cursor."""
-    return changes.where(F.col("timestamp") > cursor_ts)
+def changes_since(changes: DataFrame, cursors: Column | DataFrame) -> DataFrame:
+    """Only what came at or after the stored cursor: a time, or a table (source_id, cursor); a source without one starts anew.
+
+    Changes at the cursor's very time are read again, since more of them may have come after it was stored.
+    """
+    if isinstance(cursors, Column):
+        return changes.where(F.col("timestamp") >= cursors)
+    stored = cursors.select(F.col("source_id").alias("_source"), F.col("cursor").alias("_cursor"))
+    joined = changes.join(stored, F.col("source_id") == F.col("_source"), "left")
+    return joined.where(F.col("_cursor").isNull() | (F.col("timestamp") >= F.col("_cursor"))).drop("_source", "_cursor")
 
 
 def new_cursor(changes: DataFrame, keys: list[str]) -> DataFrame:

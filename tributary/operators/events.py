@@ -25,9 +25,9 @@ DEFAULT_PRIORITY = 5
 
 
 def normalize_documents(items: DataFrame, contents: DataFrame, on: str = "path") -> DataFrame:
-    """Listing entries joined with their content as normalized documents; items without content are skipped."""
-    body = contents.select(F.col(on).alias("_on"), "content", "content_type", "language")
-    joined = items.join(body, F.col(on) == F.col("_on"))
+    """Listing entries joined with their source's content as normalized documents; items without content are skipped."""
+    body = contents.select(F.col("source_id").alias("_source"), F.col(on).alias("_on"), "content", "content_type", "language")
+    joined = items.join(body, (F.col("source_id") == F.col("_source")) & (F.col(on) == F.col("_on")))
     return joined.select(
         k.document_id(F.col("source_id"), F.col("id")).alias("id"), "source_id", "connector_type",
         F.col("id").alias("external_id"), "name", "path", "content",

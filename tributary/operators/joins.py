@@ -7,12 +7,12 @@ broadcasts a dimension that measures small and splits a skewed fact partition ot
 from __future__ import annotations
 
 import hashlib
+import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 VIRTUAL_NODES = 150  # fixed value: ring points per partition
-MAX_BROADCAST_POINTS = 1_000_000
 
 
 def job_connector(jobs: DataFrame, connectors: DataFrame) -> DataFrame:
@@ -45,10 +45,15 @@ def sync_status(connectors: DataFrame, jobs: DataFrame) -> DataFrame:
 
 
 def incremental_documents(changes: DataFrame, items: DataFrame) -> DataFrame:
-    """Documents of changed items: latest change per item, deletions dropped, missing items skipped."""
-    latest = latest_by(changes, ["item_id"], ["timestamp", "cursor", "change_type"])
-    live = drop_deleted(latest).select("item_id", "change_type", "cursor")
-    return live.join(items, F.col("item_id") == F.col("external_id")).drop("item_id")
+    """Documents of changed items: latest change per source and item, deletions dropped, missing items skipped.
+
+    Item ids are unique in their source only. Changes of one push carry (commit_no, position), which order equal times.
+    """
+    order = [c for c in ("commit_no", "position") if c in changes.columns] or ["cursor"]
+    latest = latest_by(changes, ["source_id", "item_id"], ["timestamp", *order, "change_type"])
+    live = drop_deleted(latest).select(F.col("source_id").alias("_source"), "item_id", "change_type", "cursor")
+    same = (F.col("_source") == F.col("source_id")) & (F.col("item_id") == F.col("external_id"))
+    return live.join(items, same).drop("item_id", "_source")
 
 
 def drop_deleted(changes: DataFrame) -> DataFrame:
@@ -108,7 +113,10 @@ def missing_vector_chunks(chunks: DataFrame, vectors: DataFrame, as_of: Column,
 
 
 def hash_ring(spark, num_partitions: int) -> DataFrame:
-    """The ring as half-open intervals (lo, hi] of hex keys, repeated per two-digit prefix they touch."""
+    """The ring as half-open intervals (lo, hi] of hex keys, repeated per prefix they touch.
+
+    A prefix has as many digits as leave about one interval under each, however large the ring is.
+    """
     points = sorted(
         (hashlib.md5(f"partition-{p}-vnode-{i}".encode()).hexdigest(), p)
         for p in range(num_partitions)
@@ -117,22 +125,25 @@ def hash_ring(spark, num_partitions: int) -> DataFrame:
     spans = [(lo, hi, owner) for (lo, _), (hi, owner) in zip([("", 0), *points], points)]
     spans.append((points[-1][0], "g", points[0][1]))
     ring = spark.createDataFrame(spans, "lo string, hi string, ring_partition int")
-    first = F.when(F.col("lo") == "", 0).otherwise(F.conv(F.substring("lo", 1, 2), 16, 10).cast("int"))
-    last = F.when(F.col("hi") == "g", 255).otherwise(F.conv(F.substring("hi", 1, 2), 16, 10).cast("int"))
+    digits = prefix_digits(num_partitions)
+    first = F.when(F.col("lo") == "", 0).otherwise(F.conv(F.substring("lo", 1, digits), 16, 10).cast("long"))
+    last = F.when(F.col("hi") == "g", 16**digits - 1).otherwise(F.conv(F.substring("hi", 1, digits), 16, 10).cast("long"))
     prefix = F.explode(F.sequence(first, last))
-    return ring.withColumn("_n", prefix).withColumn("_prefix", F.lower(F.lpad(F.hex(F.col("_n")), 2, "0"))).drop("_n")
+    return ring.withColumn("_n", prefix).withColumn("_prefix", F.lower(F.lpad(F.hex(F.col("_n")), digits, "0"))).drop("_n")
+
+
+def prefix_digits(num_partitions: int) -> int:
+    return max(2, math.ceil(math.log(num_partitions * VIRTUAL_NODES, 16)))
 
 
 def hash_ring_partition(df: DataFrame, key: str, num_partitions: int = 3) -> DataFrame:
     """Partition of every key by consistent hashing: owner of the first ring point at or after md5(key).
 
-    Equal-width lower-case hex compares like the number. The ring has a known number of points, which
-    is checked before it is broadcast. A null key keeps its row and gets no partition.
+    Equal-width lower-case hex compares like the number. The size of the ring is left to be measured, like
+    that of any table. A null key keeps its row and gets no partition.
     """
     ring = hash_ring(df.sparkSession, num_partitions)
-    if num_partitions * VIRTUAL_NODES <= MAX_BROADCAST_POINTS:
-        ring = F.broadcast(ring)
-    hashed = df.withColumn("_h", F.md5(F.col(key))).withColumn("_p", F.substring("_h", 1, 2))
+    hashed = df.withColumn("_h", F.md5(F.col(key))).withColumn("_p", F.substring("_h", 1, prefix_digits(num_partitions)))
     match = (F.col("_p") == F.col("_prefix")) & (F.col("_h") > F.col("lo")) & (F.col("_h") <= F.col("hi"))
     return hashed.join(ring, match, "left").drop("_h", "_p", "_prefix", "lo", "hi")
 
@@ -151,16 +162,19 @@ def events_with_connector(events: DataFrame, connectors: DataFrame) -> DataFrame
 
 
 def listing_diff(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Added, removed and changed paths between two listings of (source_id, path, content_hash)."""
-    o = old.select("source_id", "path", F.col("content_hash").alias("old_hash"))
-    n = new.select("source_id", "path", F.col("content_hash").alias("new_hash"))
+    """Added, removed and changed paths between two listings of (source_id, path, content_hash).
+
+    A listing may have no hashes; a path is there if its row is.
+    """
+    o = old.select("source_id", "path", F.col("content_hash").alias("old_hash"), F.lit(True).alias("_old"))
+    n = new.select("source_id", "path", F.col("content_hash").alias("new_hash"), F.lit(True).alias("_new"))
     both = o.join(n, ["source_id", "path"], "full_outer")
     change = (
-        F.when(F.col("old_hash").isNull(), F.lit("added"))
-        .when(F.col("new_hash").isNull(), F.lit("removed"))
-        .when(F.col("old_hash") != F.col("new_hash"), F.lit("changed"))
+        F.when(F.col("_old").isNull(), F.lit("added"))
+        .when(F.col("_new").isNull(), F.lit("removed"))
+        .when(~F.col("old_hash").eqNullSafe(F.col("new_hash")), F.lit("changed"))
     )
-    return both.withColumn("change", change).where("change is not null")
+    return both.withColumn("change", change).where("change is not null").drop("_old", "_new")
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

@@ -60,10 +60,10 @@ def full_sync_stats(docs: DataFrame) -> DataFrame:
     )
 
 
-def incremental_sync(changes: DataFrame, items: DataFrame, since: Column, threshold_kb: int = 256) -> tuple[DataFrame, DataFrame]:
-    """Documents changed after the cursor with their route, and the next cursor per source."""
-    fresh = ch.changes_since(changes, since)
-    docs = joins.incremental_documents(fresh.drop("source_id"), items).withColumn(
+def incremental_sync(changes: DataFrame, items: DataFrame, cursors: Column | DataFrame, threshold_kb: int = 256) -> tuple[DataFrame, DataFrame]:
+    """Documents changed since their source's cursor with their route, and the next cursor per source."""
+    fresh = ch.changes_since(changes, cursors)
+    docs = joins.incremental_documents(fresh, items).withColumn(
         "size_bytes", F.octet_length("content").cast("long")
     )
     routed = docs.withColumn("route", k.route_by_size(F.col("size_bytes"), threshold_kb))

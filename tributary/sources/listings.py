@@ -126,19 +126,37 @@ def folder_paths(folders: DataFrame) -> DataFrame:
     """Full path of every folder (id, parent_id, name) reachable from the root (parent_id null).
 
     Each round joins a folder to the folder it points to and jumps over it, so a tree of depth d takes
-    log2(d) rounds; folders are far fewer than files.
+    log2(d) rounds; folders are far fewer than files. A folder that is listed twice counts once. Folders on a
+    cycle of parents, or below one or below a folder that is not listed, are not reachable and have no path: after
+    r rounds every folder of a depth below 2**r has its path, so a round that settles none is the last.
     """
-    paths = folders.select("id", F.col("parent_id").alias("up"), F.col("name").alias("path"))
-    for _ in range(32):
-        paths = materialize(paths, "folders")
-        open_ = paths.where("up is not null")
-        if open_.isEmpty():
+    links = materialize(folders.groupBy("id").agg(F.min(F.struct("parent_id", "name")).alias("f")).select("id", "f.*"), "folders")
+    up = links.select("id", F.col("parent_id").alias("up"))
+    # depths first, on ids alone: what a cycle holds never grows a path
+    reached = up.where("up is null").select("id", F.lit(0).cast("long").alias("depth"))
+    open_ = up.where("up is not null").withColumn("jump", F.lit(1).cast("long"))
+    while True:
+        now = open_.select("id", "up", "jump")
+        there = reached.select(F.col("id").alias("_id"), "depth")
+        settled = materialize(now.join(there, F.col("up") == F.col("_id")).select("id", (F.col("depth") + F.col("jump")).alias("depth")), "reached")
+        if settled.isEmpty():
             break
+        reached = reached.unionByName(settled)
+        left = now.join(settled.select("id"), "id", "left_anti")
+        over = left.select(F.col("id").alias("_id"), F.col("up").alias("_up"), F.col("jump").alias("_jump"))
+        # an open folder jumps over the open one it points to; one that points to a settled one is settled next
+        jumped = left.join(over, F.col("up") == F.col("_id"), "left").select(
+            "id", F.coalesce("_up", "up").alias("up"), (F.col("jump") + F.coalesce("_jump", F.lit(0))).alias("jump")
+        )
+        open_ = materialize(jumped, "open")
+    safe = links.join(reached.select("id"), "id")
+    paths = materialize(safe.select("id", F.col("parent_id").alias("up"), F.col("name").alias("path")), "folders")
+    while not paths.where("up is not null").isEmpty():
         over = paths.select(F.col("id").alias("_id"), F.col("up").alias("_up"), F.col("path").alias("_path"))
-        jumped = open_.join(over, F.col("up") == F.col("_id")).select(
+        jumped = paths.where("up is not null").join(over, F.col("up") == F.col("_id")).select(
             "id", F.col("_up").alias("up"), F.concat_ws("/", "_path", "path").alias("path")
         )
-        paths = paths.where("up is null").unionByName(jumped)
+        paths = materialize(paths.where("up is null").unionByName(jumped), "folders")
     return paths.select("id", "path")
 
 

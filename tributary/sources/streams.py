@@ -19,18 +19,22 @@ TOPICS = {"file_ingested": ("file.ingested", "source_id"), "code_normalized": ("
 
 def read_event_stream(
     spark: SparkSession, fmt: str = "kafka", path: str | None = None, servers: str | None = None,
-    topics: list[str] | None = None, batch_size: int = 100,
+    topics: list[str] | None = None, batch_size: int | None = None,
 ) -> DataFrame:
-    """Messages from the earliest offset with text key and value."""
+    """Messages from the earliest offset with text key and value.
+
+    ``batch_size`` bounds a micro-batch: messages of Kafka, files of other formats. Without it a batch takes what there is.
+    """
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
         reader = (
             reader.option("kafka.bootstrap.servers", servers).option("subscribe", ",".join(topics or []))
-            .option("startingOffsets", "earliest").option("maxOffsetsPerTrigger", batch_size)
+            .option("startingOffsets", "earliest")
         )
-        raw = reader.load()
+        raw = (reader.option("maxOffsetsPerTrigger", batch_size) if batch_size else reader).load()
     else:
-        raw = reader.schema(ROW).option("maxFilesPerTrigger", 1).load(path)
+        reader = reader.schema(ROW)
+        raw = (reader.option("maxFilesPerTrigger", batch_size) if batch_size else reader).load(path)
         if topics:
             raw = raw.where(F.col("topic").isin(topics))
     return raw.select(

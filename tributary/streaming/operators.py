@@ -15,6 +15,7 @@ from tributary.operators import changes as ch
 from tributary.operators.aggregates import dlq_candidates
 from tributary.operators.folds import Fold
 from tributary.operators.throttle import Rotation, SlidingWindow
+from tributary.session import materialize
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -130,12 +131,13 @@ def stream_dedup_expiring(
 def stream_consume_dlq(stream: DataFrame, ok: Column, checkpoint: str, failures_path: str, done_path: str, error: Column) -> None:
     """Run a handler's verdict over messages; failures are appended with their attempt order, the rest is done.
 
-    ``ok`` is the handler as a column: a built-in predicate or a pandas UDF. Dead letters are the batch
-    operator over the failure table, so a restart recounts instead of losing counts. Each batch writes
-    its own folder, so a batch that is repeated after a failure overwrites itself.
+    ``ok`` is the handler as a column: a built-in predicate or a pandas UDF. It is evaluated once per message and
+    written, so that no message can land in both tables or in none. Dead letters are the batch operator over the
+    failure table, so a restart recounts instead of losing counts. Each batch writes its own folder, so a batch
+    that is repeated after a failure overwrites itself.
     """
     def split(batch: DataFrame, epoch: int) -> None:
-        judged = batch.withColumn("_ok", F.coalesce(ok, F.lit(False))).withColumn("error", error)
+        judged = materialize(batch.withColumn("_ok", F.coalesce(ok, F.lit(False))).withColumn("error", error), "judged")
         judged.where("_ok").drop("_ok", "error").write.mode("overwrite").parquet(f"{done_path}/epoch={epoch}")
         judged.where("not _ok").drop("_ok").write.mode("overwrite").parquet(f"{failures_path}/epoch={epoch}")
 
@@ -147,6 +149,12 @@ def dead_letters(failures: DataFrame, max_retries: int = 3) -> DataFrame:
 
 
 def stream_changes_to_documents(webhooks: DataFrame, items: DataFrame) -> DataFrame:
-    """Push payloads to changed files to documents: a stream against a static content table."""
-    changed = ch.changes_github(webhooks).where("change_type <> 'deleted'")
-    return changed.join(items, changed["item_id"] == items["path"]).drop("item_id")
+    """Push payloads to changed files to documents: a stream against a static content table.
+
+    Where both name a ``source_id``, a push only reaches its own source's files.
+    """
+    changed = ch.changes_github(webhooks).where("change_type <> 'deleted'").drop("commit_no", "position")
+    same = changed["item_id"] == items["path"]
+    if "source_id" in changed.columns and "source_id" in items.columns:
+        return changed.join(items, same & (changed["source_id"] == items["source_id"])).drop(changed["source_id"]).drop("item_id")
+    return changed.join(items, same).drop("item_id")
