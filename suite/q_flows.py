@@ -3,30 +3,59 @@
 from pyspark.sql import functions as F
 
 from suite import views as v
-from suite.q_classify import SQL_EXT, SQL_STRATEGY, cases, quoted
+from suite.q_classify import SQL_EXT, SQL_STRATEGY
 from suite.q_relational import mid, SQL_CHANGES, SQL_MID, SQL_REPORT, item_changes, items, vectors
 from suite.registry import query
-from tributary.functions import tables as t
 from tributary.plans import flows
 from tributary.sources.listings import SyncOptions
 
-SQL_SYNCED = f"""(SELECT *, strlen(content) AS size_bytes FROM files WHERE {SQL_EXT} NOT IN {quoted(t.BINARY_REPO)}
-    AND NOT contains(path, 'node_modules') AND NOT (size > 16384))"""
+# per family, from what each connector keeps; the lists are spelled out here so that a wrong entry in the library shows
+IMAGES = "'png','jpg','jpeg','gif','ico','svg','webp','bmp','woff','woff2','ttf','eot','otf','zip','tar','gz','rar','7z','exe','dll','so','dylib','bin','mp3','mp4','wav','avi','mov','mkv','db','sqlite'"
+DOCUMENTS = "'pdf','doc','docx','xls','xlsx','ppt','pptx','lock'"
+SQL_FAMILY = """CASE WHEN connector_type IN ('dropbox', 'onedrive') THEN 'folder' WHEN connector_type = 'google_drive' THEN 'drive'
+    WHEN connector_type = 'local_file' THEN 'local' ELSE 'repo' END"""
+SQL_LANGUAGE = """CASE family WHEN 'folder' THEN NULL WHEN 'drive' THEN NULL ELSE CASE
+    WHEN ext = 'hpp' AND connector_type = 'bitbucket' THEN 'cpp' WHEN ext = 'hpp' THEN 'c'
+    WHEN connector_type = 'bitbucket' AND ext IN ('cc', 'sass', 'html', 'json', 'yml', 'ps1', 'xml') THEN NULL
+    WHEN family = 'local' AND ext IN ('cc', 'sass') THEN NULL
+    WHEN ext = 'py' THEN 'python' WHEN ext = 'js' THEN 'javascript' WHEN ext = 'rs' THEN 'rust' WHEN ext = 'cc' THEN 'cpp' WHEN ext = 'sass' THEN 'scss'
+    WHEN ext = 'md' THEN 'markdown' WHEN ext IN ('html', 'json', 'xml', 'sql') THEN ext WHEN ext = 'yml' THEN 'yaml' WHEN ext = 'ps1' THEN 'powershell'
+    WHEN ext = 'tsx' THEN 'typescript' END END"""
+SQL_TYPE = """CASE family WHEN 'drive' THEN CASE mime WHEN 'application/vnd.google-apps.document' THEN 'document'
+    WHEN 'application/vnd.google-apps.spreadsheet' THEN 'spreadsheet' WHEN 'application/vnd.google-apps.presentation' THEN 'presentation'
+    WHEN 'text/plain' THEN 'text' WHEN 'text/markdown' THEN 'markdown' WHEN 'text/x-python' THEN 'code' WHEN 'text/css' THEN 'text'
+    WHEN 'application/x-y' THEN 'code' WHEN 'application/pdf' THEN 'pdf' ELSE 'unknown' END
+  ELSE CASE WHEN ext = 'md' THEN 'markdown' WHEN ext IN ('html', 'json', 'xml') THEN ext WHEN ext = 'yml' THEN 'yaml' WHEN ext = 'txt' THEN 'text'
+    WHEN family = 'folder' THEN CASE WHEN ext = 'csv' THEN 'spreadsheet' WHEN ext = 'pdf' THEN 'pdf' WHEN ext = 'docx' THEN 'document' ELSE 'unknown' END
+    WHEN ext IN ('py', 'js', 'rs', 'hpp', 'sass', 'ps1', 'sql', 'tsx') THEN 'code' ELSE 'unknown' END END"""
+SQL_SYNCED = f"""(SELECT *, strlen(content) AS size_bytes, {SQL_LANGUAGE} AS lang, {SQL_TYPE} AS content_type FROM
+    (SELECT *, {SQL_FAMILY} AS family, CASE WHEN connector_type = 'local_file' THEN lower(regexp_extract(name, '^.+[.]([^.]+)$', 1)) ELSE {SQL_EXT} END AS ext
+     FROM mimes)
+  WHERE NOT (size > 16384) AND CASE family
+    WHEN 'folder' THEN ext NOT IN ({IMAGES}) AND NOT contains(lower(path), 'node_modules')
+    WHEN 'drive' THEN NOT starts_with(mime, 'image/') AND mime <> 'application/zip'
+    WHEN 'local' THEN ext NOT IN ({IMAGES}, {DOCUMENTS}) AND NOT contains(path, 'node_modules') AND path NOT LIKE '.git/%'
+    ELSE ext NOT IN ({IMAGES}, {DOCUMENTS}) AND NOT contains(path, 'node_modules') END)"""
 OPTIONS = SyncOptions(exclude=["node_modules"], max_mb=1 / 64)
 
 
+def listed(spark, d):
+    """Files of all connector types, with the media type that drives list."""
+    return v.mimes(spark, d).withColumnRenamed("mime", "mime_type")
+
+
 @query("full_sync", f"""SELECT source_id, count(*) AS documents_synced, CAST(sum(size_bytes) AS BIGINT) AS total_bytes,
   count(*) FILTER (WHERE size_bytes <= 4096) AS inline_documents, count(*) FILTER (WHERE size_bytes > 4096) AS reference_documents FROM {SQL_SYNCED} GROUP BY 1""")
 def full_sync(spark, d):
-    return flows.full_sync_stats(flows.full_sync(v.files(spark, d), OPTIONS, 4))
+    return flows.full_sync_stats(flows.full_sync(listed(spark, d), OPTIONS, 4))
 
 
-@query("full_sync_documents", f"""SELECT seq, sha256(source_id || '|' || seq) AS id, path, content_hash, size_bytes, CASE WHEN size_bytes <= 4096 THEN 'inline' ELSE 'reference' END AS route, lang AS language
-  FROM (SELECT *, sha256(content) AS content_hash, {cases(t.LANGUAGES, SQL_EXT)} AS lang FROM {SQL_SYNCED})
+@query("full_sync_documents", f"""SELECT seq, sha256(source_id || '|' || seq) AS id, path, content_hash, size_bytes, CASE WHEN size_bytes <= 4096 THEN 'inline' ELSE 'reference' END AS route, lang AS language, content_type
+  FROM (SELECT *, sha256(content) AS content_hash FROM {SQL_SYNCED})
   QUALIFY row_number() OVER (PARTITION BY content_hash ORDER BY seq) = 1""")
 def full_sync_documents(spark, d):
-    out = flows.full_sync(v.files(spark, d), OPTIONS, 4, drop_duplicates=True)
-    return out.select("seq", "id", "path", "content_hash", "size_bytes", "route", "language")
+    out = flows.full_sync(listed(spark, d), OPTIONS, 4, drop_duplicates=True)
+    return out.select("seq", "id", "path", "content_hash", "size_bytes", "route", "language", "content_type")
 
 
 SQL_ID = "sha256(source_id || '|' || seq)"
@@ -39,9 +68,9 @@ SQL_TAIL = f"""',"ingest_flags":{{"for_embeddings":true,"for_graph":true,"priori
     THEN '"file_path":"' || path || '","content":' || CAST(to_json(content) AS VARCHAR) || {SQL_TAIL} || ',"size_bytes":' || size_bytes || '}}'
     ELSE '"blob_url":"s3://blobs/' || tenant_id || '/' || {SQL_ID} || '/' || sha256(content) || CASE WHEN contains(name, '.') THEN '.' || regexp_extract(name, '([^.]*)$', 1) ELSE '' END
       || '","size_bytes":' || size_bytes || {SQL_TAIL} || '}}' END AS payload
-  FROM (SELECT *, {cases(t.LANGUAGES, SQL_EXT)} AS lang FROM {SQL_SYNCED})""")
+  FROM {SQL_SYNCED}""")
 def full_sync_requests(spark, d):
-    return flows.sync_requests(flows.full_sync(v.files(spark, d), OPTIONS, 4), "s3://blobs")
+    return flows.sync_requests(flows.full_sync(listed(spark, d), OPTIONS, 4), "s3://blobs")
 
 
 SQL_SOURCE_NO = "CAST(regexp_extract(source_id, '(\\d+)$', 1) AS INT)"

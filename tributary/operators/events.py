@@ -50,9 +50,9 @@ def _optional(docs: DataFrame, names: list[str]) -> list[Column]:
     return [F.col(n) for n in names if n in docs.columns]
 
 
-def ingest_payload(docs: DataFrame, for_embeddings: bool = True, for_graph: bool = True, priority: str = "normal") -> DataFrame:
-    """Inline request per document as JSON; null fields are dropped."""
-    body = F.struct(
+def inline_body(docs: DataFrame, for_embeddings: bool = True, for_graph: bool = True, priority: str = "normal") -> Column:
+    """Fields of a request that carries the content."""
+    return F.struct(
         "tenant_id", "connector_id", F.col("connector_type").alias("source_type"), F.col("id").alias("file_id"),
         F.col("name").alias("file_name"), F.col("path").alias("file_path"),
         *_optional(docs, ["file_mime", "repo", "branch", "commit", "author"]), "content",
@@ -60,19 +60,27 @@ def ingest_payload(docs: DataFrame, for_embeddings: bool = True, for_graph: bool
         c.chunk_strategy(F.col("connector_type"), F.col("language")).alias("suggest_chunk_strategy"),
         F.octet_length("content").alias("size_bytes"),
     )
-    return docs.select("id", F.to_json(body).alias("payload"))
 
 
-def reference_payload(docs: DataFrame, for_embeddings: bool = True, for_graph: bool = True, priority: str = "normal") -> DataFrame:
-    """Request that names a blob instead of carrying the content."""
-    body = F.struct(
+def reference_body(docs: DataFrame, for_embeddings: bool = True, for_graph: bool = True, priority: str = "normal") -> Column:
+    """Fields of a request that names a blob instead."""
+    return F.struct(
         "tenant_id", "connector_id", F.col("connector_type").alias("source_type"), F.col("id").alias("file_id"),
         F.col("name").alias("file_name"), "blob_url", F.col("size_bytes").alias("size_bytes"),
         *_optional(docs, ["file_mime", "repo", "branch", "commit", "author"]),
         _flags(for_embeddings, for_graph, priority),
         c.chunk_strategy(F.col("connector_type"), F.col("language")).alias("suggest_chunk_strategy"),
     )
-    return docs.select("id", F.to_json(body).alias("payload"))
+
+
+def ingest_payload(docs: DataFrame, for_embeddings: bool = True, for_graph: bool = True, priority: str = "normal") -> DataFrame:
+    """Inline request per document as JSON; null fields are dropped."""
+    return docs.select("id", F.to_json(inline_body(docs, for_embeddings, for_graph, priority)).alias("payload"))
+
+
+def reference_payload(docs: DataFrame, for_embeddings: bool = True, for_graph: bool = True, priority: str = "normal") -> DataFrame:
+    """Request that names a blob instead of carrying the content."""
+    return docs.select("id", F.to_json(reference_body(docs, for_embeddings, for_graph, priority)).alias("payload"))
 
 
 def iso(ts: Column) -> Column:

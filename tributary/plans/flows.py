@@ -18,37 +18,74 @@ from tributary.sources.listings import SyncOptions
 def full_sync(
     files: DataFrame, options: SyncOptions = SyncOptions(), threshold_kb: int = 256, drop_duplicates: bool = False
 ) -> DataFrame:
-    """Listing with content → filtered, classified, hashed, routed documents.
+    """Listing with content → filtered, classified, hashed, routed documents, by the rules of each connector type.
 
     Filters use listing columns only, so they run before the content is hashed. Dropping duplicates is
-    off by default; it moves a document only by its sequence number.
+    off by default; hashes and sizes are then written once, and the first of each hash is matched by its number.
     """
     ext = c.file_extension(F.col("path"))
-    kept = files.where(
-        c.not_binary_repo(ext)
-        & c.sync_filter_repo(F.col("path"), F.col("size"), options.include, options.exclude, options.max_mb)
-    )
-    language = c.language_by_ext(ext)
+    kept = files.where(sync_filter(files, options))
+    language = language_of(kept)
+    measures = {"content_hash": k.content_hash(F.col("content")), "size_bytes": F.octet_length("content").cast("long")}
+    if drop_duplicates:
+        measured = materialize(kept.select(F.col("seq").alias("_seq"), *[m.alias(n) for n, m in measures.items()]), "measures")
+        measured = measured.join(dedup.first_seen(measured, F.col("content_hash"), "_seq"), "_seq", "left_semi")
+        kept, measures = kept.join(measured, F.col("seq") == F.col("_seq")).drop("_seq"), {}
     docs = kept.withColumns({
         "external_id": F.col("id").cast("string"),
         "id": k.document_id(F.col("source_id"), F.col("id").cast("string")),
-        "content_type": c.content_type_by_ext(ext),
+        "content_type": content_type_of(kept, ext),
         "language": language,
-        "content_hash": k.content_hash(F.col("content")),
-        "size_bytes": F.octet_length("content").cast("long"),
+        **measures,
         "chunk_strategy": c.chunk_strategy(F.col("connector_type"), language),
-    }).withColumn("route", k.route_by_size(F.col("size_bytes"), threshold_kb))
-    if drop_duplicates:
-        docs = dedup.keep_first_seen(docs, F.col("content_hash"), "seq")
-    return docs
+    })
+    return docs.withColumn("route", k.route_by_size(F.col("size_bytes"), threshold_kb))
+
+
+def _mime(files: DataFrame) -> Column:
+    return F.coalesce("mime_type", F.lit("")) if "mime_type" in files.columns else F.lit("")
+
+
+def sync_filter(files: DataFrame, options: SyncOptions) -> Column:
+    """Which listed files are fetched: office sources keep documents and ignore case, drives go by media type."""
+    path, size = F.col("path"), F.col("size")
+    repo = c.not_binary_repo(c.file_extension(path)) & c.sync_filter_repo(path, size, options.include, options.exclude, options.max_mb)
+    folder = c.not_binary_office(c.file_extension(path)) & c.sync_filter_folder(path, size, options.include, options.exclude, options.max_mb)
+    drive = c.not_skipped_mime(_mime(files)) & c.sync_filter_mime(_mime(files), size, options.include_mimes, options.max_mb)
+    local = (
+        c.not_hidden(path) & c.not_binary_repo(c.local_extension(c.file_name(path)))
+        & c.sync_filter_repo(path, size, options.include, options.exclude, options.max_mb)
+    )
+    kind = F.col("connector_type")
+    return F.when(kind.isin("dropbox", "onedrive"), folder).when(kind == "google_drive", drive).when(kind == "local_file", local).otherwise(repo)
+
+
+def content_type_of(files: DataFrame, ext: Column) -> Column:
+    kind = F.col("connector_type")
+    return (
+        F.when(kind == "dropbox", c.content_type_office(ext, "dropbox")).when(kind == "onedrive", c.content_type_office(ext, "onedrive"))
+        .when(kind == "google_drive", c.content_type_by_mime(_mime(files)))
+        .when(kind == "local_file", c.content_type_by_ext(c.local_extension(c.file_name(F.col("path")))))
+        .otherwise(c.content_type_by_ext(ext))
+    )
+
+
+def language_of(files: DataFrame) -> Column:
+    """Only code hosts and local files know languages, each by a list of its own."""
+    kind, ext = F.col("connector_type"), c.file_extension(F.col("path"))
+    return (
+        F.when(kind == "bitbucket", c.language_by_ext(ext, "bitbucket"))
+        .when(kind == "local_file", c.language_by_ext(c.local_extension(c.file_name(F.col("path"))), "local"))
+        .when(~kind.isin("dropbox", "onedrive", "google_drive"), c.language_by_ext(ext))
+    )
 
 
 def sync_requests(docs: DataFrame, base_url: str) -> DataFrame:
     """Request to send per synced document: its content inline, or a reference to its blob."""
     key = k.blob_key(F.col("tenant_id"), F.col("id"), F.col("content_hash"), F.col("name"))
     rows = docs.withColumns({"connector_id": F.col("source_id"), "blob_url": F.concat(F.lit(base_url.rstrip("/") + "/"), key)})
-    inline = ev.ingest_payload(rows.where("route = 'inline'")).withColumn("route", F.lit("inline"))
-    return inline.unionByName(ev.reference_payload(rows.where("route = 'reference'")).withColumn("route", F.lit("reference")))
+    body = F.when(F.col("route") == "inline", F.to_json(ev.inline_body(rows))).otherwise(F.to_json(ev.reference_body(rows)))
+    return rows.select("id", "route", body.alias("payload"))
 
 
 def full_sync_stats(docs: DataFrame) -> DataFrame:

@@ -39,6 +39,7 @@ class SyncOptions:
     include: list[str] = field(default_factory=list)
     exclude: list[str] = field(default_factory=list)
     max_mb: float | None = None
+    include_mimes: list[str] = field(default_factory=list)
 
 
 def read_pages(spark: SparkSession, path: str, schema: str) -> DataFrame:
