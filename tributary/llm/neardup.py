@@ -18,7 +18,7 @@ from tributary.session import materialize
 #: Bins in a band. There are as many bands as it takes to miss a pair at the threshold less often than MISSED.
 ROWS, MISSED = 5, 1e-8
 #: Star rounds before what is left is compared directly, and classes of hashes that are told apart by their size then.
-STARS, CLASSES = 2, 1 << 18
+STARS, CLASSES, PARITIES = 2, 1 << 18, 512
 
 
 def bands_for(percent: int) -> int:
@@ -152,7 +152,8 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _prefixes(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(key, node, n, component): of each set its first hashes in an order from rare to frequent, as many as it can't do without.
+    """(node, n, component, keys, b0, b1, ...): of each set its first hashes in an order from rare to frequent, as many as it
+    can't do without, and the parities of its hashes in ``PARITIES`` classes as bits.
 
     Two sets at the threshold lack less than so many of each other's hashes, so they share one of these, whatever the order is.
     Hashes are ordered by the size of their class, of ``CLASSES``, over all sets; a passage that many share comes last.
@@ -175,29 +176,43 @@ def _prefixes(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size_of = sent.value
         for piece in slices(batches, "set"):
-            keys = []
+            keys, bits = [], []
             for raw in piece.column("set").to_pylist():
                 h = np.frombuffer(raw, np.uint64)
                 order = np.lexsort((h, size_of[(h % np.uint64(CLASSES)).astype(np.int64)]))
                 keys.append(h[order[: len(h) - -(-percent * len(h) // 100) + 1]].view(np.int64))
-            yield piece.select(["node", "n", "component"]).append_column("keys", pa.array(keys, pa.list_(pa.int64())))
+                odd = np.bincount((h >> np.uint64(40)).astype(np.int64) % PARITIES, minlength=PARITIES) & 1
+                bits.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+            out = piece.select(["node", "n", "component"]).append_column("keys", pa.array(keys, pa.list_(pa.int64())))
+            for k, column in enumerate(np.array(bits).reshape(-1, PARITIES // 64).T):
+                out = out.append_column(f"b{k}", pa.array(column))
+            yield out
 
-    told = mapped(here, first, "node long, n long, component long, keys array<bigint>")
-    return told.select(F.explode("keys").alias("key"), "node", "n", "component")
+    parities = ", ".join(f"b{k} long" for k in range(PARITIES // 64))
+    return materialize(mapped(here, first, f"node long, n long, component long, keys array<bigint>, {parities}"), "prefixes")
 
 
 def _rest(joined: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(x, y, n, m): nodes of unsettled buckets that may still be linked with a node of another component.
 
-    Under each key of the sets' prefixes, all but the members of its largest component are paired with those of others.
+    Under each key of the sets' prefixes, all but the members of its largest component are paired with those of others, if
+    their sizes and the parities of their hashes allow the similarity: of two sets, no more parities differ than hashes.
     """
-    prefixes = materialize(_prefixes(joined.select("node", "n", "component").distinct(), sets, percent), "prefixes")
-    sizes = prefixes.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
+    told = _prefixes(joined.select("node", "n", "component").distinct(), sets, percent)
+    keyed = told.select(F.explode("keys").alias("key"), "node", "component")
+    sizes = keyed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
     main = sizes.groupBy("key").agg(F.max(F.struct("c", "component")).alias("top"), F.count(F.lit(1)).alias("of")).where("of > 1")
-    main = main.select("key", F.col("top.component").alias("main"))
-    minor = prefixes.join(main, "key").where("component != main").select("key", F.col("node").alias("x"), "n", "component")
-    other = prefixes.select("key", F.col("node").alias("y"), F.col("n").alias("m"), F.col("component").alias("its"))
-    return minor.join(other, "key").where("component != its")
+    open_ = materialize(keyed.join(main.select("key", F.col("top.component").alias("main")), "key"), "open")
+    words = [f"b{k}" for k in range(PARITIES // 64)]
+    full = told.select("node", "n", *words)
+    minor = open_.where("component != main").join(full, "node").select("key", F.col("node").alias("x"), "component", "n", *words)
+    other = open_.select("key", "node", F.col("component").alias("its")).join(full, "node")
+    other = other.select("key", F.col("node").alias("y"), "its", F.col("n").alias("m"), *[F.col(w).alias("o" + w) for w in words])
+    differ = sum((F.bit_count(F.col(w).bitwiseXOR(F.col("o" + w))) for w in words), F.lit(0))
+    total = F.col("n") + F.col("m")
+    near = (F.col("component") != F.col("its")) & (100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
+    near = near & (differ * (100 + percent) <= total * (100 - percent)) & (minor["key"] == other["key"])
+    return minor.join(other, near).select("x", "y", "n", "m")
 
 
 def near_duplicates(
