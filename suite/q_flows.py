@@ -6,6 +6,7 @@ from suite import views as v
 from suite.q_classify import SQL_EXT, SQL_STRATEGY
 from suite.q_relational import mid, SQL_CHANGES, SQL_MID, SQL_REPORT, item_changes, items, vectors
 from suite.registry import query
+from tributary.functions import content as k
 from tributary.plans import flows
 from tributary.sources.listings import SyncOptions
 
@@ -95,11 +96,45 @@ def incremental_sync(spark, d):
     )
 
 
-@query("webhook_flow", """SELECT 'event' AS kind, id, CASE WHEN id % 7 <> 0 THEN 'verified' ELSE 'refused' END AS what FROM pushes
-  UNION ALL SELECT 'change', g, item_id FROM push_files WHERE g % 7 <> 0
-  UNION ALL SELECT 'job', p.id, sha256(p.id || '|' || p.connector_id) FROM pushes p JOIN connectors c ON c.id = p.connector_id WHERE p.id % 7 <> 0""")
+PROVIDERS = ["github", "gitlab", "bitbucket", "google_drive", "dropbox", "onedrive"]
+
+
+def webhooks(spark, d):
+    """Webhooks of six providers, signed with one of three secrets; every seventh carries a wrong signature."""
+    g = F.col("id")
+    shapes = {
+        "bitbucket": ('{"push":{"changes":[{"commits":[{"hash":"h', '"}]}]}}'), "google_drive": ('{"resourceId":"r', '"}'),
+        "dropbox": ('{"delta":{"users":["u', '"]}}'), "onedrive": ('{"value":[{"resource":"res', '","changeType":"created"}]}'),
+    }
+    body = F.col("body")
+    for provider, (head, tail) in shapes.items():
+        body = F.when(F.col("provider") == provider, F.concat(F.lit(head), v.text(g), F.lit(tail))).otherwise(body)
+    sent = v.pushes(spark, d).withColumn("provider", v.pick(PROVIDERS, g % 6)).withColumn("body", body)
+    signed = F.lit(None).cast("string")
+    for n in range(3):
+        ipad, opad = k.hmac_pads(f"secret {n}")
+        signed = F.when(g % 3 == n, F.concat(F.lit("sha256="), k.hmac_sha256(F.col("body"), F.lit(ipad), F.lit(opad)))).otherwise(signed)
+    return sent.withColumn("signature", F.when(g % 7 == 0, F.lit("sha256=00")).otherwise(signed))
+
+
+def secrets(spark, d):
+    pads = [k.hmac_pads(f"secret {n}") for n in range(3)]
+    g = F.col("id")
+    return v.pushes(spark, d).select(
+        g.alias("connector_id"), v.pick([a for a, _ in pads], g % 3).alias("ipad"), v.pick([b for _, b in pads], g % 3).alias("opad")
+    )
+
+
+SQL_WEBHOOK_CHANGES = """(SELECT g AS id, item_id FROM push_files WHERE g % 6 = 0 OR (g % 6 = 1 AND g % 4 <> 0)
+  UNION ALL SELECT id, CASE id % 6 WHEN 2 THEN 'h' WHEN 3 THEN 'r' WHEN 4 THEN 'u' ELSE 'res' END || id FROM pushes WHERE id % 6 > 1)"""
+
+
+@query("webhook_flow", f"""SELECT 'event' AS kind, id, CASE WHEN id % 7 <> 0 THEN 'verified' ELSE 'refused' END AS what FROM pushes
+  UNION ALL SELECT 'change', id, item_id FROM {SQL_WEBHOOK_CHANGES} WHERE id % 7 <> 0
+  UNION ALL SELECT 'job', p.id, sha256(p.id || '|' || p.connector_id) FROM pushes p JOIN connectors c ON c.id = p.connector_id
+    WHERE p.id % 7 <> 0 AND p.id IN (SELECT id FROM {SQL_WEBHOOK_CHANGES})""")
 def webhook_flow(spark, d):
-    events, changes, jobs = flows.webhook_flow(v.pushes(spark, d), v.connectors(spark, d), v.SECRET)
+    events, changes, jobs = flows.webhook_flow(webhooks(spark, d), v.connectors(spark, d), secrets(spark, d))
     return (
         events.select(F.lit("event").alias("kind"), "id", F.when(F.col("verified"), F.lit("verified")).otherwise(F.lit("refused")).alias("what"))
         .unionByName(changes.select(F.lit("change").alias("kind"), "id", F.col("item_id").alias("what")))

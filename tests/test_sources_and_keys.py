@@ -78,3 +78,40 @@ def test_ring_prefixes_follow_its_size(spark):
     assert joins.prefix_digits(3) == 3 and joins.prefix_digits(1000) == 5
     ring = joins.hash_ring(spark, 40)
     assert ring.groupBy("_prefix").count().agg(F.avg("count")).first()[0] < 3
+
+
+def test_blobs_of_a_run_and_their_content(spark, tmp_path):
+    from tributary.sources import tables
+
+    docs = spark.createDataFrame(
+        [("d1", "c", "t", "a.txt", "x" * 3000), ("d2", "c", "t", "b.txt", "small"), ("d3", "c", "u", "c.txt", "y" * 4000)],
+        "id string, connector_id string, tenant_id string, name string, content string",
+    ).withColumns({"mime_type": F.lit(None).cast("string"), "created_at": F.lit(T0)})
+    path = str(tmp_path / "blobs")
+    assert tables.blob_offload(docs, path, 1, run="r1").count() == 2
+    assert tables.blob_offload(docs.where("id = 'd3'"), path, 1, run="r2").count() == 1
+    again = tables.blob_offload(docs, path, 1, run="r1")
+    assert again.count() == 2
+    got = tables.fetch_blobs(again.select("file_id", "blob_url"), path).collect()
+    assert sorted((r["file_id"], len(r["content"])) for r in got) == [("d1", 3000), ("d3", 4000)]
+
+
+def test_families_keep_and_name_their_files(spark):
+    from tributary.sources.listings import SyncOptions
+
+    kinds = ["github", "gitlab", "bitbucket", "local_file", "google_drive", "dropbox", "onedrive"]
+    names = ["a.pdf", "b.xlsx", "c.hpp", "d.cc", "Node/e.md", ".f/g.py", "h.png"]
+    rows = [(f"{c}{n}", "s", c, n.split("/")[-1], n, 10, "text/plain" if n != "h.png" else "image/png", "body", "t", k) for k, (c, n) in enumerate((c, n) for c in kinds for n in names)]
+    files = spark.createDataFrame(
+        rows, "id string, source_id string, connector_type string, name string, path string, size long, mime_type string, content string, tenant_id string, seq long"
+    )
+    got = flows.full_sync(files, SyncOptions(exclude=["node"])).collect()
+    kept = {k: {r["path"]: (r["content_type"], r["language"]) for r in got if r["connector_type"] == k} for k in kinds}
+    assert kept["github"] == kept["gitlab"] == {
+        "c.hpp": ("code", "c"), "d.cc": ("unknown", "cpp"), "Node/e.md": ("markdown", "markdown"), ".f/g.py": ("code", "python"),
+    }
+    assert kept["bitbucket"]["c.hpp"] == ("code", "cpp") and kept["bitbucket"]["d.cc"] == ("unknown", None)
+    assert set(kept["local_file"]) == {"c.hpp", "d.cc", "Node/e.md"} and kept["local_file"]["d.cc"] == ("unknown", None)
+    assert set(kept["google_drive"]) == set(names) - {"h.png"} and set(kept["google_drive"].values()) == {("text", None)}
+    assert kept["dropbox"]["a.pdf"] == ("pdf", None) and kept["dropbox"]["b.xlsx"] == ("unknown", None) and "Node/e.md" not in kept["dropbox"]
+    assert kept["onedrive"]["b.xlsx"] == ("spreadsheet", None) and "h.png" not in kept["onedrive"]

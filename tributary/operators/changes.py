@@ -82,6 +82,21 @@ def changes_onedrive(webhooks: DataFrame, payload: str = "payload") -> DataFrame
     )
 
 
+PARSERS = {
+    "github": changes_github, "gitlab": changes_gitlab, "bitbucket": changes_bitbucket, "google_drive": changes_drive,
+    "dropbox": changes_dropbox, "onedrive": changes_onedrive,
+}
+
+
+def changes_of(webhooks: DataFrame, provider: str = "provider", payload: str = "payload") -> DataFrame:
+    """Changes of every webhook by its provider's rules; commit_no and position are null where there are no commits."""
+    found = [parse(webhooks.where(F.col(provider) == name), payload) for name, parse in PARSERS.items()]
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
+
+
 def changes_since(changes: DataFrame, cursors: Column | DataFrame) -> DataFrame:
     """Only what came at or after the stored cursor: a time, or a table (source_id, cursor); a source without one starts anew.
 

@@ -107,17 +107,22 @@ def incremental_sync(changes: DataFrame, items: DataFrame, cursors: Column | Dat
     return routed, ch.new_cursor(fresh, ["source_id"])
 
 
-def webhook_flow(raw: DataFrame, connectors: DataFrame, secret: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Raw webhooks → verified events → changes and one pending job per accepted event."""
+def webhook_flow(raw: DataFrame, connectors: DataFrame, secrets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Raw webhooks → verified events → changes by provider, and one pending job per accepted event that changes something.
+
+    ``secrets``: (connector_id, ipad, opad), the hex pads of each connector's secret.
+    """
     payload = k.webhook_payload(F.col("body"))
+    keys = secrets.select(F.col("connector_id").alias("_cid"), F.col("ipad").alias("_ipad"), F.col("opad").alias("_opad"))
+    keyed = raw.join(keys, F.col("connector_id") == F.col("_cid"), "left")
+    verified = k.verify_signature_by(F.col("body"), F.col("signature"), F.col("_ipad"), F.col("_opad"))
     # the event log is a table of its own; everything after it reads the log
     events = materialize(
-        raw.withColumns({"payload": payload, "verified": k.verify_signature(F.col("body"), F.col("signature"), secret)}).drop("body"),
-        "webhook_events",
+        keyed.withColumns({"payload": payload, "verified": verified}).drop("body", "_cid", "_ipad", "_opad"), "webhook_events"
     )
     good = events.where("verified")
-    changes = ch.changes_github(good.select("id", "connector_id", "payload"))
-    requests = good.select(
+    changes = ch.changes_of(good.select("id", "connector_id", "provider", "payload"))
+    requests = good.join(changes.select("id").distinct(), "id", "left_semi").select(
         F.col("id").alias("request_id"), "connector_id", F.lit("webhook").alias("type"),
         F.col("received_at").alias("requested_at"),
     )

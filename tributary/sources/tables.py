@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,15 +65,24 @@ def blob_references(docs: DataFrame, base_url: str, threshold_kb: int = 256) ->
     )
 
 
-def blob_offload(docs: DataFrame, path: str, threshold_kb: int = 256) -> DataFrame:
-    """Write large contents below ``path`` and return their file_blobs rows, read back from there.
+def blob_offload(docs: DataFrame, path: str, threshold_kb: int = 256, run: str | None = None) -> DataFrame:
+    """Write large contents below ``path`` and return this run's file_blobs rows, read back from there.
 
-    A tenant may own a third of the rows; its folder is then written by several tasks.
+    Each run has a folder of its own, so a run that is repeated under its name replaces itself. A tenant may own a third
+    of the rows; its folder is then written by several tasks. ``fetch_blobs`` finds a content by its ``blob_url``.
     """
+    folder = f"{path.rstrip('/')}/run={run or uuid.uuid4().hex}"
     blobs = blob_references(docs, path, threshold_kb)
-    _clustered(blobs, "tenant_id").write.mode("append").partitionBy("tenant_id").parquet(path)
+    _clustered(blobs, "tenant_id").write.mode("overwrite").partitionBy("tenant_id").parquet(folder)
     schema = STATE_TABLES["file_blobs"]
-    return docs.sparkSession.read.schema(schema).parquet(path)
+    return docs.sparkSession.read.schema(schema).parquet(folder)
+
+
+def fetch_blobs(refs: DataFrame, path: str) -> DataFrame:
+    """``refs`` with the content that their ``blob_url`` names; the same content stored by several runs counts once."""
+    stored = refs.sparkSession.read.option("mergeSchema", "false").parquet(path).select("blob_url", "content")
+    wanted = stored.join(refs.select("blob_url").distinct(), "blob_url", "left_semi").dropDuplicates(["blob_url"])
+    return refs.join(wanted, "blob_url")
 
 
 def chunk_bodies(chunks: DataFrame, mode: str, ttl_days: int = 7) -> DataFrame:
