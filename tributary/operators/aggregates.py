@@ -207,18 +207,20 @@ def callback_summary(callbacks: DataFrame) -> DataFrame:
 def retention_report(bodies: DataFrame, chunks: DataFrame, vectors: DataFrame, as_of: Column, tenant: object | None = None) -> DataFrame:
     """Expired bodies, stale and orphaned chunks, and the rows a retired tenant would lose.
 
-    One pass over the bodies and one over the chunks, which look up their vector node on the way.
+    One pass over the bodies and one over the chunks; only stale chunks that name a node look it up.
     """
     stale = (F.col("embedding_state") == "pending") & (F.col("created_at") < as_of - F.make_dt_interval(hours=F.lit(24)))
-    nodes = vectors.select(F.col("node_id").alias("_node")).distinct()
-    marked = chunks.join(nodes, F.col("neo4j_id") == F.col("_node"), "left")
+    nodes = vectors.select(F.col("node_id").alias("neo4j_id"))
+    lost = chunks.where(stale & F.col("neo4j_id").isNotNull()).select("neo4j_id").join(nodes, "neo4j_id", "left_anti")
     of_tenant = F.col("tenant_id") == tenant if tenant is not None else F.lit(False)
-    c = marked.agg(
+    c = chunks.agg(
         F.count(F.lit(1)).alias("chunks"), F.count_if(of_tenant).alias("tenant_chunks"),
-        F.count_if(stale).alias("stale_pending"), F.count_if(stale & F.col("_node").isNull()).alias("orphaned_chunks"),
+        F.count_if(stale).alias("stale_pending"), F.count_if(stale & F.col("neo4j_id").isNull()).alias("orphaned_chunks"),
     )
+    o = lost.agg(F.count(F.lit(1)).alias("orphaned_chunks"))
     b = bodies.agg(F.count_if(F.col("purge_at") <= as_of).alias("expired_bodies"))
-    return _as_metrics(b).unionByName(_as_metrics(c))
+    chunk_metrics = _as_metrics(c).unionByName(_as_metrics(o)).groupBy("metric").agg(F.sum("value").alias("value"))
+    return _as_metrics(b).unionByName(chunk_metrics)
 
 
 def _as_metrics(one_row: DataFrame) -> DataFrame:

@@ -53,24 +53,30 @@ def storage_mode_split(chunks: DataFrame, mode: str, ttl_days: int = 7) -> tuple
 
 
 def job_lifecycle(log: DataFrame) -> DataFrame:
-    """State of every job from its status log (job_id, seq, ts, status, documents_synced, error_message)."""
+    """State of every job from its status log (job_id, seq, ts, status, documents_synced, error_message).
+
+    Only (job_id, seq, code) goes through the ordered pass; what needs no order is one combining aggregate over the log.
+    """
     # statuses are compared as their place in the list of statuses, 0 for an unknown one
     place = DOMAINS["job_status"].index
     code = F.coalesce(F.array_position(F.lit(DOMAINS["job_status"]), F.col("status")), F.lit(0)).cast("int")
-    stepped = previous(log.withColumn("_code", code), "_code", [F.col("seq")], ["job_id"], "_before", nullable=False)
+    steps = log.select("job_id", "seq", code.alias("_code"))
+    stepped = previous(steps, "_code", [F.col("seq")], ["job_id"], "_before", nullable=False)
     legal = F.lit(False)
     for before, after in LEGAL_STEPS:
         came = F.col("_before").isNull() if before is None else F.col("_before") == place(before) + 1
         legal = legal | (came & (F.col("_code") == place(after) + 1))
+    wrong = stepped.groupBy("job_id").agg(F.count_if(~F.coalesce(legal, F.lit(False))).alias("illegal_steps"))
     ends = F.col("status").isin(FINISHED)
-    return stepped.groupBy("job_id").agg(
+    states = log.groupBy("job_id").agg(
         F.max_by("status", "seq").alias("status"),
         F.min("ts").alias("start_time"),
         F.max(F.when(ends, F.col("ts"))).alias("end_time"),
         F.max_by(F.when(F.col("status") == "completed", F.col("documents_synced")), "seq").alias("documents_synced"),
         F.max_by(F.when(F.col("status") == "failed", F.col("error_message")), "seq").alias("error_message"),
-        F.count_if(~F.coalesce(legal, F.lit(False))).alias("illegal_steps"),
     )
+    wrong = wrong.withColumnRenamed("job_id", "_job")
+    return states.join(wrong, F.col("job_id").eqNullSafe(F.col("_job"))).drop("_job")
 
 
 def connector_state(log: DataFrame) -> DataFrame:
