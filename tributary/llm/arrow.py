@@ -58,10 +58,28 @@ def bytes_of(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat, ends
 
 
+#: What modules keep between the tasks of a worker process: how to let go of it.
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def keeps(module: str, release: Callable[[], None]) -> None:
+    """Names a module that keeps results in worker processes; it lets go of them when another one's task starts."""
+    _kept[module] = release
+
+
 def mapped(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``fn`` over the batches of each partition, with this package at hand."""
     ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    module = fn.__module__
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, release in _kept.items():
+            if name != module:
+                release()
+        pa.default_memory_pool().release_unused()
+        yield from fn(batches)
+
+    return df.mapInArrow(run, schema)
 
 
 def mix(h: np.ndarray) -> np.ndarray:

@@ -19,7 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tributary.llm.arrow import mapped, slices, texts_of
+from tributary.llm.arrow import keeps, mapped, slices, texts_of
 
 # fixed values: how byte-level BPE cuts a text before it merges, and the bytes that stand for themselves
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -196,6 +196,7 @@ def _keep(kept: dict[str, bytes], key: str, found: bytes, most: int) -> None:
 
 
 _encoders: dict[str, Encoder] = {}
+keeps(__name__, _encoders.clear)
 
 
 def encoder(path: str) -> Encoder:

@@ -14,13 +14,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tributary.llm.arrow import mapped, slices, texts_of
+from tributary.llm.arrow import keeps, mapped, slices, texts_of
 from tributary.session import materialize
 
 SEQUENCE = 2048
 END_ID = 1
 #: Ids of words up to this length are kept, for so many words.
-LONGEST_CACHED, CACHED_WORDS = 48, 700_000
+LONGEST_CACHED, CACHED_WORDS = 48, 600_000
 #: Words that are encoded as one text.
 TOGETHER = 1000
 
@@ -103,6 +103,7 @@ class WordIds:
 
 
 _tokenizers: dict[str, WordIds] = {}
+keeps(__name__, _tokenizers.clear)
 
 
 def word_ids(path: str) -> WordIds:

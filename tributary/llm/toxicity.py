@@ -21,7 +21,7 @@ FEATURES, LEAST_DOCS, LEAST_LIFT = 1000, 4, 2
 PREFIXES = (3, 4, 5, 6)
 THRESHOLD = 0.7
 WORD = re.compile(r"\w+")
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 
 
 def features_of(word: str) -> list[str]:
@@ -161,6 +161,8 @@ def score(docs: DataFrame, model: Classifier | None, id_col: str = "doc_id", tex
             yield pa.RecordBatch.from_arrays(
                 [piece.column("id"), pa.array(found), pa.array((found >= threshold).astype(np.int32))], names=["doc_id", "score", "predicted"]
             )
+        if known:
+            known.known.clear()
 
     return mapped(texts_of(docs, id_col, text_col), judge, f"doc_id {dict(docs.dtypes)[id_col]}, score double, predicted int")
 
@@ -174,6 +176,8 @@ def without_toxic(docs: DataFrame, model: Classifier | None, text_col: str = "te
         for piece in slices(batches, text_col):
             keep = [not known or known.score(x or "") < threshold for x in piece.column(text_col).to_pylist()]
             yield piece.filter(pa.array(keep, pa.bool_()))
+        if known:
+            known.known.clear()
 
     return mapped(docs, judge, docs.schema)
 
