@@ -67,16 +67,22 @@ def keeps(module: str, release: Callable[[], None]) -> None:
     _kept[module] = release
 
 
+def release_others(module: str) -> None:
+    for name, release in _kept.items():
+        if name != module:
+            release()
+    pa.default_memory_pool().release_unused()
+
+
 def mapped(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``fn`` over the batches of each partition, with this package at hand."""
     ship(df.sparkSession)
     module = fn.__module__
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, release in _kept.items():
-            if name != module:
-                release()
-        pa.default_memory_pool().release_unused()
+        from tributary.llm.arrow import release_others  # the worker's own module, not a copy of the driver's
+
+        release_others(module)
         yield from fn(batches)
 
     return df.mapInArrow(run, schema)
