@@ -217,3 +217,14 @@ def test_pipeline_stages(spark, tmp_path):
             assert set(texts) == set(before) and not any(r["found"] for r in secrets.find_secrets(after, secrets.BASE_RULES).collect())
         now = after
     assert now.agg(F.sum("length")).first()[0] == now.select("doc_id", "doc_tokens").distinct().agg(F.sum("doc_tokens")).first()[0]
+
+
+@pytest.mark.parametrize("rows,left", [
+    ([], 0), ([(None, None, None, None, None)] * 3, 1), ([(1, "hello world", None, "s", 11)], 1),
+    ([(1, "", None, None, 0), (2, " ", None, None, 1), (2, " ", None, None, 1)], 2),
+])
+def test_pipeline_on_odd_tables(spark, sf_dir, tmp_path, rows, left):
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{sf_dir}/labels.parquet").write.parquet(str(tmp_path / "labels.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == left
