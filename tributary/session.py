@@ -77,9 +77,25 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     """Cut lineage through a Parquet table in the shared folder: computed once, safe from executor loss."""
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
+    _made.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_made: dict[str, list[str]] = {}
+
+
+def cleanup(spark: SparkSession) -> int:
+    """Delete the tables that this application has materialized; call it when results that read them are written.
+
+    Returns their number. What others have written into the shared folder stays.
+    """
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return len(paths)
+
+
 def by_range(df: DataFrame, keys: Sequence[Column]) -> DataFrame:
     """Rows sorted over range slices, as many as the session's shuffle parallelism.
 
