@@ -10,7 +10,7 @@ from tributary.llm.arrow import _power, mix
 
 GRAM = 32
 #: Texts longer than this are cut into pieces that share one byte less than a window.
-PIECE = 1 << 21
+PIECE = 1 << 19
 _INDEX_BITS = 28
 
 

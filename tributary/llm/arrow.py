@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tributary.session import ship
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -58,6 +58,8 @@ def bytes_of(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat, ends
 
 
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20
+
 #: What modules keep between the tasks of a worker process: how to let go of it.
 _kept: dict[str, Callable[[], None]] = {}
 
@@ -76,7 +78,10 @@ def release_others(module: str) -> None:
 
 def mapped(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``fn`` over the batches of each partition, with this package at hand."""
-    ship(df.sparkSession)
+    spark = df.sparkSession
+    ship(spark)
+    if int(str(spark.conf.get(BATCH_SETTING)).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))  # texts are long: a few MB of them make a batch
     module = fn.__module__
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -121,7 +121,7 @@ def tokenized(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, part, at = word_ids(path), TaskContext.get().partitionId(), 0
         end = np.array([end_id], words.kind).tobytes()
-        for piece in slices(batches):
+        for piece in slices(batches, limit=2 << 20):
             ids = [x + end for x in words.encode(piece.column("text").to_pylist())]
             n = np.array([len(x) // words.kind.itemsize for x in ids], np.int64)
             before = at + np.cumsum(n) - n

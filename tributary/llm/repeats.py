@@ -17,7 +17,9 @@ from tributary.session import materialize
 
 WINDOW = 100
 #: Bytes in a suffix array shard, and the most different parts under one key that share a shard.
-SHARD, GROUP = 1 << 20, 4096
+SHARD, GROUP = 1 << 19, 4096
+#: Bytes of text whose segments are compared before they are sent.
+TOGETHER = 8 << 20
 #: Where a document stands: its id (rows without one come last), a hash of its text, and a byte.
 AT = ("ord", "print", "start")
 LAST_ID = (1 << 63) - 1
@@ -73,16 +75,14 @@ SPAN = "ord long, print long, begin long, end long"
 
 
 def _segments(texts: DataFrame, window: int, repeated: bool) -> DataFrame:
-    """Segments of all texts, the first of equal ones in a batch; or, if ``repeated``, the spans of the others in it.
+    """Segments of all texts, the first of equal ones in some MB; or, if ``repeated``, the spans of the others there.
 
-    This is what keeps copies and common passages from meeting in one task: of equal segments a batch sends one.
+    This is what keeps copies and common passages from meeting in one task: of equal segments only one is sent.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = _segment_rows(batch, window)
+        for piece in slices(batches, limit=TOGETHER):
+            rows = _segment_rows(piece, window)
             again = _same_as_before(rows, ("gram", "content"))
             if repeated:
                 # a row that is itself repeated has its places twice; those don't repeat each other
