@@ -80,7 +80,7 @@ def mapped(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
     """``fn`` over the batches of each partition, with this package at hand."""
     spark = df.sparkSession
     ship(spark)
-    if int(str(spark.conf.get(BATCH_SETTING)).rstrip("b")) > BATCH_BYTES:
+    if spark.conf.get(BATCH_SETTING, None) is None:
         spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))  # texts are long: a few MB of them make a batch
     module = fn.__module__
 
