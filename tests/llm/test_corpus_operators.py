@@ -1,5 +1,6 @@
 """Operators over the whole corpus: near-duplicates, repeats, language model, top-k, and the pipeline."""
 
+import math
 import random
 
 import numpy as np
@@ -228,3 +229,23 @@ def test_pipeline_on_odd_tables(spark, sf_dir, tmp_path, rows, left):
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     spark.read.parquet(f"{sf_dir}/labels.parquet").write.parquet(str(tmp_path / "labels.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == left
+
+
+def test_rare_words_keep_counts_of_their_own(spark):
+    """More words than one in 65 000: each is counted as itself, with few of many words as with many of few."""
+    often = [(k, "common " * 1000) for k in range(300)]
+    some = [*often, (1000, "zq1 zq2 zq3"), (1001, "zq1 zq2"), (1002, "zq4 zq5")]
+    got = {r["doc_id"]: r["score"] for r in lm.score(table(spark, some), lm.train(table(spark, some), 1)).collect()}
+    total = 300_000 + 7
+    assert abs(got[1002] - math.log10(1 / total)) < 1e-7
+    assert abs(got[1001] - math.log10(2 / total)) < 1e-7
+
+
+def test_words_of_many_slices_add_up(spark, rows, docs, monkeypatch):
+    monkeypatch.setattr(lm, "TOGETHER", 2000)
+    want = backoff_scores(rows, 3, 1 << 40, lm.LEAST, lm.BACKOFF)
+    key = lambda r: (str(r[0]), r[1], r[2] or 0)
+    for asking in (docs, docs.select("*")):  # the corpus itself, and a table like any other
+        got = lm.score(asking, lm.train(docs, 3)).collect()
+        for a, b in zip(sorted(map(tuple, got), key=key), sorted(want, key=key), strict=True):
+            assert a[:2] == b[:2] and (a[2] is None or abs(a[2] - b[2]) < 1e-7)

@@ -2,179 +2,270 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.arrow import bytes_of, mapped, slices, words_in
+from tributary.llm.arrow import bytes_of, mapped, mix, slices, words_in
 from tributary.session import materialize
 
-#: A word is in the vocabulary if it makes up one in so many words at least, so there are no more words than this.
-VOCABULARY = 65_000
-#: Ids take so many bits: an n-gram of up to three words is one integer.
-BITS = 17
-#: N-grams seen less often are not kept. What a shorter context is worth.
+#: None: every word counts as itself. A number: words that make up less than one in so many share a key.
+VOCABULARY: int | None = None
+#: N-grams of several words seen less often back off. What a shorter context is worth.
 LEAST, BACKOFF = 2, 0.4
+#: Of a word that the corpus lacks altogether.
+UNSEEN = -12.0
+#: Bytes of text whose n-grams are counted, and looked up, together.
+TOGETHER = 4 << 20
+#: Keys are dealt by their top bits into buckets: so many at least (as a power of two), and of about so many words.
+BITS, BUCKET = 10, 1 << 19
+_SCALE = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass
 class Model:
-    """``vocabulary``: hashes in order, ids from 1 (0 stands for all other words). ``tables[k]``: (gram, score) of k + 2 words."""
+    """``counts``: (bucket, keys, counts), packed keys of n-grams of up to ``order`` words; those of several rows add up.
 
-    vocabulary: np.ndarray
-    words: DataFrame
-    tables: list[DataFrame]
+    ``source``: the table and column they are from.
+    """
+
+    source: tuple[DataFrame, str]
+    counts: DataFrame
+    total: int
+    bits: int
+    order: int
+    vocabulary: np.ndarray | None
+
+
+def _keys(texts: pa.Array, order: int, vocabulary: np.ndarray | None) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+    """By length: a 64-bit key of the n-gram that starts at each word, and whether it lies in one text. The text of each word."""
+    words, owners, row = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+    for piece in slices(iter([pa.RecordBatch.from_arrays([texts], names=["text"])])):  # bytes take more room than their words
+        word, owner, _ = words_in(*bytes_of(piece.column("text")), lower=True)
+        words.append(word)
+        owners.append(owner + row)
+        row += piece.num_rows
+    word, owner = np.concatenate(words), np.concatenate(owners)
+    if vocabulary is not None:
+        word = np.where(np.isin(word, vocabulary), word, np.uint64(0))
+    keys, whole = [word], [np.ones(len(word), bool)]
+    for n in range(2, order + 1):
+        size = max(len(word) - n + 1, 0)
+        keys.append(mix(keys[-1][:size] * _SCALE + word[n - 1 :] + np.uint64(n)))
+        whole.append(owner[:size] == owner[n - 1 :])
+    return keys, whole, owner
 
-    @property
-    def order(self) -> int:
-        return len(self.tables) + 1
 
+def _pack(x: np.ndarray) -> bytes:
+    """64-bit integers byte by byte, highest bytes together: what is small compresses."""
+    return x.view(np.uint8).reshape(-1, 8).T.tobytes()
 
-def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("print"), text.alias("text"))
 
+def _unpack(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
 
-def _ids(piece: pa.RecordBatch, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word ids of all texts of a piece, and the row of each."""
-    flat, ends = bytes_of(piece.column("text"))
-    h, owner, _ = words_in(flat, ends, lower=True)
-    if not len(vocabulary):
-        return np.zeros(len(h), np.int64), owner
-    at = np.searchsorted(vocabulary, h)
-    at[at == len(vocabulary)] = 0
-    return np.where(vocabulary[at] == h, at + 1, 0), owner
 
+def _packets(keys: np.ndarray, bits: int) -> tuple[np.ndarray, list[slice], list[bytes]]:
+    """Buckets of sorted keys, where each one's keys are, and these packed as differences."""
+    bucket = (keys >> np.uint64(64 - bits)).astype(np.int64)
+    first = np.flatnonzero(np.diff(bucket, prepend=-1))
+    step = keys.copy()
+    step[1:] -= keys[:-1]
+    step[first] = keys[first]
+    parts = [slice(a, b) for a, b in zip(first.tolist(), [*first[1:].tolist(), len(keys)], strict=False)]
+    return bucket[first], parts, [_pack(step[p]) for p in parts]
 
-def _grams(ids: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """N-grams of ``n`` words within rows, packed, and their rows."""
-    size = max(len(ids) - n + 1, 0)
-    gram = np.zeros(size, np.int64)
-    for k in range(n):
-        gram = gram << BITS | ids[k : k + size]
-    same = owner[:size] == owner[n - 1 :] if size else np.zeros(0, bool)
-    return gram[same], owner[:size][same]
 
+def _sums(packets: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of some packets in order, and their counts summed."""
+    if not packets:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    keys = np.concatenate([np.cumsum(_unpack(k), dtype=np.uint64) for k, _ in packets])
+    counts = np.concatenate([_unpack(c) for _, c in packets])
+    order = np.argsort(keys, kind="stable")  # runs in order are merged
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[first], np.add.reduceat(counts, first)
 
-def _counted(keys: np.ndarray, name: str) -> pa.RecordBatch:
-    found, n = np.unique(keys, return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], names=[name, "n"])
+
+def _vocabulary(texts: DataFrame, total: int) -> np.ndarray | None:
+    if VOCABULARY is None:
+        return None
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches):
+            found, n = np.unique(words_in(*bytes_of(piece.column("text")), lower=True)[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"])
+
+    counts = mapped(texts, words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    often = counts.where(F.col("n") * VOCABULARY >= total).collect()  # no more than VOCABULARY rows
+    return np.array([r["word"] for r in often], np.int64).view(np.uint64)
 
 
 def train(docs: DataFrame, order: int = 2, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Counts over all documents. Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z folded; rare ones share an id.
+    """Counts of all n-grams over all documents. Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z folded.
 
-    Every batch is counted before it is shuffled; the count tables are partitioned by the n-gram's hash and written.
+    N-grams are known by 64-bit hashes of their words. They are counted by some MB of text, and these counts dealt into
+    buckets by key, as many as the corpus needs; nothing but the number of words reaches the driver.
     """
     if not 1 <= order <= 3:
         raise ValueError("order is 1, 2 or 3")
-    texts = _texts(docs, id_col, text_col).select("text")
+    texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in slices(iter([batch]), limit=8 << 20):
-                yield _counted(words_in(*bytes_of(piece.column("text")), lower=True)[0], "word")
-
-    counts = materialize(mapped(texts, words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    # one in VOCABULARY of all words each: no more than VOCABULARY rows
-    often = counts.where(F.col("n") * VOCABULARY >= total).collect() if total else []
-    vocabulary = np.sort(np.array([r["word"] for r in often], np.int64).view(np.uint64))
-    by_id = {i + 1: 0 for i in range(len(vocabulary))}
-    for r in often:
-        by_id[int(np.searchsorted(vocabulary, np.array([r["word"]], np.int64).view(np.uint64)[0])) + 1] = r["n"]
-    by_id[0] = total - sum(by_id.values())
-    rows = [(i, n) for i, n in by_id.items() if n]
-    unigrams = docs.sparkSession.createDataFrame(rows, "gram long, n long")
-    scored = unigrams.select("gram", "n", F.log10(F.col("n") / F.lit(float(max(total, 1)))).alias("score"))
-    tables, shorter = [], unigrams
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = sum(len(words_in(*bytes_of(piece.column("text")))[0]) for piece in slices(batches))
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
 
-    for n in range(2, order + 1):
+    total = mapped(texts, sizes, "n long").agg(F.sum("n")).first()[0] or 0
+    bits = max(BITS, (total // BUCKET).bit_length())
+    vocabulary = _vocabulary(texts, total)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches, limit=TOGETHER):
+            yield _counted(piece.column("text"), order, vocabulary, bits)
+
+    return Model((docs, text_col), mapped(texts, count, "bucket long, keys binary, counts binary"), total, bits, order, vocabulary)
+
+
+def _counted(texts: pa.Array, order: int, vocabulary: np.ndarray | None, bits: int) -> pa.RecordBatch:
+    """(bucket, keys, counts): a packet for each bucket that the n-grams of some texts are in."""
+    keys, whole, _ = _keys(texts, order, vocabulary)
+    found, n = np.unique(np.concatenate([k[w] for k, w in zip(keys, whole, strict=True)]), return_counts=True)
+    bucket, parts, packed = _packets(found, bits)
+    n = n.astype(np.uint64)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket), pa.array(packed, pa.binary()), pa.array([_pack(n[p]) for p in parts], pa.binary())], names=["bucket", "keys", "counts"]
+    )
 
-        def grams(batches: Iterator[pa.RecordBatch], n: int = n) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for piece in slices(iter([batch]), limit=8 << 20):
-                    yield _counted(_grams(*_ids(piece, vocabulary), n)[0], "gram")
 
-        kept = mapped(texts, grams, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
-        kept = materialize(kept, "grams")
-        context = shorter.select(F.col("gram").alias("context"), F.col("n").alias("of"))
-        # a kept n-gram's context occurs as often and is kept as well; words are few by construction
-        context = F.broadcast(context) if n == 2 else context
-        told = kept.join(context, F.shiftright("gram", BITS) == F.col("context"))
-        tables.append(materialize(told.select("gram", F.log10(F.col("n") / F.col("of")).alias("score")), "scores"))
-        shorter = kept
-    return Model(vocabulary, scored.select("gram", "score"), tables)
+def _slices(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(slice, ids, texts): some MB of rows in one. Written, so that whoever reads it finds the same slices."""
+    kind = dict(docs.dtypes)[id_col]
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches, limit=TOGETHER):
+            ends = pa.array([0, piece.num_rows], pa.int32())
+            columns = [pa.ListArray.from_arrays(ends, piece.column(c)) for c in ("id", "text")]
+            yield pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().int >> 65], pa.int64()), *columns], names=["slice", "ids", "texts"])
+
+    return materialize(mapped(texts, cut, f"slice long, ids array<{kind}>, texts array<string>"), "slices")
+
+
+def _answers(packets: DataFrame) -> DataFrame:
+    """(slice, bucket, counts): how often the corpus has the keys of each packet that names a slice, in their order.
+
+    Packets with counts make up the corpus; one with both is counted and answered.
+    """
+
+    def found(table: tuple[np.ndarray, np.ndarray], keys: bytes) -> bytes:
+        want = np.cumsum(_unpack(keys), dtype=np.uint64)
+        if not len(table[0]):
+            return _pack(np.zeros(len(want), np.uint64))
+        place = np.minimum(np.searchsorted(table[0], want), len(table[0]) - 1)
+        return _pack(np.where(table[0][place] == want, table[1][place], np.uint64(0)))
+
+    def told(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+        columns = list(zip(*rows, strict=True)) or [(), (), ()]
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["slice", "bucket", "counts"])
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, waiting, table = None, [], [], None
+        for batch in batches:
+            out = []
+            for bucket, at, keys, n in zip(*[batch.column(c).to_pylist() for c in ("bucket", "slice", "keys", "counts")], strict=True):
+                if bucket != now:
+                    if waiting:
+                        table = _sums(held)
+                        out += [(x, now, found(table, k)) for x, k in waiting]
+                    now, held, waiting, table = bucket, [], [], None
+                if n is not None:
+                    held.append((keys, n))
+                    if at is not None:
+                        waiting.append((at, keys))
+                else:  # a bucket's counts come first
+                    if table is None:
+                        table, held = _sums(held), []
+                    out.append((at, bucket, found(table, keys)))
+            yield told(out)
+        if waiting:
+            table = _sums(held)
+            yield told([(x, now, found(table, k)) for x, k in waiting])
+
+    dealt = packets.select("bucket", "slice", "keys", "counts").repartition("bucket").sortWithinPartitions("bucket", F.col("slice").asc_nulls_first())
+    return mapped(dealt, answer, "slice long, bucket long, counts binary")
+
+
+def _values(keys: list[np.ndarray], whole: list[np.ndarray], found: np.ndarray, total: int) -> np.ndarray:
+    """The log10 score of each word, from the counts of the distinct keys in order."""
+    place = np.unique(np.concatenate([k[w] for k, w in zip(keys, whole, strict=True)]), return_inverse=True)[1]
+    step, at = float(np.log10(BACKOFF)), 0
+    shorter = value = np.zeros(0)
+    for n, same in enumerate(whole, 1):
+        count = np.zeros(len(same))
+        count[same] = found[place[at : at + int(same.sum())]]
+        at += int(same.sum())
+        if n == 1:
+            value = np.where(count > 0, np.log10(np.maximum(count, 1) / max(total, 1)), UNSEEN)
+        else:
+            share = np.log10(np.maximum(count, 1) / np.maximum(shorter[: len(count)], 1))
+            # a row's first words have no longer context
+            value[n - 1 :] = np.where(same & (count >= max(LEAST, 1)), share, value[n - 1 :] + np.where(same, step, 0.0))
+        shorter = count
+    return value
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, score), one row per row of ``docs``: the mean log10 of its words' scores, rounded to 9 places.
 
     A word's score is the share of its longest context that it follows, if that n-gram was seen ``LEAST`` times; otherwise that
-    of the next shorter context times ``BACKOFF``. The distinct n-grams of a document are joined with the tables from the longest
-    on; what a table lacks goes on to the next one. Texts without words (null, empty, blank) score null; repeated rows
-    score alike; an empty table gives no rows; other columns are ignored.
+    of the next shorter context times ``BACKOFF``. Some MB of rows ask each bucket for the counts of their distinct n-grams, and
+    get them back in the same order. Texts without words (null, empty, blank) score null; repeated rows score alike; an empty
+    table gives no rows; other columns are ignored.
     """
-    vocabulary, order = model.vocabulary, model.order
+    order, bits, total, vocabulary = model.order, model.bits, model.total, model.vocabulary
     kind = dict(docs.dtypes)[id_col]
-    texts = _texts(docs, id_col, text_col)
-
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches):
-            ids, owner = _ids(piece, vocabulary)
-            for n in range(1, order + 1):
-                gram, row = _grams(ids, owner, n)
-                if n < order:  # a row's first n-gram of each shorter length has no longer context
-                    first = np.ones(len(row), bool)
-                    first[1:] = row[1:] != row[:-1]
-                    gram, row = gram[first], row[first]
-                place = np.lexsort((gram, row))
-                gram, row = gram[place], row[place]
-                new = np.ones(len(gram), bool)
-                new[1:] = (gram[1:] != gram[:-1]) | (row[1:] != row[:-1])
-                first = np.flatnonzero(new)
-                times = np.diff(np.append(first, len(gram)))
-                take = pa.array(row[first])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        piece.column("id").take(take), piece.column("print").take(take), pa.array(np.full(len(first), n, np.int32)),
-                        pa.array(gram[first]), pa.array(times.astype(np.int64)),
-                    ],
-                    names=["id", "print", "size", "gram", "times"],
-                )
-
-    rows = mapped(texts, explode, f"id {kind}, print long, size int, gram long, times long")
-    rows = rows.withColumns({"lost": F.lit(0.0), "value": F.lit(None).cast("double")})
-    step = float(np.log10(BACKOFF))
-    for n in range(order, 1, -1):
-        due = F.col("value").isNull() & (F.col("size") == n)
-        # what is not due gets a key that no n-gram has, spread like the others
-        rows = rows.withColumn("key", F.when(due, F.col("gram")).otherwise(-1 - F.col("gram")))
-        table = model.tables[n - 2].select(F.col("gram").alias("key"), "score")
-        rows = rows.join(table, "key", "left").withColumn("missed", due & F.col("score").isNull())
-        shorter = F.col("gram").bitwiseAND(F.lit((1 << BITS * (n - 1)) - 1))
-        rows = rows.select(
-            "id", "print", F.when(F.col("missed"), n - 1).otherwise(F.col("size")).alias("size"),
-            F.when(F.col("missed"), shorter).otherwise(F.col("gram")).alias("gram"), "times",
-            F.when(F.col("missed"), F.col("lost") + step).otherwise(F.col("lost")).alias("lost"),
-            F.coalesce("value", F.col("lost") + F.col("score")).alias("value"),
-        )
-    # words are few by construction
-    alone = F.broadcast(model.words.select("gram", F.col("score").alias("alone")))
-    rows = rows.join(alone, "gram", "left").withColumn("value", F.coalesce("value", F.col("lost") + F.coalesce("alone", F.lit(UNSEEN))))
-    sums = rows.groupBy("id", "print").agg(F.sum(F.col("times") * F.col("value")).alias("log"), F.sum("times").alias("n_words"))
-    sums = sums.select(F.col("id").alias("_id"), F.col("print").alias("_print"), "n_words", F.round(F.col("log") / F.col("n_words"), 9).alias("score"))
-    listed = texts.select("id", "print")
-    # rows with one id and one text were summed together
-    same = listed.groupBy("id", "print").agg(F.count(F.lit(1)).alias("rows"))
-    full = listed.join(same.select(F.col("id").alias("_i"), F.col("print").alias("_p"), "rows"), F.col("id").eqNullSafe(F.col("_i")) & (F.col("print") == F.col("_p")))
-    full = full.join(sums, F.col("id").eqNullSafe(F.col("_id")) & (F.col("print") == F.col("_print")), "left")
-    return full.select(F.col("id").alias("doc_id"), F.coalesce((F.col("n_words") / F.col("rows")).cast("long"), F.lit(0)).alias("n_words"), "score")
+    table = _slices(docs, id_col, text_col)
 
+    own = model.source[0] is docs and model.source[1] == text_col
 
-#: Of a word that the corpus lacks altogether.
-UNSEEN = -12.0
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, texts in zip(batch.column("slice").to_pylist(), batch.column("texts"), strict=True):
+                bucket, keys, counts = _counted(texts.values, order, vocabulary, bits).columns
+                counts = counts if own else pa.nulls(len(counts), pa.binary())
+                yield pa.RecordBatch.from_arrays([bucket, pa.array([at] * len(bucket), pa.int64()), keys, counts], names=["bucket", "slice", "keys", "counts"])
+
+    def scored(ids: pa.Array, texts: pa.Array, answers: list[bytes]) -> pa.RecordBatch:
+        keys, whole, owner = _keys(texts, order, vocabulary)
+        n = np.bincount(owner, minlength=len(texts))
+        found = np.concatenate([np.zeros(0, np.uint64), *[_unpack(x) for x in answers]])
+        log = np.bincount(owner, _values(keys, whole, found, total), len(texts)) if len(owner) else np.zeros(len(texts))
+        mean = pa.array(np.round(log / np.maximum(n, 1), 9), mask=n == 0)
+        return pa.RecordBatch.from_arrays([ids, pa.array(n.astype(np.int64)), mean], names=["doc_id", "n_words", "score"])
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, answers = None, []
+        for batch in batches:
+            for k, (bucket, x) in enumerate(zip(batch.column("bucket").to_pylist(), batch.column("counts").to_pylist(), strict=True)):
+                if bucket >= 0:
+                    answers.append(x)
+                    continue
+                if rows is not None:
+                    yield scored(*rows, answers)
+                rows, answers = (batch.column("ids")[k].values, batch.column("texts")[k].values), []
+        if rows is not None:
+            yield scored(*rows, answers)
+
+    packets = mapped(table.select("slice", "texts"), ask, "bucket long, slice long, keys binary, counts binary")
+    # the corpus itself sends its n-grams once, to be counted and to ask
+    answers = _answers(packets if own else packets.unionByName(model.counts.withColumn("slice", F.lit(None).cast("long"))))
+    rows = table.select("slice", F.lit(-1).cast("long").alias("bucket"), "ids", "texts").unionByName(answers, allowMissingColumns=True)
+    # a slice's rows, then its answers by bucket: in the order of its keys
+    dealt = rows.select("slice", "bucket", "ids", "texts", "counts").repartition("slice").sortWithinPartitions("slice", "bucket")
+    return mapped(dealt, add_up, f"doc_id {kind}, n_words long, score double")
