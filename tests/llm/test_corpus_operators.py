@@ -249,3 +249,13 @@ def test_words_of_many_slices_add_up(spark, rows, docs, monkeypatch):
         got = lm.score(asking, lm.train(docs, 3)).collect()
         for a, b in zip(sorted(map(tuple, got), key=key), sorted(want, key=key), strict=True):
             assert a[:2] == b[:2] and (a[2] is None or abs(a[2] - b[2]) < 1e-7)
+
+
+def test_ngrams_seen_once_count(spark):
+    """Of three words and of two, those seen once as well: the registered query backs off only from what no document has."""
+    some = [(1, "a b c"), (2, "a b d"), (3, "e f")]
+    docs = table(spark, some)
+    got = {r["doc_id"]: r["score"] for r in lm.score(docs, lm.train(docs)).collect()}
+    a, e = math.log10(2 / 8), math.log10(1 / 8)
+    assert abs(got[1] - (a + math.log10(2 / 2) + math.log10(1 / 2)) / 3) < 1e-7
+    assert abs(got[3] - (e + math.log10(1 / 1)) / 2) < 1e-7

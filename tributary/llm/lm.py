@@ -17,11 +17,11 @@ from tributary.session import materialize
 #: None: every word counts as itself. A number: words that make up less than one in so many share a key.
 VOCABULARY: int | None = None
 #: N-grams of several words seen less often back off. What a shorter context is worth.
-LEAST, BACKOFF = 2, 0.4
+LEAST, BACKOFF = 1, 0.4
 #: Of a word that the corpus lacks altogether.
 UNSEEN = -12.0
 #: Bytes of text whose n-grams are counted, and looked up, together.
-TOGETHER = 4 << 20
+TOGETHER = 2 << 20
 #: Keys are dealt by their top bits into buckets: so many at least (as a power of two), and of about so many words.
 BITS, BUCKET = 10, 1 << 19
 _SCALE = np.uint64(0x9E3779B97F4A7C15)
@@ -107,7 +107,7 @@ def _vocabulary(texts: DataFrame, total: int) -> np.ndarray | None:
     return np.array([r["word"] for r in often], np.int64).view(np.uint64)
 
 
-def train(docs: DataFrame, order: int = 2, id_col: str = "doc_id", text_col: str = "text") -> Model:
+def train(docs: DataFrame, order: int = 3, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Counts of all n-grams over all documents. Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z folded.
 
     N-grams are known by 64-bit hashes of their words. They are counted by some MB of text, and these counts dealt into

@@ -140,4 +140,4 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_lm_score")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    return lm.score(docs, lm.train(docs))
+    return lm.score(docs, lm.train(docs, order=3))
