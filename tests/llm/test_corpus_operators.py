@@ -259,3 +259,17 @@ def test_ngrams_seen_once_count(spark):
     a, e = math.log10(2 / 8), math.log10(1 / 8)
     assert abs(got[1] - (a + math.log10(2 / 2) + math.log10(1 / 2)) / 3) < 1e-7
     assert abs(got[3] - (e + math.log10(1 / 1)) / 2) < 1e-7
+
+
+def test_repeats_are_found_however_later_scans_are_cut(spark):
+    """A copy left out beside its original is a repeat even if the next scan has smaller batches."""
+    rng = random.Random(4)
+    text = "".join(rng.choice("abcdefghij ") for _ in range(300))
+    spans = repeats.repeated_spans(table(spark, [(1, text), (2, text)], parts=1))
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(setting, "1")
+    try:
+        got = {(r["ord"], r["begin"], r["end"]) for r in spans.collect()}
+    finally:
+        spark.conf.unset(setting)
+    assert got == {(2, 0, 300)}

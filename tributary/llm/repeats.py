@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.anchors import GRAM, pieces, segments
+from tributary.llm.anchors import GRAM, pieces
+from tributary.llm.anchors import segments as segments_of
 from tributary.llm.arrow import as_row, bytes_of, mapped, mix, slices
 from tributary.llm.suffixes import equal_windows
 from tributary.session import materialize
@@ -40,7 +41,7 @@ def _segment_rows(batch: pa.RecordBatch, window: int) -> dict[str, np.ndarray]:
     found: dict[str, list[np.ndarray]] = {k: [] for k in ("gram", "content", "ord", "print", "start", "n")}
     ids, prints = batch.column("ord").to_numpy(), batch.column("print").to_numpy()
     for first, own in pieces(ends, window):
-        gram, content, start, n = segments(flat[first : first + int(own[-1])], own, window)
+        gram, content, start, n = segments_of(flat[first : first + int(own[-1])], own, window)
         text = np.searchsorted(ends, start + first, "right") - 1
         for k, x in zip(found, (gram, content, ids[text], prints[text], start + first - ends[text], n), strict=True):
             found[k].append(x)
@@ -74,28 +75,35 @@ def _spans(rows: dict[str, np.ndarray], keep: np.ndarray, window: int) -> pa.Rec
 SPAN = "ord long, print long, begin long, end long"
 
 
-def _segments(texts: DataFrame, window: int, repeated: bool) -> DataFrame:
-    """Segments of all texts, the first of equal ones in some MB; or, if ``repeated``, the spans of the others there.
+def _segments(texts: DataFrame, window: int) -> DataFrame:
+    """Segments of all texts, the first of equal ones in some MB; and, marked ``repeated``, the spans of the others there.
 
-    This is what keeps copies and common passages from meeting in one task: of equal segments only one is sent.
+    This is what keeps copies and common passages from meeting in one task: of equal segments only one is sent. Both kinds are
+    from one scan and written together: another scan may cut the texts into other batches and miss what this one left out.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, limit=TOGETHER):
             rows = _segment_rows(piece, window)
             again = _same_as_before(rows, ("gram", "content"))
-            if repeated:
-                # a row that is itself repeated has its places twice; those don't repeat each other
-                first = np.maximum.accumulate(np.where(again, 0, np.arange(len(again)))) if len(again) else again
-                moved = np.zeros(len(again), bool)
-                for k in AT:
-                    moved |= rows[k] != rows[k][first]
-                yield _spans(rows, again & moved, window)
-            else:
-                yield pa.RecordBatch.from_pydict({k: pa.array(x[~again]) for k, x in rows.items()})
+            # a row that is itself repeated has its places twice; those don't repeat each other
+            first = np.maximum.accumulate(np.where(again, 0, np.arange(len(again)))) if len(again) else again
+            moved = np.zeros(len(again), bool)
+            for k in AT:
+                moved |= rows[k] != rows[k][first]
+            spans = _spans(rows, again & moved, window)
+            count = spans.num_rows
+            yield pa.RecordBatch.from_pydict({**{k: pa.array(x[~again]) for k, x in rows.items()}, "repeated": pa.array(np.zeros(int((~again).sum()), bool))})
+            begin, end = (spans.column(k).to_numpy() for k in ("begin", "end"))
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "gram": pa.nulls(count, pa.int64()), "content": pa.nulls(count, pa.int64()), "ord": spans.column("ord"), "print": spans.column("print"),
+                    "start": pa.array(begin), "n": pa.array(end - begin - (window - 1)), "repeated": pa.array(np.ones(count, bool)),
+                }
+            )
 
-    schema = SPAN if repeated else "gram long, content long, ord long, print long, start long, n long"
-    return mapped(texts.select("ord", "print", "text"), cut, schema)
+    schema = "gram long, content long, ord long, print long, start long, n long, repeated boolean"
+    return materialize(mapped(texts.select("ord", "print", "text"), cut, schema), "segments")
 
 
 def _place() -> Column:
@@ -272,10 +280,11 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
         raise ValueError(f"windows must have {2 * GRAM} bytes or more")
     texts = _numbered(docs, id_col, text_col)
     long = texts.where(F.octet_length("text") >= window)
-    found = materialize(_judged(_segments(long, window, False), "gram"), "shared")
+    segments = _segments(long, window)
+    found = materialize(_judged(segments.where(~F.col("repeated")).drop("repeated"), "gram"), "shared")
     tail = F.col("start") + F.col("n") + (window - 1)
     spans = found.where("later").select("ord", "print", F.col("start").alias("begin"), tail.alias("end"))
-    spans = spans.unionByName(_segments(long, window, True))
+    spans = spans.unionByName(segments.where("repeated").select("ord", "print", F.col("start").alias("begin"), tail.alias("end")))
     parts = _parts(long, found.where("several and not later"), window)
     parts = materialize(parts, "parts")
     # of equal parts the first goes on; the others repeat it
