@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, langid, lm, neardup, packing, quality, repeats, secrets, topk, toxicity
+from tributary.llm import bpe, langid, lm, neardup, negatives, packing, quality, repeats, secrets, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -141,3 +141,27 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return lm.score(docs, lm.train(docs, order=3))
+
+
+@query(
+    "op11_hard_negatives",
+    """
+    WITH v AS (
+      SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS l,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+      FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (
+      SELECT a.r AS a, a.vec_id AS anchor_id, c.r AS c, c.vec_id, a.l = c.l AS same, list_inner_product(a.e, c.e)::BIGINT AS score
+      FROM v a JOIN v c ON a.r <> c.r AND len(a.e) = len(c.e) WHERE a.vec_id % 100 = 0),
+    p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) <= 5)
+    SELECT p.anchor_id, p.vec_id AS positive_id,
+      row_number() OVER (PARTITION BY p.a, p.c ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank,
+      n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+    FROM p JOIN s n ON p.a = n.a AND NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+    QUALIFY rank <= 10
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    return negatives.hard_negatives(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
