@@ -20,7 +20,7 @@ from tributary.session import materialize
 #: Anchors that a task holds at a time, and candidates that pass by them in one group at least and at most.
 CHUNK, LANE = 8192, (512, 1 << 20)
 #: Groups that a table is dealt into, unless its lanes become too short or too long.
-SPREAD = 64
+SPREAD = 16
 #: Candidates that are packed together, and products of words and anchors that are held at a time.
 BLOCK, PRODUCTS = 8192, 1 << 18
 WORD = 64
