@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -67,7 +68,7 @@ def test_redaction_keeps_columns_and_nulls(spark):
 
 ODD_TEXTS = [
     "", " ", "a  b", "word's  end\n\nnext \n line", "<|endoftext|>", "hi <|endoftext|>there", "é漢字😀 ſK \x1c\x85\x0b", "ab" * 4000, " " * 500,
-    "İstanbul, ΣΑΣ. ñ é.", "tab\tend\r\n", "a.\nb c.\nD",
+    "İstanbul, ΣΑΣ. ñ é.", "tab\tend\r\n", "a.\nb c.\nD", "<|ENDOFTEXT|> Word word WORD. word, <|endoftext|>W", "Ä. Ä, ÿ. Ÿ. ^ ^a a^. !. !! ...",
 ]
 
 
@@ -80,12 +81,27 @@ def test_ids_equal_the_library(name, make):
     texts += [t for _, t in odd_rows() if t]
     for text in texts:
         want = library.encode(text, add_special_tokens=False).ids
-        got = own.encode(text) if name.startswith("byte") else np.frombuffer(own.encode([text])[0], own.kind).tolist()
+        got = own.encode(text) if name.startswith("byte") else own.encode(pa.array([text]))[0].tolist()
         assert got == want, text
         if name.startswith("byte"):
             assert own.decode(want) == library.decode(want, skip_special_tokens=False)
 
 
+def test_word_ids_in_any_company(monkeypatch):
+    """Texts encoded together, with few kept words and with long ones between, have the ids that each has alone."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, own, rng = Tokenizer.from_file(path), packing.WordIds(path), random.Random(7)
+    monkeypatch.setattr(packing, "CACHED_WORDS", 300)
+    monkeypatch.setattr(packing, "TOGETHER", 7)
+    monkeypatch.setattr(packing, "LONGEST_CACHED", 1000)
+    parts = ["Word", "word.", "WORD,", "naïve", "Éa.", "x^y", "12.", "don't", "!.", "<|endoftext|>", "<|ENDOFTEXT|>", "", "q" * 1500, "漢字"]
+    for _ in range(60):
+        texts = [" ".join(rng.choice(parts) + rng.choice(["", "", str(rng.randrange(99))]) for _ in range(rng.randrange(30))) for _ in range(rng.randrange(5))]
+        ids, sizes = own.encode(pa.array(texts, pa.string()))
+        want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert sizes.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+
+
 def test_bpe_digests_and_round_trip(spark, rows, docs):
     path = public_tokenizers.path("byte_bpe_50k.json")
     library = Tokenizer.from_file(path)

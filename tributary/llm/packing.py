@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import json
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,15 +19,17 @@ from tributary.session import materialize
 
 SEQUENCE = 2048
 END_ID = 1
-#: Ids of words up to this length are kept, for so many words.
-LONGEST_CACHED, CACHED_WORDS = 48, 600_000
+#: So many words are kept with their ids, unless one of them has more bytes than this.
+CACHED_WORDS, LONGEST_CACHED = 600_000, 1 << 16
 #: Words that are encoded as one text.
 TOGETHER = 1000
+#: Bytes of text that are encoded at a time.
+PIECE_BYTES = 4 << 20
 
 
 #: Words of letters that no normal form changes, alone or before a full stop or comma.
-LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
-STOPPED = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+[.,]").fullmatch
+LETTERS = r"^[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]+$"
+STOPPED = LETTERS.replace("$", "[.,]$")
 
 #: How the tokenizer must cut a text for its words to be encoded one by one (a fixed value).
 WORDWISE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -36,8 +38,9 @@ WORDWISE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 class WordIds:
     """Ids of whole texts by a tokenizer file.
 
-    Where the tokenizer cuts by ``WORDWISE``, no id spans white space, or a letter and a full stop or comma behind it, so words
-    are encoded once, and a word before such a mark is not encoded again. Any other tokenizer encodes texts as they are.
+    Where the tokenizer cuts by ``WORDWISE``, no id spans white space, or a letter and a full stop or comma behind it. Then Arrow
+    cuts texts into words and numbers the different ones; ids are made once for each of these, a word before such a mark not
+    again, and gathered by number. Any other tokenizer encodes texts as they are.
     """
 
     def __init__(self, path: str):
@@ -45,7 +48,6 @@ class WordIds:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {"": b""}
         spec = json.loads(self.tokenizer.to_str())
         cuts = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
         self.wordwise = any(x.get("pattern") == {"Regex": WORDWISE} and x.get("invert") for x in cuts)
@@ -54,52 +56,133 @@ class WordIds:
         self.closing = np.zeros(self.size, bool) if suffix else None
         for token, i in self.tokenizer.get_vocab().items() if suffix else ():
             self.closing[i] = token.endswith(suffix)
-        self.stops = {c: np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, self.kind).tobytes() for c in ".,"}
+        self.stops = {c: np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, self.kind) for c in ".,"}
+
+        # letters in lower case need neither normal forms nor cuts, only what stands for their bytes
+        self.folds = {"type": "Lowercase"} in (spec["normalizer"] or {}).get("normalizers", [])
+        steps = [{"type": "WhitespaceSplit"}, *(x for x in cuts if x["type"] == "ByteLevel")]
+        self.letters = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": steps}}))
+        self.special = [x["content"] for x in spec["added_tokens"]]
 
         # a mark that is one id wherever it stands alone, so that many words can be encoded as one text
         marks = ((c, self.tokenizer.encode(c, add_special_tokens=False).ids) for c in "^~|")
         self.mark, self.mark_id = next(((c, ids[0]) for c, ids in marks if len(ids) == 1), (None, None))
+        self._forget()
+
+    def _forget(self) -> None:
+        """Known words have a number, their place in ``words``; it gives the place of their ids in ``store`` and how many there are."""
+        self.words = pa.array([""], pa.string())
+        self.starts, self.sizes = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.store, self.used = np.zeros(1 << 20, self.kind), 0
+
+    def _add(self, words: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Words with their ids, which stand one behind the other."""
+        if self.used + len(ids) > len(self.store):
+            self.store = np.concatenate([self.store[: self.used], np.zeros(max(self.used, len(ids)) + len(ids), self.kind)])
+        self.store[self.used : self.used + len(ids)] = ids
+        self.starts = np.append(self.starts, self.used + np.cumsum(sizes) - sizes)
+        self.sizes = np.append(self.sizes, sizes)
+        self.used += len(ids)
+        self.words = pa.concat_arrays([self.words, words])
 
-    def _together(self, words: list[str], between: str, is_end: np.ndarray, keep_end: int) -> None:
+    def _known(self, words: pa.Array) -> np.ndarray:
+        """Numbers of words, -1 without one."""
+        return pc.fill_null(pc.index_in(words, self.words), -1).to_numpy()
+
+    def _together(self, words: pa.Array, tokenizer: Tokenizer, between: str, is_end: np.ndarray, keep_end: int) -> None:
         """Encodes many words as one text and cuts the ids where ``is_end`` says so."""
-        size = self.kind.itemsize
+        found, sizes, all_words = [], [], words.to_numpy(zero_copy_only=False)
         for at in range(0, len(words), TOGETHER):
-            some = words[at : at + TOGETHER]
-            ids = np.array(self.tokenizer.encode_batch_fast([between.join([*some, ""])], add_special_tokens=False)[0].ids, self.kind)
-            ends = np.flatnonzero(is_end[ids])
-            starts = np.concatenate([[0], ends[:-1] + 1])
-            raw = ids.tobytes()
-            self.known.update([(w, raw[a:b]) for w, a, b in zip(some, (starts * size).tolist(), ((ends + keep_end) * size).tolist(), strict=True)])
-
-    def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if LETTERS(w)] if self.closing is not None else []
-        others = list(set(words).difference(plain)) if plain else words
-        alone = [w for w in others if self.mark is None or self.mark in w]
-        if plain:  # each is one piece, whose last id says so
-            self._together(plain, " ", self.closing, 1)
-        if len(alone) < len(others):
-            self._together([w for w in others if self.mark not in w], f" {self.mark} ", np.arange(self.size) == self.mark_id, 0)
-        for w, x in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False), strict=True):
-            self.known[w] = np.array(x.ids, self.kind).tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as bytes of ``kind``."""
+            some = between.join([*all_words[at : at + TOGETHER], ""])
+            ids = np.array(tokenizer.encode_batch_fast([some.lower() if keep_end and self.folds else some], add_special_tokens=False)[0].ids, self.kind)
+            end = is_end[ids]
+            sizes.append(np.diff(np.flatnonzero(end), prepend=-1) - 1 + keep_end)
+            found.append(ids if keep_end else ids[~end])
+        self._add(words, np.concatenate(found), np.concatenate(sizes))
+
+    def _alone(self, words: pa.Array) -> None:
+        ids = [np.array(x.ids, self.kind) for x in self.tokenizer.encode_batch_fast(words.to_pylist(), add_special_tokens=False)]
+        self._add(words, np.concatenate(ids), np.array([len(x) for x in ids]))
+
+    def _learn(self, words: pa.Array) -> None:
+        """Ids for words that have none yet; those of a word before a full stop or comma are its own and the mark's."""
+        stopped = pc.match_substring_regex(words, STOPPED)
+        ended, others = words.filter(stopped), words.filter(pc.invert(stopped))
+        stems = pc.utf8_slice_codeunits(ended, 0, -1)
+        others = pc.unique(pa.concat_arrays([others, stems.filter(pa.array(self._known(stems) < 0))]))
+        if self.closing is not None:  # a plain word is one piece, whose last id says so
+            plain = pc.match_substring_regex(others, LETTERS)
+            if some := others.filter(plain):
+                self._together(some, self.letters, " ", self.closing, 1)
+            others = others.filter(pc.invert(plain))
+        if self.mark is not None:
+            marked = pc.match_substring(others, self.mark)
+            if some := others.filter(pc.invert(marked)):
+                self._together(some, self.tokenizer, f" {self.mark} ", np.arange(self.size) == self.mark_id, 0)
+            others = others.filter(marked)
+        if others:
+            self._alone(others)
+        for mark, ids in self.stops.items():
+            here = pc.ends_with(ended, mark)
+            if not (some := ended.filter(here)):
+                continue
+            at = self._known(stems.filter(here))
+            sizes = self.sizes[at] + len(ids)
+            ends = np.cumsum(sizes)
+            flat, own = np.empty(int(ends[-1]), self.kind), np.ones(int(ends[-1]), bool)
+            for k, i in enumerate(ids):
+                flat[ends - len(ids) + k] = i
+                own[ends - len(ids) + k] = False
+            flat[own] = self._gathered(at)[0]
+            self._add(some, flat, sizes)
+
+    def _gathered(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words by number, one behind the other, and how many each has."""
+        sizes = self.sizes[numbers]
+        ends = np.cumsum(sizes)
+        shift = np.repeat(self.starts[numbers] - (ends - sizes), sizes)
+        return self.store[shift + np.arange(len(shift))], sizes
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one behind the other, and how many each text has."""
         if not self.wordwise:
-            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            return [np.array(x.ids, self.kind).tobytes() for x in found]
-        cut = [x.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for x in texts]
-        missing = [w for w in set().union(*cut) if w not in self.known]
-        if len(self.known) + len(missing) > CACHED_WORDS:
-            self.known = {"": b""}
-            missing = [w for w in set().union(*cut) if w not in self.known]
-        ended = [w for w in missing if STOPPED(w)]
-        self._learn([*{w[:-1] for w in ended}.difference(self.known).union(missing).difference(ended)])
-        self.known.update([(w, self.known[w[:-1]] + self.stops[w[-1]]) for w in ended])
-        out = [b"".join(map(self.known.__getitem__, words)) for words in cut]
-        for w in [x for x in missing if len(x) > LONGEST_CACHED]:
-            self.known.pop(w)
-            self.known.pop(w[:-1], None)
-        return out
+            ids = [np.array(x.ids, self.kind) for x in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+            return np.concatenate([np.zeros(0, self.kind), *ids]), np.array([len(x) for x in ids], np.int64)
+        if self.folds:  # fewer different words; a special token is one in its own case alone
+            low = pc.ascii_lower(texts)
+            for x in self.special:
+                low = pc.if_else(pc.match_substring(texts, x, ignore_case=True), texts, low) if pc.any(pc.match_substring(low, x.lower())).as_py() else low
+            texts = low
+        cut = pc.ascii_split_whitespace(texts)
+        numbered = cut.flatten().dictionary_encode()
+        words = numbered.dictionary
+        if len(self.words) + len(words) > CACHED_WORDS:
+            self._forget()
+        at = self._known(words)
+        if (at < 0).any():
+            self._learn(words.filter(pa.array(at < 0)))
+            at = self._known(words)
+        ids, sizes = self._gathered(at[numbered.indices.to_numpy()])
+        if len(words) and pc.max(pc.binary_length(words)).as_py() > LONGEST_CACHED:
+            self._forget()
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(pc.list_value_length(cut).to_numpy())]
+        return ids, np.diff(ends, prepend=0)
+
+
+def with_end(ids: np.ndarray, sizes: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and sizes with ``end_id`` behind each text's own."""
+    ends = np.cumsum(sizes + 1)
+    out = np.full(len(ids) + len(sizes), end_id, ids.dtype)
+    own = np.ones(len(out), bool)
+    own[ends - 1] = False
+    out[own] = ids
+    return out, sizes + 1
+
+
+def packed(ids: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Ids as a binary value for each text."""
+    ends = np.concatenate([[0], np.cumsum(sizes)]) * ids.dtype.itemsize
+    return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(ids.tobytes())])
 
 
 _tokenizers: dict[str, WordIds] = {}
@@ -120,14 +203,12 @@ def tokenized(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, part, at = word_ids(path), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], words.kind).tobytes()
-        for piece in slices(batches, limit=2 << 20):
-            ids = [x + end for x in words.encode(piece.column("text").to_pylist())]
-            n = np.array([len(x) // words.kind.itemsize for x in ids], np.int64)
+        for piece in slices(batches, limit=PIECE_BYTES):
+            ids, n = with_end(*words.encode(piece.column("text")), end_id)
             before = at + np.cumsum(n) - n
             at += int(n.sum())
             yield pa.RecordBatch.from_arrays(
-                [piece.column("id"), pa.array(np.full(len(n), part, np.int64)), pa.array(before), pa.array(n), pa.array(ids, pa.binary())],
+                [piece.column("id"), pa.array(np.full(len(n), part, np.int64)), pa.array(before), pa.array(n), packed(ids, n).cast(pa.binary())],
                 names=["doc_id", "part", "before", "n", "ids"],
             )
 
