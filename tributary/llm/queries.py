@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, langid, lm, neardup, negatives, packing, quality, repeats, secrets, topk, toxicity, whitening
+from tributary.llm import binpack, bpe, langid, lm, neardup, negatives, packing, quality, repeats, secrets, topk, toxicity, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -170,3 +170,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_whitening")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_best_fit_packing")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return binpack.pack_whole(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
