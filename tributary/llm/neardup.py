@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.arrow import as_row, bytes_of, mapped, mix, slices, texts_of, words_in
+from tributary.llm.arrow import as_row, bytes_of, keeps, mapped, mix, slices, texts_of, words_in
 from tributary.llm.graph import components
 from tributary.session import materialize
 
@@ -48,6 +48,7 @@ def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
 
 
 _probes: dict[int, np.ndarray] = {}
+keeps(__name__, _probes.clear)
 
 
 def _probe(bins: int, attempt: int) -> np.ndarray:
@@ -116,8 +117,9 @@ def sketches(docs: DataFrame, size: int, bands: int, id_col: str, text_col: str)
 
 def _sets_of(docs: DataFrame, nodes: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
     """(node, set) of ``nodes``: recomputed from the text of one document each, so that sets are kept for candidates alone."""
-    texts = texts_of(docs, id_col, text_col)
-    wanted = texts.join(nodes.select("node", "label", "f1", "f2"), F.col("id").eqNullSafe(F.col("label")))
+    texts = texts_of(docs, id_col, text_col).withColumn("print", F.xxhash64("text"))
+    # the hash of the text as well: of the rows without id, only those with the node's own text meet it
+    wanted = texts.join(nodes.select("node", "label", F.col("print").alias("own"), "f1", "f2"), F.col("id").eqNullSafe(F.col("label")) & (F.col("print") == F.col("own")))
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
@@ -256,8 +258,9 @@ def _verdicts(docs: DataFrame, size: int, percent: int, id_col: str, text_col: s
     bands = bands_for(percent)
     rows = materialize(sketches(docs, size, bands, id_col, text_col), "sketches")
     nodes = rows.where("n_shingles > 0").groupBy("f1", "f2").agg(
-        F.min("doc_id").alias("label"), F.max("n_shingles").alias("n"), F.first("bands").alias("bands")
-    )
+        F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "print")).alias("least"), F.max("n_shingles").alias("n"),
+        F.first("bands").alias("bands"),
+    ).select("f1", "f2", F.col("least.doc_id").alias("label"), F.col("least.print").alias("print"), "n", "bands")
     # numbered once, in a written table
     nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     members = nodes.select("node", "n", F.explode("bands").alias("key"))
