@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -73,7 +74,15 @@ def release_others(module: str) -> None:
     for name, release in _kept.items():
         if name != module:
             release()
+    give_back()
+
+
+def give_back() -> None:
+    """Free pages go back to the system, where the C library can do that; a worker process outlives its tasks."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def mapped(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
@@ -85,10 +94,11 @@ def mapped(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
     module = fn.__module__
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tributary.llm.arrow import release_others  # the worker's own module, not a copy of the driver's
+        from tributary.llm.arrow import give_back, release_others  # the worker's own module, not a copy of the driver's
 
         release_others(module)
         yield from fn(batches)
+        give_back()
 
     return df.mapInArrow(run, schema)
 
@@ -101,12 +111,13 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_powers: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+_powers: dict[str, np.ndarray] = {}
+keeps(__name__, _powers.clear)
 
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers 0..n of the odd base modulo 2**64, and of its inverse."""
-    if len(_powers["up"]) <= n:
+    if len(_powers.get("up", ())) <= n:
         size = max(n + 1, SLICE_BYTES + 1)
         up = np.full(size, _BASE, np.uint64)
         down = np.full(size, np.uint64(pow(int(_BASE), -1, 1 << 64)), np.uint64)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.arrow import mapped, mix, slices, texts_of
+from tributary.llm.arrow import keeps, mapped, mix, slices, texts_of
 from tributary.session import materialize
 
 CELLS = 1 << 20
@@ -21,6 +21,7 @@ RAREST = 20_000
 UNKNOWN = "und"
 
 _letters: list[np.ndarray] = []
+keeps(__name__, _letters.clear)
 
 
 def _is_letter() -> np.ndarray:

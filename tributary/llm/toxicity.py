@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tributary.llm.arrow import bounded_sample, mapped, slices, texts_of
 from tributary.llm.langid import in_fold
+from tributary.session import materialize
 
 #: About so many confirmed toxic documents and so many unlabelled ones are learned from.
 TOXIC_DOCS, UNLABELLED_DOCS = 4000, 16_000
@@ -117,7 +118,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             found = [sorted(document_features(x)) for x in piece.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([piece.column("toxic"), pa.array(found, pa.list_(pa.string()))], names=["toxic", "features"])
 
-    rows = mapped(sample, featured, "toxic boolean, features array<string>")
+    # written once: sizes, counts and the matrix come from it
+    rows = materialize(mapped(sample, featured, "toxic boolean, features array<string>"), "sample")
     sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_pos, n_all = sizes.get(True, 0), sizes.get(False, 0)
     if not n_pos:
