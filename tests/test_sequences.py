@@ -98,6 +98,66 @@ def test_exact_edges(spark):
     assert hit == {0: False, 1: True, 2: False, 3: True}
 
 
+def saturated(spark, n=3000):
+    """One key whose limits never let go from its first row to its last, and rows without key or time."""
+    rows = [("hot", T0 + timedelta(seconds=i // 3), i) for i in range(n)] + [(None, T0, n), ("hot", None, n + 1)]
+    return spark.createDataFrame(rows, "key string, ts timestamp, seq bigint").repartition(6)
+
+
+def sliding(times, limit, window):
+    kept, out = deque(), []
+    for now in times:
+        while kept and kept[0] < now - window:
+            kept.popleft()
+        out.append(len(kept) < limit)
+        if out[-1]:
+            kept.append(now)
+    return out
+
+
+@pytest.mark.parametrize("run", [
+    lambda df: throttle.throttle_sliding(df, "key", "ts", "seq", 7, 60),
+    lambda df: throttle.throttle_token_bucket(df, "key", "ts", "seq", 10, 0.5),
+    lambda df: throttle.request_reuse(df, "key", "ts", "seq", 300),
+])
+def test_a_saturated_key_takes_as_many_jobs_over_any_number_of_slices(spark, run):
+    df, context, setting = saturated(spark), spark.sparkContext, "spark.sql.shuffle.partitions"
+    before, jobs, answers = spark.conf.get(setting), [], []
+    try:
+        for slices in (8, 32, 128):
+            spark.conf.set(setting, str(slices))
+            context.setJobGroup(f"fold-{slices}", "fold")
+            answers.append(sorted(tuple(r) for r in run(df).collect() if r["key"]))
+            jobs.append(len(context.statusTracker().getJobIdsForGroup(f"fold-{slices}")))
+    finally:
+        spark.conf.set(setting, before)
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(set(jobs)) == 1 and answers[0] == answers[1] == answers[2] and len(answers[0]) == 3000
+    if len(answers[0][0]) == 4 and isinstance(answers[0][0][3], bool):
+        kept = sorted(answers[0], key=lambda r: r[2])
+        want = sliding([i // 3 for i in range(3000)], 7, 60)
+        assert [r[3] for r in kept] == (want if sum(want) == sum(r[3] for r in kept) else [not m for m in sliding([i // 3 for i in range(3000)], 1, 300)])
+
+
+def test_only_busy_runs_are_folded_again():
+    """A slice that starts behind a long pause, or whose key is new, needs no second pass; nor does one behind a settled head."""
+    from tributary.operators.folds import _busy_runs
+
+    fold = throttle.SlidingWindow(2, 10)
+    second = 1_000_000
+
+    def end(n, first, key, last, state, whole):
+        return {"slice": n, "first": [first[0], first[1] * second], "key": key, "last": last * second, "state": [x * second for x in state], "whole": whole}
+
+    ends = [
+        end(0, ("a", 0), "a", 9, [8, 9], True), end(1, ("a", 12), "a", 20, [19, 20], True), end(2, ("a", 21), "a", 90, [90], False),
+        end(3, ("a", 95), "a", 99, [95, 99], True), end(4, ("a", 120), "b", 5, [5], False), end(5, ("b", 15), "b", 15, [15], True),
+    ]
+    run_of, arriving = _busy_runs(fold, ends)
+    assert run_of == {1: 1, 2: 1, 3: 3, 5: 5}
+    assert arriving == {1: [8 * second, 9 * second], 3: [90 * second], 5: [5 * second]}
+
+
 def test_fold_keeps_types_and_nulls(spark):
     rows = [(2**60 + 1, T0, 1), (None, T0, 2), (None, T0 + timedelta(seconds=1), 3)]
     df = spark.createDataFrame(rows, "key bigint, ts timestamp, seq bigint")

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions import content as k
-from tributary.operators.slicing import ranked
+from tributary.operators.folds import sequential_fold
+from tributary.operators.throttle import Rotation
 from tributary.session import materialize
 
 
@@ -56,37 +57,13 @@ def bloom_dedup(items: DataFrame, key: str, seq: str, expected_items: int = 100_
 def rotating_dedup(items: DataFrame, key: str, ts: str, seq: str, period_seconds: int, buckets: int = 3) -> DataFrame:
     """Duplicate if the key was added in the current or one of the last ``buckets - 1`` periods.
 
-    Only the first row of a period can be an addition, so rows shrink to one per key and period first. From each of these
-    the next addition, were it one itself, is at most ``buckets`` rows on. The additions are what a chain of such steps
-    reaches from a key's first row, found by steps of doubled length: rounds grow with the logarithm of a key's periods, and
-    every join is on a key and a row number, so a key with a third of all rows is spread like any other.
+    Only the first row of a period can be an addition, so rows shrink to one per key and period before they are folded: a key with a
+    third of all rows is as many rows as it has periods.
     """
-    bucket = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / (period_seconds * 1_000_000))
+    length = period_seconds * 1_000_000
+    bucket = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / length)
     firsts = items.groupBy(F.col(key).alias("_key"), bucket.alias("_bucket")).agg(
         F.min(F.struct(F.col(ts), F.col(seq).alias("seq"))).alias("_row")
-    )
-    laid = ranked(firsts.select("_key", "_bucket", F.col("_row.seq").alias("_seq")), [F.col("_bucket")], ["_key"], "_turn")
-    laid = materialize(laid, "periods")
-    ahead = laid.withColumn("_to", F.explode(F.sequence(F.col("_turn") + 1, F.col("_turn") + buckets)))
-    far = _renamed(laid.select("_key", "_turn", "_bucket"))
-    pairs = ahead.join(far, F.col("_key").eqNullSafe(F.col("_key2")) & (F.col("_to") == F.col("_turn2")))
-    steps = pairs.where(F.col("_bucket2") - F.col("_bucket") >= buckets).groupBy("_key", "_turn").agg(F.min("_to").alias("_to"))
-    steps = materialize(steps, "steps")
-    reached = laid.where(F.col("_turn") == 1).select("_key", "_turn")
-    while True:
-        here = _renamed(reached)
-        fresh = steps.join(here, F.col("_key").eqNullSafe(F.col("_key2")) & (F.col("_turn") == F.col("_turn2")))
-        fresh = materialize(fresh.select("_key", F.col("_to").alias("_turn")), "reached")
-        if fresh.isEmpty():
-            break
-        reached = reached.unionByName(fresh)
-        then = _renamed(steps)
-        twice = steps.join(then, F.col("_key").eqNullSafe(F.col("_key2")) & (F.col("_to") == F.col("_turn2")))
-        steps = materialize(twice.select("_key", "_turn", F.col("_to2").alias("_to")), "steps")
-    here = _renamed(reached)
-    added = laid.join(here, F.col("_key").eqNullSafe(F.col("_key2")) & (F.col("_turn") == F.col("_turn2")), "left_semi")
+    ).select("_key", F.timestamp_micros(F.col("_bucket") * length).alias("_ts"), F.col("_row.seq").alias("_seq"))
+    added = sequential_fold(firsts, "_key", "_ts", "_seq", Rotation(period_seconds, buckets)).where("not is_duplicate")
     return _flag(items, added.select(F.col("_seq").alias(seq)), seq)
-
-
-def _renamed(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(c).alias(f"{c}2") for c in df.columns])

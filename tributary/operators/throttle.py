@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections import deque
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +18,10 @@ SECOND = 1_000_000
 
 @dataclass
 class SlidingWindow:
-    """Allow an event if fewer than ``limit`` allowed ones lie in the trailing window; one exactly that old counts."""
+    """Allow an event if fewer than ``limit`` allowed ones lie in the trailing window; one exactly that old counts.
+
+    The state is the list of allowed times in the window, ``limit`` at most.
+    """
 
     limit: int = 100
     window_seconds: float = 60.0
@@ -24,24 +29,39 @@ class SlidingWindow:
         T.StructField("allowed", T.BooleanType()), T.StructField("retry_after", T.DoubleType())
     ])
 
-    def start(self) -> list[int]:
-        return []
-
     def __post_init__(self) -> None:
         self.window = int(self.window_seconds * SECOND)
 
+    def start(self) -> list[int]:
+        return []
+
     def trim(self, state: list[int], micros: int) -> list[int]:
         return [t for t in state if t >= micros - self.window]
 
-    def step(self, state: list[int], micros: int) -> tuple[list[int], tuple]:
-        # the list is changed in place: it holds at most ``limit`` entries and has one owner
-        while state and state[0] < micros - self.window:
-            del state[0]
-        allowed = len(state) < self.limit
-        if allowed:
-            state.append(micros)
-        wait = max(0, state[0] + self.window - micros) / SECOND if state else 0.0
-        return state, (allowed, wait)
+    def forgets(self, earlier: np.ndarray, later: np.ndarray) -> np.ndarray:
+        return later - earlier > self.window
+
+    def run(self, state: list[int], micros: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
+        """While the window is full, all events up to the one that finds its oldest entry gone are turned away at once."""
+        recorded = deque(state)
+        allowed, oldest = np.zeros(len(micros), bool), np.zeros(len(micros), np.int64)
+        times, at, n = micros.tolist(), 0, len(micros)
+        while at < n:
+            now = times[at]
+            while recorded and recorded[0] < now - self.window:
+                recorded.popleft()
+            if len(recorded) < self.limit:
+                recorded.append(now)
+                allowed[at], oldest[at] = True, recorded[0]
+                at += 1
+            elif not recorded:  # a limit of 0
+                oldest[at] = now - self.window
+                at += 1
+            else:
+                to = at + int(np.searchsorted(micros[at:], recorded[0] + self.window, "right"))
+                oldest[at:to] = recorded[0]
+                at = to
+        return list(recorded), [allowed, np.maximum(oldest + self.window - micros, 0) / SECOND]
 
 
 @dataclass
@@ -62,15 +82,35 @@ class TokenBucket:
             return None
         return state
 
+    def forgets(self, earlier: np.ndarray, later: np.ndarray) -> np.ndarray:
+        return (later - earlier) / SECOND * self.refill_rate >= self.capacity
+
     def _refilled(self, state: list, micros: int) -> float:
         return state[0] + (micros - state[1]) / SECOND * self.refill_rate
 
-    def step(self, state: list | None, micros: int) -> tuple[list, tuple]:
-        tokens = float(self.capacity) if state is None else min(float(self.capacity), self._refilled(state, micros))
-        allowed = tokens >= self.cost
-        if allowed:
-            tokens -= self.cost
-        return [tokens, micros], (allowed, tokens)
+    def run(self, state: list | None, micros: np.ndarray) -> tuple[list | None, list[np.ndarray]]:
+        allowed, left, most, cost, rate = [], [], float(self.capacity), self.cost, self.refill_rate
+        tokens, before = (most, None) if state is None else state
+        for now in micros.tolist():
+            if before is not None:
+                tokens = min(most, tokens + (now - before) / SECOND * rate)
+            before, take = now, tokens >= cost
+            if take:
+                tokens -= cost
+            allowed.append(take)
+            left.append(tokens)
+        return [tokens, before] if left else state, [np.array(allowed, bool), np.array(left, float)]
+
+
+def _reached(state: int | None, times: np.ndarray, reach: int) -> tuple[int | None, np.ndarray]:
+    """Marks the times that lie more than ``reach`` behind the last marked one, from one to the next."""
+    marked, at = np.zeros(len(times), bool), 0
+    while True:
+        if state is not None:
+            at += int(np.searchsorted(times[at:], state + reach, "right"))
+        if at >= len(times):
+            return state, marked
+        marked[at], state = True, int(times[at])
 
 
 @dataclass
@@ -80,15 +120,21 @@ class ReuseWindow:
     ttl_seconds: float = 300.0
     fields: list = field(default_factory=lambda: [T.StructField("hit", T.BooleanType())])
 
+    def __post_init__(self) -> None:
+        self.ttl = int(self.ttl_seconds * SECOND)
+
     def start(self) -> int | None:
         return None
 
     def trim(self, state: int | None, micros: int) -> int | None:
-        return state if state is not None and micros - state <= self.ttl_seconds * SECOND else None
+        return state if state is not None and micros - state <= self.ttl else None
+
+    def forgets(self, earlier: np.ndarray, later: np.ndarray) -> np.ndarray:
+        return later - earlier > self.ttl
 
-    def step(self, state: int | None, micros: int) -> tuple[int, tuple]:
-        live = self.trim(state, micros)
-        return (micros, (False,)) if live is None else (live, (True,))
+    def run(self, state: int | None, micros: np.ndarray) -> tuple[int | None, list[np.ndarray]]:
+        state, missed = _reached(state, micros, self.ttl)
+        return state, [~missed]
 
 
 @dataclass
@@ -99,16 +145,21 @@ class Rotation:
     buckets: int = 3
     fields: list = field(default_factory=lambda: [T.StructField("is_duplicate", T.BooleanType())])
 
+    def __post_init__(self) -> None:
+        self.period = self.period_seconds * SECOND
+
     def start(self) -> int | None:
         return None
 
     def trim(self, state: int | None, micros: int) -> int | None:
-        now = micros // (self.period_seconds * SECOND)
-        return state if state is not None and now - state < self.buckets else None
+        return state if state is not None and micros // self.period - state < self.buckets else None
+
+    def forgets(self, earlier: np.ndarray, later: np.ndarray) -> np.ndarray:
+        return later // self.period - earlier // self.period >= self.buckets
 
-    def step(self, state: int | None, micros: int) -> tuple[int, tuple]:
-        live = self.trim(state, micros)
-        return (micros // (self.period_seconds * SECOND), (False,)) if live is None else (live, (True,))
+    def run(self, state: int | None, micros: np.ndarray) -> tuple[int | None, list[np.ndarray]]:
+        state, added = _reached(state, micros // self.period, self.buckets - 1)
+        return state, [~added]
 
 
 def throttle_sliding(events: DataFrame, key: str, ts: str, seq: str, limit: int = 100, window_seconds: float = 60.0) -> DataFrame:
