@@ -11,10 +11,18 @@ from tributary.functions import classify as c
 from tributary.operators import aggregates as agg
 from tributary.operators import joins, lifecycle
 from tributary.operators import changes as ch
+from tributary.session import fresh_path
+from tributary.sources import tables
+from tributary.sources.retention import VersionedTable, expire_bodies, retire_tenant_folders
+
+
+MID = datetime.datetime(1998, 6, 1)
 
 
 def mid():
-    return F.lit(datetime.datetime(1998, 6, 1)).cast("timestamp_ntz")
+    return F.lit(MID).cast("timestamp_ntz")
+
+
 SQL_MID = "TIMESTAMP '1998-06-01'"
 
 
@@ -279,7 +287,11 @@ def listing_diff(spark, d):
 @query("purge_finished_jobs", f"""SELECT id, status, end_time FROM sync_jobs WHERE status NOT IN ('completed','failed') OR end_time IS NULL
   OR end_time >= {SQL_MID} - INTERVAL 7 DAY""")
 def purge_finished_jobs(spark, d):
-    return lifecycle.purge_finished_jobs(v.sync_jobs(spark, d), mid()).select("id", "status", "end_time")
+    table = VersionedTable(spark, fresh_path(spark, "jobs"))
+    table.replace(v.sync_jobs(spark, d).select("id", "status", "end_time"))
+    table.replace(lifecycle.purge_finished_jobs(table.read(), mid()))
+    table.drop_old()
+    return table.read()
 
 
 @query("stale_pending", f"SELECT id, created_at FROM chunks WHERE embedding_state = 'pending' AND created_at < {SQL_MID} - INTERVAL 24 HOUR")
@@ -289,15 +301,24 @@ def stale_pending(spark, d):
 
 @query("ttl_expire", f"SELECT id, purge_at FROM bodies WHERE purge_at > {SQL_MID}")
 def ttl_expire(spark, d):
-    return lifecycle.ttl_expire(v.bodies(spark, d), mid()).select("id", "purge_at")
+    path = fresh_path(spark, "bodies")
+    tables.write_chunk_bodies(v.chunks(spark, d).select("id", "created_at"), path)
+    expire_bodies(spark, path, MID)
+    return spark.read.parquet(path).select("id", "purge_at")
 
 
 @query("retire_tenant", """SELECT 'kept' AS store, count(*) AS n FROM chunks WHERE tenant_id <> 4
   UNION ALL SELECT 'chunks', count(*) FROM chunks WHERE tenant_id = 4 UNION ALL SELECT 'bodies', count(*) FROM bodies WHERE tenant_id = 4""")
 def retire_tenant(spark, d):
-    k, b = v.chunks(spark, d), v.bodies(spark, d)
-    kept = lifecycle.retire_tenant(k, 4).agg(F.count(F.lit(1)).alias("n")).select(F.lit("kept").alias("store"), "n")
-    return kept.unionByName(lifecycle.retirement_counts(k, b, 4))
+    chunks, bodies = fresh_path(spark, "chunks"), fresh_path(spark, "bodies")
+    tables.write_state(v.chunks(spark, d), "chunks", chunks)
+    tables.write_chunk_bodies(v.chunks(spark, d).select("id", "tenant_id", "created_at"), bodies, partition_by=("tenant_id",))
+    removed = retire_tenant_folders(spark, 4, {
+        "chunks": (tables.read_state(spark, "chunks", chunks), chunks, ["tenant_id"]),
+        "bodies": (spark.read.parquet(bodies), bodies, ["tenant_id"]),
+    })
+    kept = tables.read_state(spark, "chunks", chunks).agg(F.count(F.lit(1)).alias("n")).select(F.lit("kept").alias("store"), "n")
+    return kept.unionByName(removed)
 
 
 @query("storage_mode_split", """SELECT 'metadata' AS store, id, NULL AS bytes, NULL AS purge_at FROM files
@@ -376,4 +397,7 @@ def upsert_state(spark, d):
     jobs = v.sync_jobs(spark, d).select("id", "status", F.lit(10).alias("version"))
     changed = jobs.where("id % 3 = 0").select("id", F.lit("done").alias("status"), F.when(F.col("id") % 2 == 0, 11).otherwise(9).alias("version"))
     new = jobs.where("id % 50 = 0").select((F.col("id") + 10000000).alias("id"), F.lit("new").alias("status"), F.lit(1).alias("version"))
-    return lifecycle.upsert_state(jobs, changed.unionByName(new), ["id"], "version")
+    table = VersionedTable(spark, fresh_path(spark, "jobs"))
+    table.replace(jobs)
+    table.replace(lifecycle.upsert_state(table.read(), changed.unionByName(new), ["id"], "version"))
+    return table.read()

@@ -26,9 +26,9 @@ STATE_TABLES = {
 }
 
 
-def _clustered(df: DataFrame, column: str) -> DataFrame:
+def _clustered(df: DataFrame, *columns: str) -> DataFrame:
     """Rows of one folder together, for few and even files; adaptive execution splits a folder that is too large."""
-    return df.hint("rebalance", F.col(column))
+    return df.hint("rebalance", *[F.col(c) for c in columns])
 
 
 def write_state(df: DataFrame, table: str, path: str, mode: str = "append") -> None:
@@ -94,10 +94,13 @@ def chunk_bodies(chunks: DataFrame, mode: str, ttl_days: int = 7) -> DataFrame:
     return chunks.withColumn("purge_at", F.col("created_at") + F.make_dt_interval(F.lit(ttl_days)))
 
 
-def write_chunk_bodies(chunks: DataFrame, path: str, mode: str = "mongo-ttl", ttl_days: int = 7) -> None:
-    """Partitioned by purge date, so expiry drops whole folders."""
+def write_chunk_bodies(chunks: DataFrame, path: str, mode: str = "mongo-ttl", ttl_days: int = 7, partition_by: tuple[str, ...] = ("purge_date",)) -> None:
+    """Partitioned by purge date, so that expiry drops whole folders, or by tenant as well or instead, so that retirement does.
+
+    With ``mongo-ttl`` and no backlog there are as many dates as days to live, and one.
+    """
     bodies = chunk_bodies(chunks, mode, ttl_days).withColumn("purge_date", F.to_date("purge_at"))
-    _clustered(bodies, "purge_date").write.mode("append").partitionBy("purge_date").parquet(path)
+    _clustered(bodies, *partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def live_bodies(bodies: DataFrame, as_of: Column) -> DataFrame:
