@@ -70,3 +70,17 @@ def stream_of(df: DataFrame, label: str) -> DataFrame:
     """The rows as a file stream."""
     path = land(df, label)
     return df.sparkSession.readStream.schema(df.schema).parquet(path)
+
+
+def feed_of(df: DataFrame, ts: str, label: str, late: Column | None = None, batches: int = 4, files: int = 4) -> DataFrame:
+    """The rows as a stream of several micro-batches in the order of their times; those marked ``late`` come once more a batch later."""
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, label)
+    rows = df.withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp")))
+    cuts = rows.approxQuantile("_us", [k / batches for k in range(1, batches)], 0.01)
+    rows = rows.withColumn("_batch", sum((F.when(F.col("_us") > c, 1).otherwise(0) for c in cuts), F.lit(0)))
+    for k in range(batches):
+        part = rows.where(F.col("_batch") == k)
+        if late is not None and k:
+            part = part.unionByName(rows.where((F.col("_batch") == k - 1) & late))
+        part.drop("_us", "_batch").repartition(files).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)

@@ -56,34 +56,32 @@ def webhook_log(spark, d):
   UNION ALL SELECT 'dead', 'dlq.' || topic, key, CAST(seq AS VARCHAR) FROM
   (SELECT *, row_number() OVER (PARTITION BY topic, partition, "offset" ORDER BY seq) AS n FROM messages WHERE NOT ok) WHERE n % 3 = 0""")
 def stream_consume_dlq(spark, d):
-    m = v.messages(spark, d)
-    stream = landing.stream_of(m, "consumed")
-    done, failed, checkpoint = fresh_path(spark, "done"), fresh_path(spark, "failed"), fresh_path(spark, "progress")
-    st.stream_consume_dlq(stream, F.col("ok"), checkpoint, failed, done, F.concat(F.lit("boom "), v.text("seq")))
-    columns = ", ".join(f"`{c}` {t}" for c, t in m.dtypes)
-    good = spark.read.schema(columns).parquet(done + "/epoch=*")
-    dead = st.dead_letters(spark.read.schema(columns + ", error string").parquet(failed + "/epoch=*"))
-    shape = lambda df, name: df.select(F.lit(name).alias("outcome"), "topic", "key", v.text("seq").alias("what"))
-    return shape(good, "done").unionByName(shape(dead, "dead"))
+    m = v.messages(spark, d).withColumn("ts", F.col("ts").cast("timestamp"))
+    out = st.stream_consume_dlq(landing.feed_of(m, "ts", "consumed"), F.col("ok"), F.concat(F.lit("boom "), v.text("seq")))
+    return drained(out).select("outcome", "topic", "key", v.text("seq").alias("what"))
 
 
 @query("stream_dedup", "SELECT DISTINCT content_hash FROM (SELECT sha256(content) AS content_hash FROM files)")
 def stream_dedup(spark, d):
-    hashes = v.files(spark, d).select("seq", F.sha2("content", 256).alias("content_hash"))
-    return drained(st.stream_dedup(landing.stream_of(hashes, "hashes"), "content_hash", F.col("seq"))).select("content_hash")
+    made = v.at(F.lit(1704067200) + F.col("seq")).cast("timestamp")
+    hashes = v.files(spark, d).select("seq", F.sha2("content", 256).alias("content_hash"), made.alias("ts"))
+    stream = landing.feed_of(hashes, "ts", "hashes", late=F.col("seq") % 5 == 0)
+    # all of the table lies within the days for which a repeat is one
+    return drained(st.stream_dedup(stream, "content_hash", F.col("seq"), ts="ts", lateness="3650 days")).select("content_hash")
 
 
 @query("stream_dedup_expiring", f"{SQL_ROTATING} SELECT key, seq FROM f WHERE NOT dup")
 def stream_dedup_expiring(spark, d):
     r = v.requests(spark, d).withColumn("ts", F.col("ts").cast("timestamp"))
-    out = st.stream_dedup_expiring(landing.stream_of(r, "requests"), "key", "ts", "seq", DAY)
+    stream = landing.feed_of(r, "ts", "requests", late=F.col("seq") % 9 == 0)
+    out = st.stream_dedup_expiring(stream, "key", "ts", "seq", DAY, lateness="10 days")
     return drained(out).select("key", "seq")
 
 
 @query("stream_throttle", f"{SQL_SLIDING} SELECT key, seq, allowed FROM f")
 def stream_throttle(spark, d):
     r = v.requests(spark, d).withColumn("ts", F.col("ts").cast("timestamp"))
-    out = st.stream_throttle(landing.stream_of(r, "requests"), "key", "ts", "seq", 2, DAY)
+    out = st.stream_throttle(landing.feed_of(r, "ts", "requests"), "key", "ts", "seq", 2, DAY, lateness="2 days")
     return drained(out).select("key", "seq", "allowed")
 
 
@@ -96,8 +94,13 @@ def stream_failure_burst(spark, d):
     return out.withColumns({x: F.col(x).cast("timestamp_ntz") for x in ("window_start", "window_end")})
 
 
-@query("stream_changes_to_documents", """SELECT g, f.id, f.path, change_type, cursor, strlen(content) AS size_bytes FROM push_files p JOIN files f ON f.path = p.item_id WHERE change_type <> 'deleted'""")
+@query("stream_changes_to_documents", """SELECT g, f.id, f.path, change_type, cursor, strlen(content) AS size_bytes FROM push_files p
+  JOIN (SELECT id // 5 AS h, min(source_id) AS pushed FROM files GROUP BY 1) s ON s.h = p.g
+  JOIN files f ON f.path = p.item_id AND f.source_id = s.pushed WHERE change_type <> 'deleted'""")
 def stream_changes_to_documents(spark, d):
-    stream = landing.stream_of(v.pushes(spark, d).select(F.col("id").alias("g"), F.col("body").alias("payload")), "pushes")
+    # a push comes from one source and reaches none but its files
+    source = v.files(spark, d).groupBy(v.div("id", 5).alias("g")).agg(F.min("source_id").alias("source_id"))
+    pushed = v.pushes(spark, d).select(F.col("id").alias("g"), F.col("body").alias("payload")).join(source, "g")
+    stream = landing.stream_of(pushed, "pushes")
     out = st.stream_changes_to_documents(stream, v.files(spark, d))
     return drained(out.select("g", "id", "path", "change_type", "cursor", F.octet_length("content").cast("long").alias("size_bytes")))

@@ -103,7 +103,12 @@ def dlq_candidates(failures: DataFrame, max_retries: int = 3) -> DataFrame:
     # only the ids are ranked; payloads move once, for the attempts that die
     counted = ranked(failures.select("topic", "partition", "offset", "seq"), [F.col("seq")], ["topic", "partition", "offset"], "_attempt")
     dead = failures.join(counted.where(F.col("_attempt") % max_retries == 0).select("seq"), "seq", "left_semi")
-    envelope = F.concat(
+    return dead.select(F.concat(F.lit("dlq."), "topic").alias("topic"), "key", dead_letter_value(max_retries).alias("value"), "seq")
+
+
+def dead_letter_value(max_retries: int) -> Column:
+    """The envelope of a row with topic, partition, offset, value and error."""
+    return F.concat(
         F.lit('{"original_topic":'), _json_string(F.col("topic")),
         F.lit(',"original_partition":'), F.col("partition").cast("string"),
         F.lit(',"original_offset":'), F.col("offset").cast("string"),
@@ -112,7 +117,6 @@ def dlq_candidates(failures: DataFrame, max_retries: int = 3) -> DataFrame:
         F.lit(',"error":'), F.coalesce(_json_string(F.col("error")), F.lit("null")),
         F.lit(f',"retry_count":{max_retries}}}'),
     )
-    return dead.select(F.concat(F.lit("dlq."), "topic").alias("topic"), "key", envelope.alias("value"), "seq")
 
 
 def _json_string(text: Column) -> Column:

@@ -1,85 +1,226 @@
-"""Listing of a directory tree as a Spark data source.
+"""Listing of a directory tree.
 
-Spark's own file sources silently drop names that start with ``_``; a content listing must keep them.
-The driver only looks at directories near the root to cut the tree into parts; the walk, the file
-stats and the reads happen in tasks.
+Spark's own file sources silently drop names that start with ``_``; a content listing must keep them. ``scan_local_files`` expands the
+tree level by level in tasks, whatever its shape, and reads contents in evenly filled parts. ``local_files`` is the same listing as a
+data source, with filters pushed into its reader.
 """
 
 from __future__ import annotations
 
+import json
 import os
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import (
+    DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition, Not, StringContains, StringEndsWith, StringStartsWith,
+)
 
 from tributary.functions import classify
-
-SCHEMA = "id string, name string, path string, size bigint, mtime_us bigint, content binary"
-TARGET_PARTS = 256
-SHARDS = 8
+from tributary.session import materialize, ship
+from tributary.sources.listings import SyncOptions
+
+SCHEMA = "id string, name string, path string, extension string, size bigint, mtime_us bigint, content binary"
+#: Names of files that one part of the data source reads, and files of a batch whose contents are read together.
+NAMES, CONTENTS = 2000, 64
+#: Folders that may lead down to one; links can make a tree endless.
+DEEPEST = 64
+
+
+def extension_of(name: str) -> str:
+    """Lower-case text behind the last dot of a file name, unless that is all there is before it."""
+    head, dot, tail = name.rpartition(".")
+    return tail.lower() if dot and head else ""
+
+
+def _entry(directory: str, name: str) -> tuple[int, int | None]:
+    try:
+        stat = os.stat(os.path.join(directory, name))
+        return stat.st_size, stat.st_mtime_ns // 1000
+    except OSError:
+        return 0, None
+
+
+def _content(path: str) -> bytes:
+    try:
+        with open(path, "rb") as f:
+            return f.read()
+    except OSError:
+        return b""
+
+
+def _listed(directories: DataFrame) -> DataFrame:
+    """What lies directly in some directories: files with size and time, and the directories to look into next."""
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for directory, above in zip(batch.column("directory").to_pylist(), batch.column("above").to_pylist(), strict=True):
+                try:
+                    stat = os.stat(directory)
+                    own = f"{stat.st_dev}:{stat.st_ino}"
+                    entries = [e for e in os.scandir(directory) if not e.name.startswith(".")]
+                except OSError:
+                    continue
+                if own in above:  # a link back to where it hangs
+                    continue
+                below = [e.name for e in entries if e.is_dir()] if len(above) < DEEPEST else []
+                files = [e.name for e in entries if not e.is_dir()]
+                sizes = [_entry(directory, n) for n in files]
+                names, n = [*below, *files], len(files)
+                yield pa.RecordBatch.from_pydict({
+                    "directory": pa.array([directory] * len(names), pa.string()), "name": pa.array(names, pa.string()),
+                    "is_dir": pa.array([True] * len(below) + [False] * n, pa.bool_()), "size": pa.array([None] * len(below) + [s for s, _ in sizes], pa.int64()),
+                    "mtime_us": pa.array([None] * len(below) + [t for _, t in sizes], pa.int64()),
+                    "above": pa.array([[*above, own]] * len(below) + [None] * n, pa.list_(pa.string())),
+                })
+
+    return directories.mapInArrow(look, "directory string, name string, is_dir boolean, size long, mtime_us long, above array<string>")
+
+
+def walk_tree(spark: SparkSession, base: str) -> DataFrame:
+    """(directory, name, size, mtime_us) of every visible file below ``base``, followed through links.
+
+    A round lists the directories that the one before has found, in tasks; the driver looks at none of them. There are as many rounds as
+    the tree is deep, and each is written once.
+    """
+    ship(spark)
+    # one row; the tasks see a folder that is not there as an empty one, so it is refused here
+    if not os.path.isdir(base):
+        raise FileNotFoundError(f"no such directory: {base}")
+    level = spark.createDataFrame([(base, [])], "directory string, above array<string>")
+    found: DataFrame | None = None
+    while True:
+        listed = materialize(_listed(level), "listing")
+        files = listed.where("not is_dir").select("directory", "name", "size", "mtime_us")
+        found = files if found is None else found.unionByName(files)
+        below = listed.where("is_dir")
+        if below.isEmpty():
+            return found
+        # by no key: the directories of one parent are spread over all tasks
+        level = below.select(F.concat_ws("/", "directory", "name").alias("directory"), "above").repartition(spark.sparkContext.defaultParallelism)
+
+
+def with_content(files: DataFrame, path: Column) -> DataFrame:
+    """``files`` with the bytes at ``path``, read in parts of even numbers of files; one that can't be read is empty."""
+    ship(files.sparkSession)
+    rows = files.withColumn("_path", path).repartition(max(files.sparkSession.sparkContext.defaultParallelism, int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, CONTENTS):
+                some = batch.slice(at, CONTENTS)
+                bodies = pa.array([_content(p) for p in some.column("_path").to_pylist()], pa.binary())
+                yield some.drop_columns(["_path"]).append_column("content", bodies)
+
+    return rows.mapInArrow(read, files.schema.add("content", "binary"))
+
+
+def scan_local_files(spark: SparkSession, base: str, content: bool = False, options: SyncOptions = SyncOptions()) -> DataFrame:
+    """One row per visible, non-binary file below ``base`` that the include and exclude options keep; contents only of these."""
+    base = base.rstrip("/") or "/"
+    files = walk_tree(spark, base)
+    whole = F.concat_ws("/", "directory", "name")
+    relative = F.substr(whole, F.lit(len(base) + 2 - (base == "/")))
+    files = files.withColumns({"path": relative, "id": whole})
+    kept = files.where(
+        classify.not_binary_repo(classify.local_extension(F.col("name")))
+        & classify.sync_filter_repo(F.col("path"), F.col("size"), options.include, options.exclude, options.max_mb)
+    )
+    if content:
+        kept = with_content(kept, F.col("id"))
+    return kept.select(
+        "id", "name", "path", F.lit("file").alias("item_type"), "size",
+        F.create_map(
+            F.lit("base_path"), F.lit(base), F.lit("relative_path"), F.col("path"), F.lit("absolute_path"), F.col("id")
+        ).alias("metadata"),
+        F.timestamp_micros("mtime_us").alias("updated_at"),
+        *(["content"] if content else []),
+    )
 
 
 @dataclass
 class Part(InputPartition):
-    """A directory: with everything below it, or one shard of the files directly in it."""
+    """Some files of the root directory by name, or a directory of it with everything below."""
 
     directory: str
-    deep: bool
-    shard: int = 0
-    shards: int = 1
+    names: list[str] | None = None
+
+
+def _holds(rule: Filter, row: dict) -> bool:
+    if isinstance(rule, Not):
+        return not _holds(rule.child, row)
+    value = row[rule.attribute[0]]
+    if isinstance(rule, In):
+        return value in rule.value
+    if isinstance(rule, StringContains):
+        return rule.value in value
+    if isinstance(rule, StringStartsWith):
+        return value.startswith(rule.value)
+    if isinstance(rule, StringEndsWith):
+        return value.endswith(rule.value)
+    return value == rule.value
 
 
 class LocalFilesReader(DataSourceReader):
-    def __init__(self, base: str, with_content: bool):
-        self.base, self.with_content = base, with_content
+    """Reads names first; files that a pushed filter on name, path or extension leaves out are neither measured nor opened."""
+
+    def __init__(self, base: str, content: bool, include: list[str], exclude: list[str]):
+        self.base, self.content = base, content
+        self.include, self.exclude = {x.lower().lstrip(".") for x in include}, exclude
+        self.rules: list[Filter] = []
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        """Takes filters on the text columns and leaves the others to Spark."""
+        for rule in filters:
+            inner = rule.child if isinstance(rule, Not) else rule
+            plain = isinstance(inner, (EqualTo, In, StringContains, StringStartsWith, StringEndsWith))
+            if plain and inner.attribute in (("name",), ("path",), ("extension",)):
+                self.rules.append(rule)
+            else:
+                yield rule
 
     def partitions(self) -> list[Part]:
-        if not os.path.isdir(self.base):
-            raise FileNotFoundError(f"no such directory: {self.base}")
-        level, flat = [self.base], []
-        while level and len(level) + len(flat) < TARGET_PARTS:
-            below = []
-            for directory in level:
-                flat.append(directory)
-                with os.scandir(directory) as entries:
-                    below += [e.path for e in entries if e.is_dir() and not e.name.startswith(".")]
-            level = below
-        shallow = [Part(d, False, i, SHARDS) for d in flat for i in range(SHARDS)]
-        return shallow + [Part(d, True) for d in level]
-
-    def _row(self, directory: str, name: str) -> tuple:
-        path = os.path.join(directory, name)
-        try:
-            stat = os.stat(path)
-            size, mtime = stat.st_size, stat.st_mtime_ns // 1000
-        except OSError:
-            size, mtime = 0, None
-        content = None
-        if self.with_content:
-            try:
-                with open(path, "rb") as f:
-                    content = f.read()
-            except OSError:
-                content = b""
-        return os.path.abspath(path), name, os.path.relpath(path, self.base), size, mtime, content
+        """The driver lists the root alone: its files go out by name, so that no part lists them again."""
+        with os.scandir(self.base) as entries:
+            shown = [(e.name, e.is_dir()) for e in entries if not e.name.startswith(".")]
+        names = sorted(n for n, folder in shown if not folder)
+        flat = [Part(self.base, names[k : k + NAMES]) for k in range(0, len(names), NAMES)]
+        return [*flat, *(Part(os.path.join(self.base, n)) for n, folder in sorted(shown) if folder)] or [Part(self.base, [])]
+
+    def _wanted(self, row: dict) -> bool:
+        if self.include and row["extension"] not in self.include:
+            return False
+        return not any(x in row["path"] for x in self.exclude) and all(_holds(r, row) for r in self.rules)
+
+    def _walk(self, part: Part) -> Iterator[tuple[str, str]]:
+        if part.names is not None:
+            yield from ((part.directory, n) for n in part.names)
+            return
+        seen: set[str] = set()
+        for directory, dirs, files in os.walk(part.directory, followlinks=True):
+            real = os.path.realpath(directory)
+            dirs[:] = [] if real in seen else [d for d in dirs if not d.startswith(".")]
+            if real not in seen:
+                yield from ((directory, n) for n in files if not n.startswith("."))
+            seen.add(real)
 
     def read(self, part: Part) -> Iterator[tuple]:
-        for directory, dirs, files in os.walk(part.directory, followlinks=True):
-            if part.deep:
-                dirs[:] = [d for d in dirs if not d.startswith(".")]
-            else:
-                dirs[:] = []
-            for name in files:
-                if not name.startswith(".") and zlib.crc32(name.encode("utf-8", "surrogateescape")) % part.shards == part.shard:
-                    yield self._row(directory, name)
+        for directory, name in self._walk(part):
+            whole = os.path.join(directory, name)
+            row = {"name": name, "path": os.path.relpath(whole, self.base), "extension": extension_of(name)}
+            if self._wanted(row):
+                size, mtime = _entry(directory, name)
+                yield os.path.abspath(whole), name, row["path"], row["extension"], size, mtime, _content(whole) if self.content else None
 
 
 class LocalFiles(DataSource):
-    """``spark.read.format("local_files").option("path", dir)``; option ``content`` adds the bytes."""
+    """``spark.read.format("local_files").load(dir)``; option ``content`` adds the bytes, ``include`` and ``exclude`` are JSON lists.
+
+    With ``spark.sql.python.filterPushdown.enabled`` filters on name, path and extension reach the reader.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -89,19 +230,5 @@ class LocalFiles(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> LocalFilesReader:
-        return LocalFilesReader(self.options["path"], self.options.get("content", "false") == "true")
-
-
-def scan_local_files(spark: SparkSession, base: str, with_content: bool = False) -> DataFrame:
-    """One row per visible, non-binary file below ``base``."""
-    spark.dataSource.register(LocalFiles)
-    raw = spark.read.format("local_files").option("content", str(with_content).lower()).load(base)
-    kept = raw.where(classify.not_binary_repo(classify.local_extension(F.col("name"))))
-    return kept.select(
-        "id", "name", "path", F.lit("file").alias("item_type"), "size",
-        F.create_map(
-            F.lit("base_path"), F.lit(base), F.lit("relative_path"), F.col("path"), F.lit("absolute_path"), F.col("id")
-        ).alias("metadata"),
-        F.timestamp_micros("mtime_us").alias("updated_at"),
-        *(["content"] if with_content else []),
-    )
+        o = self.options
+        return LocalFilesReader(o["path"], o.get("content", "false") == "true", json.loads(o.get("include", "[]")), json.loads(o.get("exclude", "[]")))

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,10 +14,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tributary.operators import changes as ch
-from tributary.operators.aggregates import dlq_candidates
-from tributary.operators.folds import Fold
+from tributary.operators.aggregates import dead_letter_value
 from tributary.operators.throttle import Rotation, SlidingWindow
-from tributary.session import materialize
+from tributary.session import ship
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -24,13 +25,14 @@ def use_rocksdb(spark) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
-def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
-    """Drive a stream over everything that is there, into Parquet."""
+def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> list[dict]:
+    """Drive a stream over everything that is there, into Parquet; returns the progress of its last batches."""
     query = (
         stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
         .outputMode(mode).trigger(availableNow=True).start()
     )
     query.awaitTermination()
+    return [json.loads(p.json) for p in query.recentProgress]
 
 
 def run_batches(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None], mode: str = "append") -> None:
@@ -52,16 +54,24 @@ def webhook_log(raw: DataFrame, provider: Column, github: Column, gitlab: Column
     )
 
 
-def stream_dedup(stream: DataFrame, key: str, spread: Column | None = None, salts: int = 16) -> DataFrame:
-    """Drop repeated ids, for as long as the state is kept.
+def stream_dedup(
+    stream: DataFrame, key: str, spread: Column | None = None, salts: int = 16, ts: str | None = None, lateness: str | None = None
+) -> DataFrame:
+    """Drop repeated ids: for ever, or, with an event time ``ts`` and a ``lateness``, repeats up to that much later than the first.
 
-    With ``spread``, a column that varies inside a hot id, repeats are first dropped per salt in
+    State of an id is freed when the watermark, ``lateness`` behind the newest time, has passed its first row by as much; rows behind the
+    watermark are left out. With ``spread``, a column that varies inside a hot id, repeats are first dropped per salt in
     parallel, so at most ``salts`` rows of an id ever reach its one state.
     """
+    if ts is not None:
+        stream = stream.withWatermark(ts, lateness)
+
+    def once(rows: DataFrame, keys: list[str]) -> DataFrame:
+        return rows.dropDuplicates(keys) if ts is None else rows.dropDuplicatesWithinWatermark(keys)
+
     if spread is not None:
-        salted = stream.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
-        stream = salted.dropDuplicates([key, "_salt"]).drop("_salt")
-    return stream.dropDuplicates([key])
+        stream = once(stream.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts))), [key, "_salt"]).drop("_salt")
+    return once(stream, [key])
 
 
 def stream_failure_burst(stream: DataFrame, window: str = "60 seconds", slide: str = "10 seconds", threshold: int = 5, lateness: str = "60 seconds") -> DataFrame:
@@ -74,78 +84,205 @@ def stream_failure_burst(stream: DataFrame, window: str = "60 seconds", slide: s
     )
 
 
-class _KeyedFold(StatefulProcessor):
-    """One fold per key; its state survives between micro-batches, optionally with a time to live."""
+def _watermark_us(timerValues) -> int:
+    """The watermark in microseconds."""
+    return timerValues.getCurrentWatermarkInMs() * 1000
+
 
-    def __init__(self, fold: Fold, ttl_ms: int | None):
-        self.fold, self.ttl_ms = fold, ttl_ms
+class _Throttle(StatefulProcessor):
+    """Allowed times of a key, in order; frames are judged one by one as they come."""
+
+    def __init__(self, rule: SlidingWindow, expires: bool):
+        self.rule, self.expires = rule, expires
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("state", T.StructType([T.StructField("json", T.StringType())]), self.ttl_ms)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
-        state = json.loads(self.state.get()[0]) if self.state.exists() else self.fold.start()
-        # a micro-batch is bounded by the source's trigger; its rows of one key are put in time order
-        batch = pd.concat(list(rows)).sort_values(["us", "seq"], ignore_index=True)
-        verdicts = []
-        for now in batch["us"].tolist():
-            state, verdict = self.fold.step(state, now)
-            verdicts.append(verdict)
-        self.state.update((json.dumps(state),))
-        out = pd.DataFrame(verdicts, columns=[f.name for f in self.fold.fields])
-        yield pd.concat([pd.DataFrame({"key": key[0], "us": batch["us"], "seq": batch["seq"]}), out], axis=1)
+        self.handle, self.times = handle, handle.getListState("times", "us long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        rule = self.rule
+        held = [t[0] for t in self.times.get()]
+        passed = _watermark_us(timerValues) if self.expires else None
+        for frame in rows:
+            us, seq = frame["us"].to_numpy(), frame["seq"].to_numpy()
+            order = np.lexsort((seq, us))
+            us, seq = us[order], seq[order]
+            if not held or us[0] >= held[-1]:
+                allowed = rule.run(held, us)[1][0]
+                held += us[allowed].tolist()
+            else:
+                allowed = np.zeros(len(us), bool)
+                for i, now in enumerate(us.tolist()):
+                    if len(held) - bisect_left(held, now - rule.window) < rule.limit:
+                        insort(held, now)
+                        allowed[i] = True
+            if held:
+                del held[: bisect_left(held, (held[-1] if passed is None else min(passed, held[-1])) - rule.window)]
+            yield pd.DataFrame({"key": [key[0]] * len(us), "us": us, "seq": seq, "allowed": allowed})
+        self.times.put([(t,) for t in held])
+        if self.expires and held:
+            self.handle.registerTimer((held[-1] + rule.window) // 1000 + 1)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        held = [t[0] for t in self.times.get()]
+        if held and held[-1] + self.rule.window < _watermark_us(timerValues):
+            self.times.clear()
+        return iter(())
 
     def close(self) -> None:
         pass
 
 
-def stream_fold(stream: DataFrame, key: str, ts: str, seq: str, fold: Fold, ttl_ms: int | None = None) -> DataFrame:
-    """A sequential rule on a stream; ``ttl_ms`` drops the state of keys not seen for that long.
+class _Rotating(StatefulProcessor):
+    """The period in which a key was last added. Of a batch, only the first row of each period is held."""
 
-    A time to live runs on processing time and so needs a processing-time trigger: Spark keeps planning
-    batches for it, and an available-now run would never end.
-    """
-    use_rocksdb(stream.sparkSession)
-    rows = stream.select(F.col(key).alias("key"), F.unix_micros(ts).alias("us"), F.col(seq).alias("seq"))
-    schema = T.StructType(rows.schema.fields + fold.fields)
-    return rows.groupBy("key").transformWithStateInPandas(
-        statefulProcessor=_KeyedFold(fold, ttl_ms), outputStructType=schema, outputMode="append",
-        timeMode="None" if ttl_ms is None else "ProcessingTime",
+    def __init__(self, rule: Rotation, expires: bool):
+        self.rule, self.expires = rule, expires
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.added = handle, handle.getValueState("added", "period long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        first: dict[int, tuple[int, int]] = {}
+        for frame in rows:
+            us, seq = frame["us"].to_numpy(), frame["seq"].to_numpy()
+            order = np.lexsort((seq, us))
+            periods, at = np.unique(us[order] // self.rule.period, return_index=True)
+            for period, i in zip(periods.tolist(), order[at].tolist(), strict=True):
+                row = int(us[i]), int(seq[i])
+                first[period] = min(first.get(period, row), row)
+        state = self.added.get()
+        before = last = state[0] if state is not None else None
+        new = []
+        for period in sorted(first):
+            if last is None or period - last >= self.rule.buckets:
+                last = period
+                new.append(first[period])
+        if last != before:
+            self.added.update((last,))
+            if self.expires:
+                self.handle.registerTimer((last + self.rule.buckets) * self.rule.period // 1000)
+        if new:
+            us, seq = zip(*new, strict=True)
+            yield pd.DataFrame({"key": [key[0]] * len(new), "us": us, "seq": seq})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        state = self.added.get()
+        if state is not None and (state[0] + self.rule.buckets) * self.rule.period <= _watermark_us(timerValues):
+            self.added.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+class _Attempts(StatefulProcessor):
+    """Failures of a message since its last dead letter."""
+
+    def __init__(self, max_retries: int, keep_ms: int | None):
+        self.most, self.keep_ms = max_retries, keep_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.failures = handle, handle.getValueState("failures", "n int")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        state = self.failures.get()
+        n = before = state[0] if state is not None else 0
+        for frame in rows:
+            frame = frame.sort_values("seq", ignore_index=True)
+            failed = ~frame["ok"].to_numpy(bool)
+            count = n + np.cumsum(failed)
+            n = int(count[-1]) % self.most
+            dead = failed & (count % self.most == 0)
+            frame["outcome"] = np.where(failed, "dead", "done")
+            yield frame[dead | ~failed].drop(columns="ok")
+        if n == 0 and before:
+            self.failures.clear()
+        elif n != before:
+            self.failures.update((n,))
+        if n and self.keep_ms is not None:
+            self.handle.registerTimer(timerValues.getCurrentWatermarkInMs() + self.keep_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        # a later failure has set a later timer
+        if not [t for t in self.handle.listTimers() if t > expiredTimerInfo.getExpiryTimeInMs()]:
+            self.failures.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def _stateful(rows: DataFrame, keys: list[str], processor: StatefulProcessor, schema: str | T.StructType, expires: bool) -> DataFrame:
+    use_rocksdb(rows.sparkSession)
+    ship(rows.sparkSession)
+    return rows.groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=processor, outputStructType=schema, outputMode="append", timeMode="EventTime" if expires else "None"
     )
 
 
+def _timed(stream: DataFrame, key: str, ts: str, seq: str, lateness: str | None) -> DataFrame:
+    """(key, us, seq), and the event time where a watermark is wanted."""
+    if lateness is not None:
+        stream = stream.withWatermark(ts, lateness)
+    timed = [F.col(ts).alias("event_time")] if lateness is not None else []
+    return stream.select(F.col(key).alias("key"), F.unix_micros(ts).alias("us"), F.col(seq).cast("long").alias("seq"), *timed)
+
+
 def stream_throttle(
-    stream: DataFrame, key: str, ts: str, seq: str, limit: int = 100, window_seconds: float = 60.0, ttl_ms: int | None = None
+    stream: DataFrame, key: str, ts: str, seq: str, limit: int = 100, window_seconds: float = 60.0, lateness: str | None = None
 ) -> DataFrame:
-    """The sliding-window limit on a stream."""
-    return stream_fold(stream, key, ts, seq, SlidingWindow(limit, window_seconds), ttl_ms).drop("retry_after")
+    """(key, us, seq, allowed): the sliding-window limit on a stream.
+
+    Rows that come in time order have the batch operator's verdicts. One that comes after later ones is allowed if fewer than ``limit`` allowed
+    ones lie from a window before it on, so that no window ever holds more than ``limit``. With ``lateness`` rows further behind the newest are
+    left out, and the state of a key is freed once the watermark has passed its window; without it the state stays.
+    """
+    rows = _timed(stream, key, ts, seq, lateness)
+    schema = T.StructType([rows.schema["key"], *(T.StructField(n, T.LongType()) for n in ("us", "seq")), T.StructField("allowed", T.BooleanType())])
+    return _stateful(rows, ["key"], _Throttle(SlidingWindow(limit, window_seconds), lateness is not None), schema, lateness is not None)
 
 
 def stream_dedup_expiring(
-    stream: DataFrame, key: str, ts: str, seq: str, period_seconds: int, buckets: int = 3, ttl_ms: int | None = None
+    stream: DataFrame, key: str, ts: str, seq: str, period_seconds: int, buckets: int = 3, lateness: str | None = None
 ) -> DataFrame:
-    """Drop ids added in the current or one of the last periods; a repeat does not renew the first sight."""
-    return stream_fold(stream, key, ts, seq, Rotation(period_seconds, buckets), ttl_ms).where("not is_duplicate").drop("is_duplicate")
+    """(key, us, seq) without ids added in the current or one of the last periods; a repeat does not renew the first sight.
 
+    A row of a period before the one its id was last added in never adds. With ``lateness`` an id's state is freed when the watermark
+    has passed the last period it counts for, and rows behind the watermark are left out; without it the state stays.
+    """
+    rows = _timed(stream, key, ts, seq, lateness)
+    schema = T.StructType([rows.schema["key"], *(T.StructField(n, T.LongType()) for n in ("us", "seq"))])
+    return _stateful(rows, ["key"], _Rotating(Rotation(period_seconds, buckets), lateness is not None), schema, lateness is not None)
 
-def stream_consume_dlq(stream: DataFrame, ok: Column, checkpoint: str, failures_path: str, done_path: str, error: Column) -> None:
-    """Run a handler's verdict over messages; failures are appended with their attempt order, the rest is done.
 
-    ``ok`` is the handler as a column: a built-in predicate or a pandas UDF. It is evaluated once per message and
-    written, so that no message can land in both tables or in none. Dead letters are the batch operator over the
-    failure table, so a restart recounts instead of losing counts. Each batch writes its own folder, so a batch
-    that is repeated after a failure overwrites itself.
-    """
-    def split(batch: DataFrame, epoch: int) -> None:
-        judged = materialize(batch.withColumn("_ok", F.coalesce(ok, F.lit(False))).withColumn("error", error), "judged")
-        judged.where("_ok").drop("_ok", "error").write.mode("overwrite").parquet(f"{done_path}/epoch={epoch}")
-        judged.where("not _ok").drop("_ok").write.mode("overwrite").parquet(f"{failures_path}/epoch={epoch}")
+MESSAGE = "topic string, partition int, offset long, key string, value string, error string, seq long"
 
-    run_batches(stream, checkpoint, split)
 
+def stream_consume_dlq(
+    stream: DataFrame, ok: Column, error: Column, max_retries: int = 3, ts: str | None = None, lateness: str = "1 hour", keep_seconds: int = 86_400
+) -> DataFrame:
+    """(outcome, topic, key, value, seq): messages a handler accepts, as ``done``, and dead letters, as ``dead``, as they fall due.
 
-def dead_letters(failures: DataFrame, max_retries: int = 3) -> DataFrame:
-    return dlq_candidates(failures, max_retries)
+    ``ok`` is the handler as a column: a built-in predicate or a pandas UDF, evaluated once per message and batch. Failures are counted in
+    keyed state per (topic, partition, offset); the one that reaches ``max_retries`` leaves as a letter in its own batch, and counting
+    starts again. Written with ``run_available``, whose sink keeps a list of the files of each batch, no letter is sent twice
+    by a restart or a repeated batch. With an event time ``ts``, a count that rests for ``keep_seconds`` is given up.
+    """
+    rows = stream if ts is None else stream.withWatermark(ts, lateness)
+    shape = [f.split(" ")[0] for f in MESSAGE.split(", ")]
+    judged = rows.withColumn("error", error).withColumn("ok", F.coalesce(ok, F.lit(False))).select(
+        *[F.col(n).cast(k).alias(n) for n, k in (f.split(" ") for f in MESSAGE.split(", "))], "ok", *([F.col(ts).alias("event_time")] if ts else [])
+    )
+    processor = _Attempts(max_retries, None if ts is None else keep_seconds * 1000)
+    timed = [T.StructField("event_time", T.TimestampType())] if ts else []
+    schema = T.StructType([*(judged.schema[n] for n in shape), *timed, T.StructField("outcome", T.StringType())])
+    left = _stateful(judged, ["topic", "partition", "offset"], processor, schema, ts is not None)
+    dead = F.col("outcome") == "dead"
+    letter = dead_letter_value(max_retries)
+    return left.select(
+        "outcome", F.when(dead, F.concat(F.lit("dlq."), "topic")).otherwise(F.col("topic")).alias("topic"), "key",
+        F.when(dead, letter).otherwise(F.col("value")).alias("value"), "seq",
+    )
 
 
 def stream_changes_to_documents(webhooks: DataFrame, items: DataFrame) -> DataFrame:
