@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from urllib.parse import urlparse
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from suite import views as v
@@ -84,3 +84,24 @@ def feed_of(df: DataFrame, ts: str, label: str, late: Column | None = None, batc
             part = part.unionByName(rows.where((F.col("_batch") == k - 1) & late))
         part.drop("_us", "_batch").repartition(files).write.mode("append").parquet(path)
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
+def land_change_pages(changes: DataFrame, parts: tuple[int, ...], path: str | None = None) -> str:
+    """Some of four pages of each source's changes, in the order of their times, as JSON lines below a posix folder."""
+    where = urlparse(path or fresh_path(changes.sparkSession, "pages"))
+    base = where.path
+    rows = changes.select(
+        "source_id", "item_id", "change_type", "cursor", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
+    )
+    rows = rows.withColumn("page", F.ntile(4).over(Window.partitionBy("source_id").orderBy("timestamp", "item_id")) - 1).where(F.col("page").isin(list(parts)))
+
+    def write(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        folder = os.path.join(base, f"source={key[0]}")
+        os.makedirs(folder, exist_ok=True)
+        draft = os.path.join(folder, f".draft-{key[1]}")
+        pdf[["item_id", "change_type", "cursor", "timestamp"]].to_json(draft, orient="records", lines=True)
+        os.replace(draft, os.path.join(folder, f"page-{key[1]:06d}"))
+        return pd.DataFrame({"n": [len(pdf)]})
+
+    rows.groupBy("source_id", "page").applyInPandas(write, "n long").agg(F.sum("n")).collect()
+    return base

@@ -175,11 +175,13 @@ def retry_schedule(spark, d):
   CASE WHEN id % 5 = 1 THEN CAST(1.5 AS DOUBLE) END AS max_file_size_mb, id % 5 <> 2 AS include_shared,
   CASE WHEN id % 5 = 0 THEN 'dev' ELSE 'main' END AS branch,
   CASE id % 5 WHEN 0 THEN 'o/r' WHEN 1 THEN 'g/p' WHEN 3 THEN 'r' || id ELSE '' END AS repository,
-  CASE WHEN id % 5 = 2 THEN 'root9' END AS folder_id FROM connectors""")
+  CASE WHEN id % 5 = 2 THEN 'root9' END AS folder_id, CASE WHEN id % 5 = 3 THEN 'ws' ELSE '' END AS workspace,
+  CASE WHEN id % 5 = 2 THEN '/in' ELSE '' END AS folder_path, CASE WHEN id % 5 = 2 THEN '/srv' ELSE '' END AS path,
+  CASE WHEN id % 5 = 3 THEN '*.tmp' ELSE '' END AS exclude_patterns FROM connectors""")
 def parse_sync_options(spark, d):
     o = ev.parse_sync_options(v.connectors(spark, d))
-    joined = [F.array_join(x, ",").alias(x) for x in ("include_languages", "exclude_paths", "exclude_folders")]
-    return o.select("id", *joined, "max_file_size_mb", "include_shared", "branch", "repository", "folder_id")
+    joined = [F.array_join(x, ",").alias(x) for x in ("include_languages", "exclude_paths", "exclude_folders", "exclude_patterns")]
+    return o.select("id", *joined, "max_file_size_mb", "include_shared", "branch", "repository", "folder_id", "workspace", "folder_path", "path")
 
 
 @query("verify_signature", """SELECT id, id % 7 <> 0 AS verified, id % 3 = 0 AS token_ok FROM pushes""")

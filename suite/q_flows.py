@@ -2,12 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from suite import views as v
+from suite import landing, views as v
 from suite.q_classify import SQL_EXT, SQL_STRATEGY
 from suite.q_relational import mid, SQL_CHANGES, SQL_MID, SQL_REPORT, item_changes, items, vectors
 from suite.registry import query
 from tributary.functions import content as k
 from tributary.plans import flows
+from tributary.session import fresh_path
 from tributary.sources.listings import SyncOptions
 
 # per family, from what each connector keeps; the lists are spelled out here so that a wrong entry in the library shows
@@ -100,7 +101,7 @@ PROVIDERS = ["github", "gitlab", "bitbucket", "google_drive", "dropbox", "onedri
 
 
 def webhooks(spark, d):
-    """Webhooks of six providers, signed with one of three secrets; every seventh carries a wrong signature."""
+    """Webhooks of six providers with the proof each gives, a token or a signature, by one of three secrets; every seventh carries a wrong one."""
     g = F.col("id")
     shapes = {
         "bitbucket": ('{"push":{"changes":[{"commits":[{"hash":"h', '"}]}]}}'), "google_drive": ('{"resourceId":"r', '"}'),
@@ -114,14 +115,17 @@ def webhooks(spark, d):
     for n in range(3):
         ipad, opad = k.hmac_pads(f"secret {n}")
         signed = F.when(g % 3 == n, F.concat(F.lit("sha256="), k.hmac_sha256(F.col("body"), F.lit(ipad), F.lit(opad)))).otherwise(signed)
-    return sent.withColumn("signature", F.when(g % 7 == 0, F.lit("sha256=00")).otherwise(signed))
+    token = F.concat(F.lit("secret "), v.text(g % 3))
+    proof = F.when(F.col("provider") == "gitlab", token).otherwise(signed)
+    return sent.withColumn("signature", F.when(g % 7 == 0, F.lit("sha256=00")).otherwise(proof))
 
 
 def secrets(spark, d):
     pads = [k.hmac_pads(f"secret {n}") for n in range(3)]
     g = F.col("id")
     return v.pushes(spark, d).select(
-        g.alias("connector_id"), v.pick([a for a, _ in pads], g % 3).alias("ipad"), v.pick([b for _, b in pads], g % 3).alias("opad")
+        g.alias("connector_id"), v.pick([a for a, _ in pads], g % 3).alias("ipad"), v.pick([b for _, b in pads], g % 3).alias("opad"),
+        F.concat(F.lit("secret "), v.text(g % 3)).alias("token"),
     )
 
 
@@ -129,12 +133,13 @@ SQL_WEBHOOK_CHANGES = """(SELECT g AS id, item_id FROM push_files WHERE g % 6 =
   UNION ALL SELECT id, CASE id % 6 WHEN 2 THEN 'h' WHEN 3 THEN 'r' WHEN 4 THEN 'u' ELSE 'res' END || id FROM pushes WHERE id % 6 > 1)"""
 
 
-@query("webhook_flow", f"""SELECT 'event' AS kind, id, CASE WHEN id % 7 <> 0 THEN 'verified' ELSE 'refused' END AS what FROM pushes
+SQL_WEBHOOK_FLOW = f"""SELECT 'event' AS kind, id, CASE WHEN id % 7 <> 0 THEN 'verified' ELSE 'refused' END AS what FROM pushes
   UNION ALL SELECT 'change', id, item_id FROM {SQL_WEBHOOK_CHANGES} WHERE id % 7 <> 0
   UNION ALL SELECT 'job', p.id, sha256(p.id || '|' || p.connector_id) FROM pushes p JOIN connectors c ON c.id = p.connector_id
-    WHERE p.id % 7 <> 0 AND p.id IN (SELECT id FROM {SQL_WEBHOOK_CHANGES})""")
-def webhook_flow(spark, d):
-    events, changes, jobs = flows.webhook_flow(webhooks(spark, d), v.connectors(spark, d), secrets(spark, d))
+    WHERE p.id % 7 <> 0 AND p.id IN (SELECT id FROM {SQL_WEBHOOK_CHANGES})"""
+
+
+def flow_rows(events, changes, jobs):
     return (
         events.select(F.lit("event").alias("kind"), "id", F.when(F.col("verified"), F.lit("verified")).otherwise(F.lit("refused")).alias("what"))
         .unionByName(changes.select(F.lit("change").alias("kind"), "id", F.col("item_id").alias("what")))
@@ -142,6 +147,19 @@ def webhook_flow(spark, d):
     )
 
 
+@query("webhook_flow", SQL_WEBHOOK_FLOW)
+def webhook_flow(spark, d):
+    return flow_rows(*flows.webhook_flow(webhooks(spark, d), v.connectors(spark, d), secrets(spark, d)))
+
+
+@query("webhook_flow_stream", SQL_WEBHOOK_FLOW)
+def webhook_flow_stream(spark, d):
+    feed = landing.feed_of(webhooks(spark, d), "received_at", "webhooks", batches=3)
+    path, checkpoint = fresh_path(spark, "webhooks"), fresh_path(spark, "progress")
+    flows.run_webhook_stream(feed, v.connectors(spark, d), secrets(spark, d), path, checkpoint)
+    return flow_rows(*flows.webhook_tables(spark, path))
+
+
 @query("retention_cycle", f"""{SQL_REPORT.replace("count(*) FILTER (WHERE tenant_id = 3) FROM chunks", "0")}
   UNION ALL SELECT 'deleted_jobs', count(*) FROM sync_jobs WHERE status IN ('completed','failed') AND end_time < {SQL_MID} - INTERVAL 7 DAY""")
 def retention_cycle(spark, d):

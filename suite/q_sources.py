@@ -13,16 +13,19 @@ from tributary.operators import joins
 from tributary.session import fresh_path
 from tributary.sources import listings as ls
 from tributary.sources import local_files, tables
+from tributary.streaming import operators as st
 
 SQL_REPO = f"{SQL_EXT} NOT IN {quoted(t.BINARY_REPO)}"
 SQL_OFFICE = f"{SQL_EXT} NOT IN {quoted(t.BINARY_OFFICE)}"
 
 
 @query("scan_local_files", f"""SELECT name, path, 'file' AS item_type, strlen(content) AS size FROM files
-  WHERE NOT starts_with(path, '.') AND lower(regexp_extract(name, '^.+[.]([^.]+)$', 1)) NOT IN {quoted(t.BINARY_REPO)}""")
+  WHERE NOT starts_with(path, '.') AND lower(regexp_extract(name, '^.+[.]([^.]+)$', 1)) NOT IN {quoted(t.BINARY_REPO)}
+  AND NOT contains(path, 'node_modules') AND NOT (strlen(content) > 16384)""")
 def scan_local_files(spark, d):
     base = landing.land_files(v.files(spark, d))
-    return local_files.scan_local_files(spark, base).select("name", "path", "item_type", "size")
+    options = ls.SyncOptions(exclude=["node_modules"], max_mb=1 / 64)
+    return local_files.scan_local_files(spark, base, options=options).select("name", "path", "item_type", "size")
 
 
 def sha(f):
@@ -62,14 +65,15 @@ def scan_repo_dirs(spark, d):
 
 @query("scan_drive_listing", f"""SELECT CAST(id AS VARCHAR) AS id, name, name AS path, CASE WHEN size > 0 THEN size END AS size, mime AS mime_type, modified AS modified_time,
   row_number() OVER (ORDER BY modified DESC) - 1 AS place FROM mimes
-  WHERE NOT trashed AND mime <> '{t.FOLDER_MIME}' AND folder = 'f2' AND mine AND NOT starts_with(mime, 'image/') AND mime <> 'application/zip' AND NOT (size > 4096)""")
+  WHERE NOT trashed AND mime <> '{t.FOLDER_MIME}' AND folder = 'f2' AND mine AND NOT starts_with(mime, 'image/') AND mime <> 'application/zip' AND NOT (size > 4096)
+    AND (starts_with(mime, 'text/') OR starts_with(mime, 'application/'))""")
 def scan_drive_listing(spark, d):
     entry = F.struct(
         v.text("id").alias("id"), "name", F.col("mime").alias("mimeType"), v.text("size").alias("size"),
         F.col("modified").alias("modifiedTime"), F.array("folder").alias("parents"), "trashed", F.col("mine").alias("ownedByMe"),
     )
     path = landing.land_pages(v.mimes(spark, d), entry, "files", landing.page_of())
-    got = ls.scan_drive_listing(ls.read_pages(spark, path, ls.DRIVE), "f2", False, ls.SyncOptions(max_mb=1 / 256))
+    got = ls.scan_drive_listing(ls.read_pages(spark, path, ls.DRIVE), "f2", False, ls.SyncOptions(include_mimes=["text/", "application/"], max_mb=1 / 256))
     # the order of the listing, made visible as a position
     from tributary.operators.slicing import ranked
 
@@ -159,7 +163,9 @@ def union_pages(spark, d):
 
 @query("state_tables", """SELECT 'connectors' AS name, CAST(id AS VARCHAR) AS id, CAST(tenant_id AS VARCHAR) AS tenant_id, status FROM connectors
   UNION ALL SELECT 'sync_jobs', CAST(id AS VARCHAR), NULL, status FROM sync_jobs
-  UNION ALL SELECT 'chunks', id, CAST(tenant_id AS VARCHAR), embedding_state FROM chunks""")
+  UNION ALL SELECT 'chunks', id, CAST(tenant_id AS VARCHAR), embedding_state FROM chunks
+  UNION ALL SELECT 'file_blobs', sha256(tenant_id || '|' || id), tenant_id, sha256(content) FROM files WHERE strlen(content) > 4096
+  UNION ALL SELECT 'webhook_events', CAST(id AS VARCHAR), NULL, 'pending' FROM pushes""")
 def state_tables(spark, d):
     base = fresh_path(spark, "state")
     jobs = v.sync_jobs(spark, d).withColumn(
@@ -168,10 +174,19 @@ def state_tables(spark, d):
     tables.write_state(v.connectors(spark, d), "connectors", f"{base}/connectors")
     tables.write_state(jobs, "sync_jobs", f"{base}/sync_jobs")
     tables.write_state(v.chunks(spark, d), "chunks", f"{base}/chunks")
+    named = v.files(spark, d).withColumns({
+        "id": v.text("id"), "connector_id": F.col("source_id"), "mime_type": F.lit(None).cast("string"), "created_at": fixed_now(),
+    })
+    tables.write_state(tables.blob_references(named, "s3://blobs", 4), "file_blobs", f"{base}/file_blobs")
+    none = F.lit(None).cast("string")
+    log = st.webhook_log(v.pushes(spark, d), F.lit("github"), F.lit("push"), none, F.col("body"), F.col("signature"))
+    tables.write_state(log, "webhook_events", f"{base}/webhook_events")
+    shown = {"connectors": "status", "sync_jobs": "status", "chunks": "embedding_state", "file_blobs": "content_hash", "webhook_events": "status"}
     out = []
-    for name, status in (("connectors", "status"), ("sync_jobs", "status"), ("chunks", "embedding_state")):
+    for name, status in shown.items():
         read = tables.read_state(spark, name, f"{base}/{name}")
-        out.append(read.select(F.lit(name).alias("name"), "id", "tenant_id", F.col(status).alias("status")))
+        tenant = F.col("tenant_id") if "tenant_id" in read.columns else none
+        out.append(read.select(F.lit(name).alias("name"), "id", tenant.alias("tenant_id"), F.col(status).alias("status")))
     return joins.union_all(out)
 
 

@@ -5,10 +5,12 @@ from pyspark.sql import functions as F
 from suite import landing, views as v
 from suite.q_content import docs
 from suite.q_order import DAY, SQL_ROTATING, SQL_SLIDING
+from suite.q_relational import SQL_CHANGES, item_changes
 from suite.registry import query
+from tributary.operators import changes as ch
 from tributary.operators import events as ev
 from tributary.session import fresh_path
-from tributary.sources import streams
+from tributary.sources import feeds, streams
 from tributary.streaming import operators as st
 
 
@@ -104,3 +106,16 @@ def stream_changes_to_documents(spark, d):
     stream = landing.stream_of(pushed, "pushes")
     out = st.stream_changes_to_documents(stream, v.files(spark, d))
     return drained(out.select("g", "id", "path", "change_type", "cursor", F.octet_length("content").cast("long").alias("size_bytes")))
+
+
+@query("change_feed_stream", f"""SELECT source_id, count(*) AS changes, max(timestamp) AS cursor FROM {SQL_CHANGES} GROUP BY 1""")
+def change_feed_stream(spark, d):
+    """Changes landed as pages of each source, read by a feed that is stopped half-way and goes on from its checkpoint."""
+    path = landing.land_change_pages(item_changes(spark, d), parts=(0, 1))
+    out, checkpoint = fresh_path(spark, "changes"), fresh_path(spark, "progress")
+    st.run_available(feeds.read_change_feed(spark, path, pages=1), out, checkpoint)
+    landing.land_change_pages(item_changes(spark, d), parts=(2, 3), path=path)
+    st.run_available(feeds.read_change_feed(spark, path, pages=1), out, checkpoint)
+    read = spark.read.schema(feeds.SCHEMA).parquet(out).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    n = read.groupBy("source_id").agg(F.count(F.lit(1)).alias("changes"))
+    return ch.new_cursor(read, ["source_id"]).join(n, "source_id")

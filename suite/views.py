@@ -76,8 +76,8 @@ def connectors(spark: SparkSession, d: str) -> DataFrame:
     kind = pick(TYPES, i % 11)
     config = F.when(i % 5 == 0, F.lit('{"include_languages":["py",".RS"],"repository":"o/r","branch":"dev"}')).when(
         i % 5 == 1, F.lit('{"include_languages":[],"file_extensions":["md"],"project_path":"g/p","max_file_size_mb":1.5}')
-    ).when(i % 5 == 2, F.lit('{"root_folder_id":"root9","include_shared":false,"exclude_folders":["Old"]}')).when(
-        i % 5 == 3, F.concat(F.lit('{"repo_slug":"r'), text(i), F.lit('","exclude_paths":["dist","x"]}'))
+    ).when(i % 5 == 2, F.lit('{"root_folder_id":"root9","include_shared":false,"exclude_folders":["Old"],"folder_path":"/in","path":"/srv"}')).when(
+        i % 5 == 3, F.concat(F.lit('{"repo_slug":"r'), text(i), F.lit('","workspace":"ws","exclude_paths":["dist","x"],"exclude_patterns":["*.tmp"]}'))
     ).otherwise(F.lit("{}"))
     return t.select(
         i.alias("id"), F.col("c_nationkey").cast("long").alias("tenant_id"), kind.alias("type"), F.col("c_name").alias("name"),

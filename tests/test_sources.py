@@ -2,7 +2,6 @@
 
 import os
 
-import pytest
 from pyspark.sql import functions as F
 
 from tributary.session import fresh_path
@@ -16,7 +15,7 @@ def test_local_walk(spark, tmp_path):
         f.parent.mkdir(parents=True, exist_ok=True)
         f.write_text(p)
     os.symlink(tmp_path / "pkg", tmp_path / "linked")
-    got = local_files.scan_local_files(spark, str(tmp_path), with_content=True).collect()
+    got = local_files.scan_local_files(spark, str(tmp_path), content=True).collect()
     assert sorted(r["path"] for r in got) == [
         "_under.md", "a.py", "deep/er/still/n.txt", "linked/__init__.py", "pkg/__init__.py"
     ]
@@ -24,14 +23,13 @@ def test_local_walk(spark, tmp_path):
     assert (row["size"], bytes(row["content"]), row["metadata"]["base_path"]) == (4, b"a.py", str(tmp_path))
 
 
-@pytest.mark.parametrize("target", [1, 3, 256])
-def test_partitions_cover_every_file_once(tmp_path, monkeypatch, target):
-    monkeypatch.setattr(local_files, "TARGET_PARTS", target)
+def test_partitions_cover_every_file_once(tmp_path, monkeypatch):
+    monkeypatch.setattr(local_files, "NAMES", 3)
     for i in range(40):
-        f = tmp_path / f"d{i % 4}" / f"e{i % 3}" / f"f{i}.txt"
+        f = tmp_path / (f"d{i % 4}/e{i % 3}/f{i}.txt" if i % 5 else f"f{i}.txt")
         f.parent.mkdir(parents=True, exist_ok=True)
         f.write_text("x")
-    reader = local_files.LocalFilesReader(str(tmp_path), False)
+    reader = local_files.LocalFilesReader(str(tmp_path), False, [], [])
     names = [row[1] for part in reader.partitions() for row in reader.read(part)]
     assert sorted(names) == sorted(f"f{i}.txt" for i in range(40))
 

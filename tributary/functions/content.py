@@ -81,10 +81,15 @@ def verify_signature_by(payload: Column, header: Column, ipad: Column, opad: Col
     return F.coalesce(header == F.concat(F.lit("sha256="), hmac_sha256(payload, ipad, opad)), F.lit(False))
 
 
-def verify_token(header: Column, token: str) -> Column:
+def verify_token(header: Column, token: str | Column) -> Column:
     return F.coalesce(header == token, F.lit(False))
 
 
+def verify_by_provider(provider: Column, payload: Column, header: Column, ipad: Column, opad: Column, token: Column) -> Column:
+    """The proof each provider gives: the token itself from GitLab, a signature of the payload from the others."""
+    return F.when(provider == "gitlab", verify_token(header, token)).otherwise(verify_signature_by(payload, header, ipad, opad))
+
+
 def request_key(**items: Column) -> Column:
     """MD5 over the request's items in name order."""
     return F.md5(F.to_json(F.struct(*[items[k].alias(k) for k in sorted(items)])))

@@ -82,19 +82,57 @@ def changes_onedrive(webhooks: DataFrame, payload: str = "payload") -> DataFrame
     )
 
 
-PARSERS = {
-    "github": changes_github, "gitlab": changes_gitlab, "bitbucket": changes_bitbucket, "google_drive": changes_drive,
-    "dropbox": changes_dropbox, "onedrive": changes_onedrive,
-}
+CHANGE = "array<struct<item_id:string,change_type:string,cursor:string,commit_no:int,position:int>>"
+
+
+def _listed(elements: Column, entry) -> Column:
+    """An array of changes from an array and a function of element and number; none without the array."""
+    return F.coalesce(F.transform(elements, entry), F.array()).cast(CHANGE)
+
+
+def _change(item: Column, kind: Column, cursor: Column) -> Column:
+    none = F.lit(None).cast("int")
+    return F.struct(item.alias("item_id"), kind.alias("change_type"), cursor.cast("string").alias("cursor"), none.alias("commit_no"), none.alias("position"))
+
+
+def _push_array(payload: Column) -> Column:
+    def of_commit(c: Column, n: Column) -> Column:
+        cursor = c["id"]
+        all_paths = F.concat(_paths(c["added"], "created", cursor), _paths(c["modified"], "updated", cursor), _paths(c["removed"], "deleted", cursor))
+        return F.transform(all_paths, lambda e, k: F.struct(e["item_id"].alias("item_id"), e["change_type"].alias("change_type"), e["cursor"].alias("cursor"), n.alias("commit_no"), k.alias("position")))
+
+    return F.coalesce(F.flatten(F.transform(F.from_json(payload, PUSH)["commits"], of_commit)), F.array()).cast(CHANGE)
+
+
+def change_array(provider: Column, payload: Column) -> Column:
+    """The changes of one webhook by its provider's rules, as an array; only the provider's own parser runs on a row."""
+    updated, none = F.lit("updated"), F.lit(None)
+    nothing = F.array().cast(CHANGE)
+    pushed = F.flatten(F.transform(F.from_json(payload, BITBUCKET)["push"]["changes"], lambda c: c["commits"]))
+    hashes = F.transform(pushed, lambda h: F.coalesce(h["hash"], F.lit("")))
+    drive = F.from_json(payload, DRIVE)
+    item = F.coalesce(F.nullif(drive["resourceId"], F.lit("")), F.nullif(drive["resource_id"], F.lit("")))
+    users = F.from_json(payload, DROPBOX)["delta"]["users"]
+    notes = F.from_json(payload, ONEDRIVE)["value"]
+    by_provider = {
+        "github": _push_array(payload),
+        "gitlab": F.when(F.get_json_object(payload, "$.object_kind") == "push", _push_array(payload)).otherwise(nothing),
+        "bitbucket": _listed(hashes, lambda h: _change(h, updated, h)),
+        "google_drive": F.when(item.isNotNull(), F.array(_change(item, updated, none)).cast(CHANGE)).otherwise(nothing),
+        "dropbox": _listed(users, lambda u: _change(u, updated, none)),
+        "onedrive": _listed(notes, lambda n: _change(F.coalesce(n["resource"], F.lit("")), F.coalesce(n["changeType"], updated), n["subscriptionId"])),
+    }
+    out = None
+    for name, found in by_provider.items():
+        out = F.when(provider == name, found) if out is None else out.when(provider == name, found)
+    return out.otherwise(nothing)
 
 
 def changes_of(webhooks: DataFrame, provider: str = "provider", payload: str = "payload") -> DataFrame:
-    """Changes of every webhook by its provider's rules; commit_no and position are null where there are no commits."""
-    found = [parse(webhooks.where(F.col(provider) == name), payload) for name, parse in PARSERS.items()]
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+    """Changes of every webhook by its provider's rules, in one pass; commit_no and position are null where there are no commits."""
+    keep = [c for c in webhooks.columns if c != payload]
+    found = webhooks.select(*keep, F.explode(change_array(F.col(provider), F.col(payload))).alias("_e"))
+    return found.select(*keep, "_e.*")
 
 
 def changes_since(changes: DataFrame, cursors: Column | DataFrame) -> DataFrame:

@@ -152,7 +152,8 @@ OPTIONS = (
     "include_languages array<string>, file_extensions array<string>, include_extensions array<string>, "
     "include_mime_types array<string>, exclude_paths array<string>, exclude_folders array<string>, "
     "max_file_size_mb double, include_shared boolean, branch string, repository string, project_path string, "
-    "repo_slug string, workspace string, folder_id string, root_folder_id string, folder_path string, path string"
+    "repo_slug string, workspace string, folder_id string, root_folder_id string, folder_path string, path string, "
+    "exclude_patterns array<string>"
 )
 
 
@@ -180,6 +181,8 @@ def parse_sync_options(connectors: DataFrame, config: str = "config_json") -> Da
         F.coalesce("_o.branch", F.lit("main")).alias("branch"),
         F.coalesce(text("repository"), text("project_path"), text("repo_slug"), F.lit("")).alias("repository"),
         F.coalesce(text("folder_id"), text("root_folder_id")).alias("folder_id"),
+        *[F.coalesce(text(n), F.lit("")).alias(n) for n in ("workspace", "folder_path", "path")],
+        F.coalesce(filled("exclude_patterns"), none).alias("exclude_patterns"),
     )
 
 

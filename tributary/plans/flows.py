@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.functions import classify as c
@@ -13,6 +13,7 @@ from tributary.operators import dedup, joins, lifecycle
 from tributary.operators import events as ev
 from tributary.session import materialize
 from tributary.sources.listings import SyncOptions
+from tributary.streaming.operators import run_batches
 
 
 def full_sync(
@@ -107,27 +108,63 @@ def incremental_sync(changes: DataFrame, items: DataFrame, cursors: Column | Dat
     return routed, ch.new_cursor(fresh, ["source_id"])
 
 
-def webhook_flow(raw: DataFrame, connectors: DataFrame, secrets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Raw webhooks → verified events → changes by provider, and one pending job per accepted event that changes something.
+def webhook_events(raw: DataFrame, secrets: DataFrame) -> DataFrame:
+    """Raw webhooks as event rows, ``verified`` by their provider's own proof; batch or stream.
 
-    ``secrets``: (connector_id, ipad, opad), the hex pads of each connector's secret.
+    ``secrets``: (connector_id, ipad, opad, token), the hex pads of each connector's secret and the secret itself where the provider sends it.
     """
-    payload = k.webhook_payload(F.col("body"))
-    keys = secrets.select(F.col("connector_id").alias("_cid"), F.col("ipad").alias("_ipad"), F.col("opad").alias("_opad"))
+    keys = secrets.select(F.col("connector_id").alias("_cid"), *[F.col(n).alias(f"_{n}") for n in ("ipad", "opad", "token")])
     keyed = raw.join(keys, F.col("connector_id") == F.col("_cid"), "left")
-    verified = k.verify_signature_by(F.col("body"), F.col("signature"), F.col("_ipad"), F.col("_opad"))
-    # the event log is a table of its own; everything after it reads the log
-    events = materialize(
-        keyed.withColumns({"payload": payload, "verified": verified}).drop("body", "_cid", "_ipad", "_opad"), "webhook_events"
-    )
-    good = events.where("verified")
-    changes = ch.changes_of(good.select("id", "connector_id", "provider", "payload"))
-    requests = good.join(changes.select("id").distinct(), "id", "left_semi").select(
-        F.col("id").alias("request_id"), "connector_id", F.lit("webhook").alias("type"),
-        F.col("received_at").alias("requested_at"),
+    proof = k.verify_by_provider(F.col("provider"), F.col("body"), F.col("signature"), F.col("_ipad"), F.col("_opad"), F.col("_token"))
+    named = keyed.withColumns({"payload": k.webhook_payload(F.col("body")), "verified": proof, "status": F.lit("pending")})
+    return named.drop("body", "_cid", "_ipad", "_opad", "_token")
+
+
+def _changes_in(events: DataFrame) -> DataFrame:
+    return ch.changes_of(events.where("verified").select("id", "connector_id", "provider", "payload"))
+
+
+def _jobs_for(events: DataFrame, changes: DataFrame, connectors: DataFrame) -> DataFrame:
+    asked = events.where("verified").join(changes.select("id").distinct(), "id", "left_semi").select(
+        F.col("id").alias("request_id"), "connector_id", F.lit("webhook").alias("type"), F.col("received_at").alias("requested_at"),
     )
-    jobs, _ = lifecycle.new_jobs(requests, connectors)
-    return events, changes, jobs
+    return lifecycle.new_jobs(asked, connectors)[0]
+
+
+def webhook_flow(raw: DataFrame, connectors: DataFrame, secrets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Raw webhooks → verified events → changes by provider, and one pending job per accepted event that changes something.
+
+    The event log is a table of its own; everything after it reads the log, and jobs read the changes.
+    """
+    events = materialize(webhook_events(raw, secrets), "webhook_events")
+    changes = materialize(_changes_in(events), "webhook_changes")
+    return events, changes, _jobs_for(events, changes, connectors)
+
+
+SINKS = ("events", "changes", "jobs")
+
+
+def run_webhook_stream(stream: DataFrame, connectors: DataFrame, secrets: DataFrame, path: str, checkpoint: str) -> None:
+    """The webhook flow over everything that a stream of raw webhooks has, into three tables below ``path``.
+
+    A batch is verified once, on its way into the event table; its changes are read from there, its jobs from both. Each table has a folder for
+    each batch, which a batch that is repeated after a failure overwrites, so nothing is logged, changed or asked for twice.
+    """
+    spark = stream.sparkSession
+
+    def flow(batch: DataFrame, epoch: int) -> None:
+        events, changes, jobs = (f"{path}/{name}/epoch={epoch}" for name in SINKS)
+        webhook_events(batch, secrets).write.mode("overwrite").parquet(events)
+        logged = spark.read.parquet(events)
+        _changes_in(logged).write.mode("overwrite").parquet(changes)
+        _jobs_for(logged, spark.read.parquet(changes), connectors).write.mode("overwrite").parquet(jobs)
+
+    run_batches(stream, checkpoint, flow)
+
+
+def webhook_tables(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Events, changes and jobs that a webhook stream has written."""
+    return tuple(spark.read.parquet(f"{path}/{name}") for name in SINKS)
 
 
 def retention_cycle(jobs: DataFrame, bodies: DataFrame, chunks: DataFrame, vectors: DataFrame, as_of: Column) -> DataFrame:

@@ -6,11 +6,13 @@ import json
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
+from tributary.session import ship
+
 SCHEMA = "source_id string, page string, item_id string, change_type string, cursor string, timestamp timestamp"
 PREFIX = "source="
 
@@ -62,7 +64,9 @@ class ChangeFeedReader(DataSourceStreamReader):
             for line in f:
                 if line.strip():
                     x = json.loads(line)
-                    yield partition.source_id, partition.name, x["item_id"], x["change_type"], x.get("cursor"), datetime.fromisoformat(x["timestamp"])
+                    at = datetime.fromisoformat(x["timestamp"])
+                    at = at if at.tzinfo else at.replace(tzinfo=timezone.utc)
+                    yield partition.source_id, partition.name, x["item_id"], x["change_type"], x.get("cursor"), at
 
     def commit(self, end: dict) -> None:
         """Nothing to release: pages stay, and the checkpoint holds the cursors."""
@@ -84,7 +88,8 @@ class ChangeFeed(DataSource):
 
 
 def read_change_feed(spark: SparkSession, path: str, pages: int | None = None) -> DataFrame:
-    """The feed as a stream of changes."""
+    """The feed as a stream of changes; times without a zone are UTC."""
+    ship(spark)
     spark.dataSource.register(ChangeFeed)
     reader = spark.readStream.format("change_feed")
     return (reader.option("pages", pages) if pages else reader).load(path)

@@ -103,7 +103,7 @@ def scan_drive_listing(
         include_shared,
     )
     kept = n.where(
-        predicate & c.not_skipped_mime(mime) & c.sync_filter_mime(mime, size, options.include, options.max_mb)
+        predicate & c.not_skipped_mime(mime) & c.sync_filter_mime(mime, size, options.include_mimes, options.max_mb)
     )
     return kept.select(
         "id", "name", F.col("name").alias("path"), F.lit("file").alias("item_type"), size.alias("size"),

@@ -165,23 +165,13 @@ def _holds(rule: Filter, row: dict) -> bool:
 
 
 class LocalFilesReader(DataSourceReader):
-    """Reads names first; files that a pushed filter on name, path or extension leaves out are neither measured nor opened."""
+    """Reads names first; files that an option or a pushed filter on name, path or extension leaves out are neither measured nor opened."""
 
     def __init__(self, base: str, content: bool, include: list[str], exclude: list[str]):
         self.base, self.content = base, content
         self.include, self.exclude = {x.lower().lstrip(".") for x in include}, exclude
         self.rules: list[Filter] = []
 
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        """Takes filters on the text columns and leaves the others to Spark."""
-        for rule in filters:
-            inner = rule.child if isinstance(rule, Not) else rule
-            plain = isinstance(inner, (EqualTo, In, StringContains, StringStartsWith, StringEndsWith))
-            if plain and inner.attribute in (("name",), ("path",), ("extension",)):
-                self.rules.append(rule)
-            else:
-                yield rule
-
     def partitions(self) -> list[Part]:
         """The driver lists the root alone: its files go out by name, so that no part lists them again."""
         with os.scandir(self.base) as entries:
@@ -216,10 +206,24 @@ class LocalFilesReader(DataSourceReader):
                 yield os.path.abspath(whole), name, row["path"], row["extension"], size, mtime, _content(whole) if self.content else None
 
 
+class PushedLocalFilesReader(LocalFilesReader):
+    """The same with filters; Spark takes such a reader only where pushing is switched on."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        """Takes filters on the text columns and leaves the others to Spark."""
+        for rule in filters:
+            inner = rule.child if isinstance(rule, Not) else rule
+            plain = isinstance(inner, (EqualTo, In, StringContains, StringStartsWith, StringEndsWith))
+            if plain and inner.attribute in (("name",), ("path",), ("extension",)):
+                self.rules.append(rule)
+            else:
+                yield rule
+
+
 class LocalFiles(DataSource):
     """``spark.read.format("local_files").load(dir)``; option ``content`` adds the bytes, ``include`` and ``exclude`` are JSON lists.
 
-    With ``spark.sql.python.filterPushdown.enabled`` filters on name, path and extension reach the reader.
+    With option ``pushdown``, which needs ``spark.sql.python.filterPushdown.enabled``, filters on name, path and extension reach the reader.
     """
 
     @classmethod
@@ -231,4 +235,5 @@ class LocalFiles(DataSource):
 
     def reader(self, schema) -> LocalFilesReader:
         o = self.options
-        return LocalFilesReader(o["path"], o.get("content", "false") == "true", json.loads(o.get("include", "[]")), json.loads(o.get("exclude", "[]")))
+        kind = PushedLocalFilesReader if o.get("pushdown", "false") == "true" else LocalFilesReader
+        return kind(o["path"], o.get("content", "false") == "true", json.loads(o.get("include", "[]")), json.loads(o.get("exclude", "[]")))

@@ -78,9 +78,16 @@ def blob_offload(docs: DataFrame, path: str, threshold_kb: int = 256, run: str |
     return docs.sparkSession.read.schema(schema).parquet(folder)
 
 
-def fetch_blobs(refs: DataFrame, path: str) -> DataFrame:
-    """``refs`` with the content that their ``blob_url`` names; the same content stored by several runs counts once."""
-    stored = refs.sparkSession.read.option("mergeSchema", "false").parquet(path).select("blob_url", "content")
+def fetch_blobs(refs: DataFrame, path: str, tenant: str | None = None) -> DataFrame:
+    """``refs`` with the content that their ``blob_url`` names; the same content stored by several runs counts once.
+
+    With a ``tenant`` only its references are answered, and only its folders are read.
+    """
+    stored = refs.sparkSession.read.option("mergeSchema", "false").parquet(path)
+    if tenant is not None:
+        stored = stored.where(F.col("tenant_id") == tenant)
+        refs = refs.where(F.col("tenant_id") == tenant) if "tenant_id" in refs.columns else refs
+    stored = stored.select("blob_url", "content")
     wanted = stored.join(refs.select("blob_url").distinct(), "blob_url", "left_semi").dropDuplicates(["blob_url"])
     return refs.join(wanted, "blob_url")
 
