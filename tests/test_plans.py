@@ -45,6 +45,39 @@ def test_dedup_verdict_travels_on_the_sequence_number(spark, sf_dir):
     assert "Window" not in text  # no group is ever gathered
 
 
+@pytest.mark.parametrize("key", ["sync_status", "upsert_state", "peek_top", "incremental_documents"])
+def test_latest_rows_are_found_by_hash_aggregates(spark, sf_dir, key):
+    from tributary.operators import joins, lifecycle
+
+    if key == "upsert_state":  # the registered query reads its result back from a table
+        some = spark.range(9).selectExpr("id", "'s' as status", "cast(id as int) as version")
+        text = plan(lifecycle.upsert_state(some, some, ["id"], "version"))
+    else:
+        text = plan(QUERIES[key](spark, sf_dir))
+    assert "SortAggregate" not in text and "HashAggregate" in text
+
+
+def test_packed_versions_keep_the_order_of_rows(spark):
+    import itertools
+    from datetime import date, datetime
+
+    from tributary.operators import joins
+
+    whens = [None, datetime(1, 1, 1), datetime(1969, 12, 31, 23, 59, 59, 999999), datetime(2024, 1, 1), datetime(9999, 12, 31)]
+    longs = [None, -(2**62), -1, 0, 1, 2**62]
+    rows = [(t, n, k) for k, (t, n) in enumerate(itertools.product(whens, longs))]
+    df = spark.createDataFrame(rows, "t timestamp_ntz, n bigint, k int")
+    for version in (["t", "n"], ["t", "k"], ["n"], ["k", "n"], ["t"]):
+        number, rest = joins.packed_version(df, version)
+        assert not rest
+        got = [r["k"] for r in df.select("*", number.alias("v")).orderBy("v", "k").collect()]
+        want = sorted(df.collect(), key=lambda r: (tuple((x is not None, x if x is not None else (whens[1] if c == "t" else 0)) for c, x in ((c, r[c]) for c in version)), r["k"]))
+        assert got == [r["k"] for r in want], version
+    assert joins.packed_version(df.withColumn("s", joins.F.lit("x")), ["s"])[0] is None
+    many = spark.createDataFrame([(None, 1, date(2024, 1, 1), "a"), (None, 1, date(2024, 1, 2), "b"), (5, 1, None, "c"), (5, 0, None, "d")], "key int, v bigint, d date, x string")
+    assert sorted(r["x"] for r in joins.latest_by(many, ["key"], ["v", "d"]).collect()) == ["b", "c"]
+
+
 def test_retired_tenant_prunes_folders(spark, tmp_path):
     from tributary.operators.lifecycle import retire_tenant
     from tributary.sources import tables

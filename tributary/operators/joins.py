@@ -24,11 +24,71 @@ def job_connector(jobs: DataFrame, connectors: DataFrame) -> DataFrame:
     return jobs.join(c, F.col("connector_id") == F.col("_cid")).drop("_cid")
 
 
+#: Bits that a value of a type takes; times lie within half of theirs, whatever the calendar.
+WIDTHS = {"boolean": 1, "tinyint": 8, "smallint": 16, "int": 32, "date": 32, "timestamp": 62, "timestamp_ntz": 62, "bigint": 64}
+
+
+def _number(column: str, kind: str) -> Column:
+    """A value as a long of the same order, the least of all for null."""
+    c = F.col(column)
+    n = {
+        "date": lambda: F.unix_date(c), "timestamp": lambda: F.unix_micros(c),
+        "timestamp_ntz": lambda: F.timestamp_diff("MICROSECOND", F.expr("timestamp_ntz '1970-01-01'"), c),
+    }.get(kind, lambda: c)().cast("long")
+    return F.coalesce(n, F.lit(-(1 << (WIDTHS[kind] - 1))).cast("long"))
+
+
+def packed_version(df: DataFrame, version: list[str]) -> tuple[Column | None, list[str]]:
+    """One number in the order of as many of the leading columns as fit, and the columns that are left.
+
+    Up to 64 bits are a long, up to 126 a decimal; either is a fixed-width buffer, so that a hash aggregate finds the greatest.
+    """
+    kinds, bits, n = dict(df.dtypes), 0, 0
+    while n < len(version) and kinds[version[n]] in WIDTHS and bits + WIDTHS[kinds[version[n]]] <= 126:
+        bits += WIDTHS[kinds[version[n]]]
+        n += 1
+    wide = bits > 64 and n > 1
+    out = None
+    for c in version[:n]:
+        number, width = _number(c, kinds[c]), WIDTHS[kinds[c]]
+        if out is None:
+            out = number.cast("decimal(38,0)") if wide else number
+        elif wide:
+            # the part below is counted from 0
+            below = number.cast("decimal(38,0)") + F.lit(str(1 << (width - 1))).cast("decimal(38,0)")
+            out = out * F.lit(str(1 << width)).cast("decimal(38,0)") + below
+        else:
+            out = F.shiftleft(out, width) + number + F.lit(1 << (width - 1)).cast("long")
+    return out, version[n:]
+
+
+def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
+    out = None
+    for c in names:
+        one = left[c].eqNullSafe(right[f"_r_{c}"])
+        out = one if out is None else out & one
+    return out
+
+
 def latest_by(df: DataFrame, keys: list[str], version: list[str]) -> DataFrame:
-    """Newest row per key, combined map-side; ``version`` must be unique per key."""
-    rest = [c for c in df.columns if c not in keys]
-    newest = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*version)).alias("_row"))
-    return newest.select(*keys, "_row.*").select(*df.columns)
+    """Newest row per key; ``version`` must be unique per key.
+
+    The greatest version of a key is found as one number by a hash aggregate, map-side first, and rows that have it are kept by a semi-join, so
+    that no whole row is sorted or carried along. Columns that don't fit into the number, or have no fixed width, decide among these.
+    """
+    rest = list(version)
+    while rest:
+        number, left = packed_version(df, rest)
+        if number is None:  # text decides among the few rows that are equal so far
+            others = [c for c in df.columns if c not in keys]
+            newest = df.groupBy(*keys).agg(F.max_by(F.struct(*others), F.struct(*rest)).alias("_row"))
+            return newest.select(*keys, "_row.*").select(*df.columns)
+        numbered = df.withColumn("_version", number)
+        best = numbered.groupBy(*keys).agg(F.max("_version").alias("_version"))
+        best = best.select(*[F.col(c).alias(f"_r_{c}") for c in [*keys, "_version"]])
+        df = numbered.join(best, _same(numbered, best, [*keys, "_version"]), "left_semi").drop("_version")
+        rest = left
+    return df
 
 
 def sync_status(connectors: DataFrame, jobs: DataFrame) -> DataFrame:
@@ -47,10 +107,12 @@ def sync_status(connectors: DataFrame, jobs: DataFrame) -> DataFrame:
 def incremental_documents(changes: DataFrame, items: DataFrame) -> DataFrame:
     """Documents of changed items: latest change per source and item, deletions dropped, missing items skipped.
 
-    Item ids are unique in their source only. Changes of one push carry (commit_no, position), which order equal times.
+    Item ids are unique in their source only. Changes of one push carry (commit_no, position), which order equal times; where that leaves
+    several, a hash of cursor and type decides, and one that comes twice counts once.
     """
-    order = [c for c in ("commit_no", "position") if c in changes.columns] or ["cursor"]
-    latest = latest_by(changes, ["source_id", "item_id"], ["timestamp", *order, "change_type"])
+    order = [c for c in ("commit_no", "position") if c in changes.columns]
+    told = changes.select("source_id", "item_id", "change_type", "cursor", "timestamp", *order).withColumn("_tie", F.xxhash64("cursor", "change_type"))
+    latest = latest_by(told, ["source_id", "item_id"], ["timestamp", *order, "_tie"]).select("source_id", "item_id", "change_type", "cursor").distinct()
     live = drop_deleted(latest).select(F.col("source_id").alias("_source"), "item_id", "change_type", "cursor")
     same = (F.col("_source") == F.col("source_id")) & (F.col("item_id") == F.col("external_id"))
     return live.join(items, same).drop("item_id", "_source")

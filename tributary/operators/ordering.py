@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tributary.functions import tables as t
 from tributary.operators.aggregates import priority_band
+from tributary.operators.joins import latest_by
 from tributary.operators.slicing import ranked
 
 
@@ -32,10 +33,10 @@ def band_dequeue_order(entries: DataFrame, name: str = "position") -> DataFrame:
 
 
 def peek_top(entries: DataFrame, queue: str, ascending: bool = True) -> DataFrame:
-    """Head of every queue, by a combining aggregate."""
-    urgency = F.col("priority") if ascending else -F.col("priority")
-    rest = [c for c in entries.columns if c != queue]
-    return entries.groupBy(queue).agg(F.min_by(F.struct(*rest), F.struct(urgency, F.col("seq"))).alias("_head")).select(queue, "_head.*")
+    """Head of every queue: the greatest of one number made of urgency and arrival, by a combining hash aggregate."""
+    urgency = -F.col("priority") if ascending else F.col("priority")
+    turned = entries.withColumns({"_urgency": urgency, "_turn": -F.col("seq")})
+    return latest_by(turned, [queue], ["_urgency", "_turn"]).drop("_urgency", "_turn")
 
 
 def recent_sources(connectors: DataFrame) -> DataFrame:
