@@ -113,9 +113,9 @@ def change_feed_stream(spark, d):
     """Changes landed as pages of each source, read by a feed that is stopped half-way and goes on from its checkpoint."""
     path = landing.land_change_pages(item_changes(spark, d), parts=(0, 1))
     out, checkpoint = fresh_path(spark, "changes"), fresh_path(spark, "progress")
-    st.run_available(feeds.read_change_feed(spark, path, pages=1), out, checkpoint)
+    st.run_available(feeds.read_change_feed(spark, path), out, checkpoint)
     landing.land_change_pages(item_changes(spark, d), parts=(2, 3), path=path)
-    st.run_available(feeds.read_change_feed(spark, path, pages=1), out, checkpoint)
+    st.run_available(feeds.read_change_feed(spark, path), out, checkpoint)
     read = spark.read.schema(feeds.SCHEMA).parquet(out).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
     n = read.groupBy("source_id").agg(F.count(F.lit(1)).alias("changes"))
     return ch.new_cursor(read, ["source_id"]).join(n, "source_id")

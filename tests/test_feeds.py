@@ -91,28 +91,26 @@ def test_a_feed_goes_on_from_each_sources_cursor(spark, tmp_path):
     page(base, "B", "p7", [("x", "created", T0)])
     page(base, "B", ".half", [("never", "created", T0)])
 
-    def run(pages=None):
-        seen = st.run_available(feeds.read_change_feed(spark, base, pages), out, progress)
-        return sorted((r["source_id"], r["page"], r["item_id"]) for r in spark.read.schema(feeds.SCHEMA).parquet(out).collect()), seen
+    def run():
+        st.run_available(feeds.read_change_feed(spark, base), out, progress)
+        return sorted((r["source_id"], r["page"], r["item_id"]) for r in spark.read.schema(feeds.SCHEMA).parquet(out).collect())
 
     first = [("A", "p1", "a"), ("A", "p1", "b"), ("A", "p2", "a"), ("B", "p7", "x")]
-    assert run()[0] == first
-    assert run()[0] == first  # nothing new
+    assert run() == first
+    assert run() == first  # nothing new
     page(base, "B", "p8", [("x", "deleted", T0 + timedelta(hours=2))])
     page(base, "C", "p0", [("late", "created", T0)])  # a source nobody knew, with older times
-    assert run()[0] == sorted([*first, ("B", "p8", "x"), ("C", "p0", "late")])
+    assert run() == sorted([*first, ("B", "p8", "x"), ("C", "p0", "late")])
 
 
-def test_pages_of_a_batch_are_bounded(tmp_path):
-    for n in range(5):
+def test_offsets_name_the_last_page_of_each_source(tmp_path):
+    for n in range(3):
         page(str(tmp_path), "A", f"p{n}", [("a", "created", T0)])
-    reader = feeds.ChangeFeedReader(str(tmp_path), 2)
-    first = reader.latestOffset()
-    assert first == {"A": "p1"} and [p.name for p in reader.partitions(reader.initialOffset(), first)] == ["p0", "p1"]
-    again = feeds.ChangeFeedReader(str(tmp_path), 2)
-    again.partitions({}, first)  # a restart replays the batch it stood in
-    assert again.latestOffset() == {"A": "p3"}
-    assert not feeds.ChangeFeedReader(str(tmp_path / "none"), None).latestOffset()
+    reader = feeds.ChangeFeedReader(str(tmp_path))
+    assert reader.initialOffset() == {} and reader.latestOffset() == {"A": "p2"}
+    assert [p.name for p in reader.partitions({}, {"A": "p1"})] == ["p0", "p1"]  # a page that came later waits
+    assert [p.name for p in reader.partitions({"A": "p1"}, {"A": "p2"})] == ["p2"]
+    assert not feeds.ChangeFeedReader(str(tmp_path / "none")).latestOffset()
 
 
 def test_nothing_of_a_killed_task_is_visible(spark, tmp_path):

@@ -30,9 +30,8 @@ class ChangeFeedReader(DataSourceStreamReader):
     do. Pages are written under another name (with a dot or underscore in front) and renamed when they are whole, and names of one source grow.
     """
 
-    def __init__(self, path: str, most: int | None):
-        self.path, self.most = path, most
-        self.at: dict[str, str] = {}
+    def __init__(self, path: str):
+        self.path = path
 
     def _pages(self, source: str, after: str | None, upto: str | None = None) -> list[str]:
         try:
@@ -45,18 +44,14 @@ class ChangeFeedReader(DataSourceStreamReader):
         return {}
 
     def latestOffset(self) -> dict:
-        """The newest page of every source, or, with a bound, so many pages on from where the stream stands."""
-        out = dict(self.at)
+        """The newest page of every source. A batch takes what there is, a page a task, so pages bound what a task holds."""
+        out = {}
         for folder in sorted(os.listdir(self.path)) if os.path.isdir(self.path) else []:
-            if folder.startswith(PREFIX):
-                source = folder[len(PREFIX) :]
-                if pages := self._pages(source, out.get(source)):
-                    out[source] = pages[-1] if self.most is None else pages[: self.most][-1]
-        self.at = out
+            if folder.startswith(PREFIX) and (pages := self._pages(folder[len(PREFIX) :], None)):
+                out[folder[len(PREFIX) :]] = pages[-1]
         return out
 
     def partitions(self, start: dict, end: dict) -> list[Page]:
-        self.at = end if len(end) >= len(self.at) else self.at
         return [Page(s, n) for s in sorted(end) for n in self._pages(s, start.get(s), end[s])]
 
     def read(self, partition: Page) -> Iterator[tuple]:
@@ -73,7 +68,7 @@ class ChangeFeedReader(DataSourceStreamReader):
 
 
 class ChangeFeed(DataSource):
-    """``spark.readStream.format("change_feed").option("pages", n).load(dir)``, ``pages`` of each source a batch at most."""
+    """``spark.readStream.format("change_feed").load(dir)``"""
 
     @classmethod
     def name(cls) -> str:
@@ -83,13 +78,11 @@ class ChangeFeed(DataSource):
         return SCHEMA
 
     def streamReader(self, schema) -> ChangeFeedReader:
-        most = self.options.get("pages")
-        return ChangeFeedReader(self.options["path"], int(most) if most else None)
+        return ChangeFeedReader(self.options["path"])
 
 
-def read_change_feed(spark: SparkSession, path: str, pages: int | None = None) -> DataFrame:
+def read_change_feed(spark: SparkSession, path: str) -> DataFrame:
     """The feed as a stream of changes; times without a zone are UTC."""
     ship(spark)
     spark.dataSource.register(ChangeFeed)
-    reader = spark.readStream.format("change_feed")
-    return (reader.option("pages", pages) if pages else reader).load(path)
+    return spark.readStream.format("change_feed").load(path)
