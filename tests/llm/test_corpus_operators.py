@@ -32,7 +32,7 @@ def test_queries_equal_their_sql(spark, sf_dir, key):
 
 def test_every_operator_is_registered():
     found = entry.queries()
-    assert {k.split("_")[0] for k in QUERIES} == {f"op{n}" for n in range(1, 11)} and set(QUERIES) | {"pipeline"} <= set(found)
+    assert {k.split("_")[0] for k in QUERIES} == {f"op{n}" for n in range(1, 14)} and set(QUERIES) | {"pipeline"} <= set(found)
 
 
 @pytest.mark.parametrize("size,percent", [(3, 85), (5, 80)])
@@ -63,6 +63,24 @@ def test_chains_and_families_of_near_duplicates(spark):
     assert {r["doc_id"]: r["component_id"] for r in got} == {i: want[i, t][1] for i, t in rows}
 
 
+@pytest.mark.parametrize("n", [20, 60])
+def test_rows_without_id_and_copies_grow_linearly(spark, n):
+    """As many texts meet their node, and as many parts are cut, as there are rows, however many share an id or have none."""
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice("abcdefgh") * 3 + str(rng.randrange(60)) for _ in range(60)) for _ in range(n)]
+    docs = table(spark, [(None, t) for t in texts] + [(None, texts[0] + " more")])
+    rows = neardup.sketches(docs, 3, neardup.bands_for(85), "doc_id", "text")
+    got = neardup.near_duplicates(docs, 3, 85).collect()
+    assert len(got) == n + 1 and rows.count() == n + 1
+    nodes = rows.select(F.col("doc_id").alias("label"), "print", "f1", "f2").withColumn("node", F.monotonically_increasing_id())
+    assert neardup._sets_of(docs, nodes, 3, "doc_id", "text").count() == n + 1
+    copies = table(spark, [(1, texts[0] + texts[1])] * n + [(2, texts[2] + texts[1])], parts=4)
+    numbered = repeats._numbered(copies, "doc_id", "text")
+    wanted = repeats._segments(numbered, 100).where("not repeated")
+    one = repeats._parts(numbered.dropDuplicates(["ord", "print"]), wanted.dropDuplicates(["ord", "print", "start"]), 100).count()
+    assert repeats._parts(numbered, wanted, 100).count() <= n * one
+
+
 def test_one_row_of_each_group_stays(spark, rows, docs):
     out = neardup.without_near_duplicates(docs)
     left = out.collect()
@@ -175,14 +193,15 @@ def test_top_k_with_ties_and_odd_vectors(spark, monkeypatch):
     rng = np.random.default_rng(3)
     rows = [(k, [float(np.float32(x)) for x in rng.normal(size=6)]) for k in range(150)]
     rows += [(200 + k, rows[3][1]) for k in range(40)] + [(300, None), (301, [1.0, None, 2.0, 0.0, 0.0, 0.0]), (302, [float("nan")] * 6)]
-    rows += [(303, [float("inf")] * 6), (None, rows[0][1]), (304, [1.0, 2.0]), (310, [0.5, 0.5]), (350, []), (5, rows[5][1])]
+    rows += [(303, [float("inf")] * 6), (None, rows[0][1]), (304, [1.0, 2.0]), (310, [0.5, 0.5]), (350, []), (5, rows[5][1]), (5, rows[6][1]), (10, rows[7][1]), (20, rows[20][1])]
     docs = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").withColumn("score", F.lit("own")).repartition(4)
     got = topk.top_k(docs, F.col("vec_id") % 10 == 0, 5).collect()
-    whole = {i: [int(np.floor(256 * float(np.float32(x)))) for x in v] for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
+    whole = [(i, [int(np.floor(256 * float(np.float32(x)))) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     want = []
-    for q in (i for i in whole if i % 10 == 0):
-        scores = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=True)), i) for i, v in whole.items() if i != q and len(v) == len(whole[q]))
-        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores[:5])]
+    for a, (q, x) in enumerate(whole):
+        if q % 10 == 0:
+            scores = sorted((-sum(s * t for s, t in zip(x, y, strict=True)), i) for c, (i, y) in enumerate(whole) if c != a and len(x) == len(y))
+            want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores[:5])]
     assert sorted(map(tuple, got)) == sorted(want)
     assert not topk.top_k(docs.limit(0), F.col("vec_id") % 10 == 0, 5).count()
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.llm.arrow import bounded_sample, mapped
+from tributary.llm.vectors import integer_vectors
 from tributary.session import materialize
 
 PIVOTS, PIVOT_SAMPLE = 32, 512
@@ -21,22 +22,6 @@ CELL, CHUNK, SPREAD = (512, 16_384), (2048, 16_384), 64
 BOUNDS = 1 << 18
 
 
-def whole_vectors(rows: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """(vec_id, vec, dim): floor(scale * x) of vectors whose components are all there and finite; a row for each id.
-
-    Of several vectors under one id the one that sorts first counts; rows without id take no part.
-    """
-
-    def usable(x: Column) -> Column:
-        return F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False))
-
-    wide = F.transform(F.col(vector_col), lambda x: x.cast("double"))
-    good = rows.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).select(F.col(id_col).alias("vec_id"), wide.alias("wide"))
-    good = good.where(F.forall("wide", usable))
-    vectors = good.select("vec_id", F.transform("wide", lambda x: F.floor(x * scale)).alias("vec"))
-    return vectors.groupBy("vec_id").agg(F.min("vec").alias("vec")).withColumn("dim", F.size("vec"))
-
-
 def choose_pivots(vectors: DataFrame) -> dict[int, np.ndarray]:
     """For each dimension up to ``PIVOTS`` vectors far apart, from a sample of about ``PIVOT_SAMPLE``, and the origin."""
     sample = bounded_sample(vectors, PIVOT_SAMPLE, F.col("vec_id")).orderBy(F.xxhash64("vec_id"), "vec_id").collect()
@@ -70,7 +55,7 @@ def with_distances(vectors: DataFrame, pivots: dict[int, np.ndarray]) -> DataFra
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tables, pa.list_(pa.float64()))], names=[*batch.schema.names, "table"])
 
     kind = dict(vectors.dtypes)["vec_id"]
-    return mapped(vectors, measure, f"vec_id {kind}, vec array<bigint>, dim int, table array<double>")
+    return mapped(vectors.select("vec_id", "vec", "dim", "row"), measure, f"vec_id {kind}, vec array<bigint>, dim int, row long, table array<double>")
 
 
 def _matrix(column: pa.ChunkedArray, kind: type) -> np.ndarray:
@@ -123,12 +108,14 @@ def top_k(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row that ``is_query`` (a condition on ``vec_id``) its ``k`` best other rows.
 
+    Rows that share an id are rows of their own, as queries too.
+
     Scores are inner products of floor(``scale`` * x); equal scores rank by smaller id; vectors of another length than the
     query's take no part. Candidates are dealt into cells and queries into chunks by hashed ids, and every pair of cell and
     chunk is one bounded group, so no task grows with the table; the best of all cells are merged. Vectors that are null or
     hold a null or non-finite component take no part, an empty table gives no rows, other columns are ignored.
     """
-    vectors = materialize(whole_vectors(rows, id_col, vector_col, scale), "vectors")
+    vectors = integer_vectors(rows, vector_col, scale, vec_id=F.col(id_col))
     indexed = materialize(with_distances(vectors, choose_pivots(vectors)), "pivot-table")
     queries = indexed.where(is_query)
     n, m = indexed.count(), queries.count()
@@ -136,7 +123,7 @@ def top_k(
     chunks = max(1, math.ceil(m / min(max(m // SPREAD, CHUNK[0]), CHUNK[1])))
 
     def part(of: int, salt: int) -> Column:
-        return F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(of)).cast("int")
+        return F.pmod(F.xxhash64("row", F.lit(salt)), F.lit(of)).cast("int")
 
     def every(of: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(of - 1)))
@@ -152,20 +139,22 @@ def top_k(
             kind = _exact(x, q)
             x, q = x.astype(kind), q.astype(kind)
             table, rows = _matrix(near["table"], np.float64), _matrix(asked["table"], np.float64)
-            ids = near["vec_id"].to_numpy()
-            asked_ids = asked["vec_id"].to_numpy()
+            ids, own = near["vec_id"].to_numpy(), near["row"].to_numpy()
+            asked_ids, asked_rows = asked["vec_id"].to_numpy(), asked["row"].to_numpy()
             for first in range(0, len(q), block := max(1, BOUNDS // len(x))):
                 above = upper_bounds(table, rows[first : first + block])
                 order = np.argsort(-above, axis=1, kind="stable")
-                for i, query_id in enumerate(asked_ids[first : first + block].tolist()):
-                    others = order[i][ids[order[i]] != query_id]
-                    out += [(query_id, one, score) for score, one in best_of_cell(ids, x, above[i], others, q[first + i], k)]
-        columns = list(zip(*out, strict=True)) or [[], [], []]
-        kinds = (near.schema.field("vec_id").type, near.schema.field("vec_id").type, pa.int64())
-        return pa.table({n: pa.array(list(c), t) for n, c, t in zip(("query_id", "vec_id", "score"), columns, kinds, strict=True)})
+                asking = zip(asked_ids[first : first + block].tolist(), asked_rows[first : first + block].tolist(), strict=True)
+                for i, (query_id, row) in enumerate(asking):
+                    others = order[i][own[order[i]] != row]
+                    out += [(row, query_id, one, score) for score, one in best_of_cell(ids, x, above[i], others, q[first + i], k)]
+        columns = list(zip(*out, strict=True)) or [[], [], [], []]
+        kind = near.schema.field("vec_id").type
+        kinds = (pa.int64(), kind, kind, pa.int64())
+        return pa.table({n: pa.array(list(c), t) for n, c, t in zip(("query", "query_id", "vec_id", "score"), columns, kinds, strict=True)})
 
     keys = ["dim", "cell", "chunk"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, f"query_id {kind}, vec_id {kind}, score long")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, f"query long, query_id {kind}, vec_id {kind}, score long")
+    order = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
