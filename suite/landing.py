@@ -72,7 +72,7 @@ def stream_of(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.readStream.schema(df.schema).parquet(path)
 
 
-def feed_of(df: DataFrame, ts: str, label: str, late: Column | None = None, batches: int = 4, files: int = 4) -> DataFrame:
+def feed_of(df: DataFrame, ts: str, label: str, late: Column | None = None, batches: int = 3, files: int = 2) -> DataFrame:
     """The rows as a stream of several micro-batches in the order of their times; those marked ``late`` come once more a batch later."""
     spark, path = df.sparkSession, fresh_path(df.sparkSession, label)
     rows = df.withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp")))
