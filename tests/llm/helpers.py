@@ -83,12 +83,10 @@ def removed(documents, window):
     return out
 
 
-def backoff_scores(rows, order, vocabulary, least, backoff):
+def backoff_scores(rows, order, least, backoff):
     docs = [(i, WORD.findall((t or "").translate(FOLD))) for i, t in rows]
     single = collections.Counter(w for _, ws in docs for w in ws)
     total = sum(single.values())
-    known = {w for w, n in single.items() if n * vocabulary >= total}
-    docs = [(i, [w if w in known else None for w in ws]) for i, ws in docs]
     seen = [None] + [collections.Counter(tuple(ws[k : k + n]) for _, ws in docs for k in range(len(ws) - n + 1)) for n in range(1, order + 1)]
 
     def score(g):

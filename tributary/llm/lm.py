@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 from tributary.llm.arrow import bytes_of, mapped, mix, slices, words_in
 from tributary.session import materialize
 
-#: None: every word counts as itself. A number: words that make up less than one in so many share a key.
-VOCABULARY: int | None = None
 #: N-grams of several words seen less often back off. What a shorter context is worth.
 LEAST, BACKOFF = 1, 0.4
 #: Of a word that the corpus lacks altogether.
@@ -39,10 +37,9 @@ class Model:
     total: int
     bits: int
     order: int
-    vocabulary: np.ndarray | None
 
 
-def _keys(texts: pa.Array, order: int, vocabulary: np.ndarray | None) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+def _keys(texts: pa.Array, order: int) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
     """By length: a 64-bit key of the n-gram that starts at each word, and whether it lies in one text. The text of each word."""
     words, owners, row = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
     for piece in slices(iter([pa.RecordBatch.from_arrays([texts], names=["text"])])):  # bytes take more room than their words
@@ -51,8 +48,6 @@ def _keys(texts: pa.Array, order: int, vocabulary: np.ndarray | None) -> tuple[l
         owners.append(owner + row)
         row += piece.num_rows
     word, owner = np.concatenate(words), np.concatenate(owners)
-    if vocabulary is not None:
-        word = np.where(np.isin(word, vocabulary), word, np.uint64(0))
     keys, whole = [word], [np.ones(len(word), bool)]
     for n in range(2, order + 1):
         size = max(len(word) - n + 1, 0)
@@ -93,20 +88,6 @@ def _sums(packets: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
     return keys[first], np.add.reduceat(counts, first)
 
 
-def _vocabulary(texts: DataFrame, total: int) -> np.ndarray | None:
-    if VOCABULARY is None:
-        return None
-
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches):
-            found, n = np.unique(words_in(*bytes_of(piece.column("text")), lower=True)[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"])
-
-    counts = mapped(texts, words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    often = counts.where(F.col("n") * VOCABULARY >= total).collect()  # no more than VOCABULARY rows
-    return np.array([r["word"] for r in often], np.int64).view(np.uint64)
-
-
 def train(docs: DataFrame, order: int = 3, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Counts of all n-grams over all documents. Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z folded.
 
@@ -123,18 +104,17 @@ def train(docs: DataFrame, order: int = 3, id_col: str = "doc_id", text_col: str
 
     total = mapped(texts, sizes, "n long").agg(F.sum("n")).first()[0] or 0
     bits = max(BITS, (total // BUCKET).bit_length())
-    vocabulary = _vocabulary(texts, total)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, limit=TOGETHER):
-            yield _counted(piece.column("text"), order, vocabulary, bits)
+            yield _counted(piece.column("text"), order, bits)
 
-    return Model((docs, text_col), mapped(texts, count, "bucket long, keys binary, counts binary"), total, bits, order, vocabulary)
+    return Model((docs, text_col), mapped(texts, count, "bucket long, keys binary, counts binary"), total, bits, order)
 
 
-def _counted(texts: pa.Array, order: int, vocabulary: np.ndarray | None, bits: int) -> pa.RecordBatch:
+def _counted(texts: pa.Array, order: int, bits: int) -> pa.RecordBatch:
     """(bucket, keys, counts): a packet for each bucket that the n-grams of some texts are in."""
-    keys, whole, _ = _keys(texts, order, vocabulary)
+    keys, whole, _ = _keys(texts, order)
     found, n = np.unique(np.concatenate([k[w] for k, w in zip(keys, whole, strict=True)]), return_counts=True)
     bucket, parts, packed = _packets(found, bits)
     n = n.astype(np.uint64)
@@ -228,7 +208,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     get them back in the same order. Texts without words (null, empty, blank) score null; repeated rows score alike; an empty
     table gives no rows; other columns are ignored.
     """
-    order, bits, total, vocabulary = model.order, model.bits, model.total, model.vocabulary
+    order, bits, total = model.order, model.bits, model.total
     kind = dict(docs.dtypes)[id_col]
     table = _slices(docs, id_col, text_col)
 
@@ -237,12 +217,12 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, texts in zip(batch.column("slice").to_pylist(), batch.column("texts"), strict=True):
-                bucket, keys, counts = _counted(texts.values, order, vocabulary, bits).columns
+                bucket, keys, counts = _counted(texts.values, order, bits).columns
                 counts = counts if own else pa.nulls(len(counts), pa.binary())
                 yield pa.RecordBatch.from_arrays([bucket, pa.array([at] * len(bucket), pa.int64()), keys, counts], names=["bucket", "slice", "keys", "counts"])
 
     def scored(ids: pa.Array, texts: pa.Array, answers: list[bytes]) -> pa.RecordBatch:
-        keys, whole, owner = _keys(texts, order, vocabulary)
+        keys, whole, owner = _keys(texts, order)
         n = np.bincount(owner, minlength=len(texts))
         found = np.concatenate([np.zeros(0, np.uint64), *[_unpack(x) for x in answers]])
         log = np.bincount(owner, _values(keys, whole, found, total), len(texts)) if len(owner) else np.zeros(len(texts))
