@@ -17,6 +17,7 @@ from tributary.sources.retention import VersionedTable, expire_bodies, retire_te
 
 
 MID = datetime.datetime(1998, 6, 1)
+MID_MONTH = datetime.datetime(1998, 6, 15, 12)
 
 
 def mid():
@@ -299,11 +300,12 @@ def stale_pending(spark, d):
     return joins.stale_pending(v.chunks(spark, d), mid()).select("id", "created_at")
 
 
-@query("ttl_expire", f"SELECT id, purge_at FROM bodies WHERE purge_at > {SQL_MID}")
+@query("ttl_expire", "SELECT id, purge_at FROM bodies WHERE purge_at > TIMESTAMP '1998-06-15 12:00:00'")
 def ttl_expire(spark, d):
     path = fresh_path(spark, "bodies")
-    tables.write_chunk_bodies(v.chunks(spark, d).select("id", "created_at"), path)
-    expire_bodies(spark, path, MID)
+    # a backlog of years: a folder for each month
+    tables.write_chunk_bodies(v.chunks(spark, d).select("id", "created_at"), path, period="month")
+    expire_bodies(spark, path, MID_MONTH, period="month")
     return spark.read.parquet(path).select("id", "purge_at")
 
 

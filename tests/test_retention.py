@@ -40,6 +40,17 @@ def test_expiry_drops_folders_and_rewrites_the_day(spark, tmp_path):
     assert expire_bodies(spark, path, NOW, list(KEYS)) == {"folders_dropped": 0, "rows_rewritten": 0} and files_below(path) == again
 
 
+def test_expiry_by_month(spark, tmp_path):
+    path = str(tmp_path / "bodies")
+    due = [NOW - timedelta(days=40), NOW - timedelta(days=1), NOW - timedelta(seconds=1), NOW + timedelta(days=20), NOW + timedelta(days=40)]
+    rows = spark.createDataFrame([(k, at - timedelta(days=7)) for k, at in enumerate(due)], "id int, created_at timestamp_ntz")
+    tables.write_chunk_bodies(rows, path, period="month")
+    before = files_below(path)
+    assert expire_bodies(spark, path, NOW, period="month") == {"folders_dropped": 2, "rows_rewritten": 1}
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [3, 4]
+    assert {f for f in before if "2024-03" in f} == {f for f in files_below(path) if "2024-03" in f}
+
+
 def test_bodies_without_a_purge_time_stay(spark, tmp_path):
     path = str(tmp_path / "bodies")
     tables.write_chunk_bodies(spark.createDataFrame([("x", NOW)], "id string, created_at timestamp_ntz"), path, mode="postgres")

@@ -73,14 +73,14 @@ def retire_tenant_folders(spark: SparkSession, tenant: object, tables: dict[str,
     return out
 
 
-def expire_bodies(spark: SparkSession, path: str, as_of: datetime, columns: list[str] | None = None) -> dict[str, int]:
+def expire_bodies(spark: SparkSession, path: str, as_of: datetime, columns: list[str] | None = None, period: str = "day") -> dict[str, int]:
     """Delete what is due at ``as_of`` (a time in the session's zone) from bodies partitioned by ``columns``, ``purge_date`` among them.
 
-    Folders of earlier days are dropped without being read. Of the day itself the rows that are not due yet are written aside first and then
+    Folders of earlier days (or months, if that is the ``period`` they were written by) are dropped without being read. Of the day itself the rows that are not due yet are written aside first and then
     take the folder's place, so that a failure on the way leaves either the old or the new rows. Bodies without a purge time stay.
     """
     columns = columns or ["purge_date"]
-    today = as_of.date().isoformat()
+    today = (as_of.date() if period == "day" else as_of.date().replace(day=1)).isoformat()
     counts = {"folders_dropped": drop_partitions(spark, path, columns, lambda v: v["purge_date"] is not None and v["purge_date"] < today), "rows_rewritten": 0}
     mixed = [(folder, values) for folder, values in partitions_of(spark, path, columns) if values["purge_date"] == today]
     for folder, _ in mixed:

@@ -101,12 +101,19 @@ def chunk_bodies(chunks: DataFrame, mode: str, ttl_days: int = 7) -> DataFrame:
     return chunks.withColumn("purge_at", F.col("created_at") + F.make_dt_interval(F.lit(ttl_days)))
 
 
-def write_chunk_bodies(chunks: DataFrame, path: str, mode: str = "mongo-ttl", ttl_days: int = 7, partition_by: tuple[str, ...] = ("purge_date",)) -> None:
+def period_of(at: Column, period: str = "day") -> Column:
+    """The first day of the day or month of a time."""
+    return F.to_date(at) if period == "day" else F.to_date(F.trunc(at, period))
+
+
+def write_chunk_bodies(
+    chunks: DataFrame, path: str, mode: str = "mongo-ttl", ttl_days: int = 7, partition_by: tuple[str, ...] = ("purge_date",), period: str = "day"
+) -> None:
     """Partitioned by purge date, so that expiry drops whole folders, or by tenant as well or instead, so that retirement does.
 
-    With ``mongo-ttl`` and no backlog there are as many dates as days to live, and one.
+    With ``mongo-ttl`` and no backlog there are as many dates as days to live, and one; a long backlog is better kept by ``month``.
     """
-    bodies = chunk_bodies(chunks, mode, ttl_days).withColumn("purge_date", F.to_date("purge_at"))
+    bodies = chunk_bodies(chunks, mode, ttl_days).withColumn("purge_date", period_of(F.col("purge_at"), period))
     _clustered(bodies, *partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
