@@ -78,12 +78,26 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     _made.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._written_to = path
+    return table
 
 
 _made: dict[str, list[str]] = {}
 
 
+def discard(table: DataFrame) -> None:
+    """Delete a materialized table that nothing will read any more: all that was made of it must be written itself."""
+    spark, path = table.sparkSession, table._written_to
+    _delete(spark, path)
+    _made.get(spark.sparkContext.applicationId, [path]).remove(path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def cleanup(spark: SparkSession) -> int:
     """Delete the tables that this application has materialized; call it when results that read them are written.
 
@@ -91,8 +105,7 @@ def cleanup(spark: SparkSession) -> int:
     """
     paths = _made.pop(spark.sparkContext.applicationId, [])
     for path in paths:
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        _delete(spark, path)
     return len(paths)
 
 
