@@ -14,7 +14,7 @@ from tributary.llm.anchors import GRAM, pieces
 from tributary.llm.anchors import segments as segments_of
 from tributary.llm.arrow import as_row, bytes_of, mapped, mix, slices
 from tributary.llm.suffixes import equal_windows
-from tributary.session import materialize
+from tributary.session import discard, materialize
 
 WINDOW = 100
 #: Bytes in a suffix array shard, and the most different parts under one key that share a shard.
@@ -286,7 +286,9 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     found = materialize(_judged(segments.where(~F.col("repeated")).drop("repeated"), "gram"), "shared")
     tail = F.col("start") + F.col("n") + (window - 1)
     spans = found.where("later").select("ord", "print", F.col("start").alias("begin"), tail.alias("end"))
-    spans = spans.unionByName(segments.where("repeated").select("ord", "print", F.col("start").alias("begin"), tail.alias("end")))
+    again = segments.where("repeated").select("ord", "print", F.col("start").alias("begin"), tail.alias("end"))
+    spans = spans.unionByName(materialize(again, "repeated-spans"))
+    discard(segments)  # the largest table; what is left of it is written
     parts = _parts(long, found.where("several and not later"), window)
     parts = materialize(parts, "parts")
     # of equal parts the first goes on; the others repeat it
