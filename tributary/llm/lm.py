@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -12,16 +12,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.arrow import bytes_of, mapped, mix, slices, words_in
-from tributary.session import materialize
 
 #: N-grams of several words seen less often back off. What a shorter context is worth.
 LEAST, BACKOFF = 1, 0.4
 #: Of a word that the corpus lacks altogether.
 UNSEEN = -12.0
 #: Bytes of text whose n-grams are counted, and looked up, together.
-TOGETHER = 2 << 20
+TOGETHER = 12 << 20
 #: Keys are dealt by their top bits into buckets: so many at least (as a power of two), and of about so many words.
 BITS, BUCKET = 10, 1 << 19
+#: Of differences between keys the low bytes look random and aren't worth compressing.
+PLAIN = 5
 _SCALE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -56,13 +57,22 @@ def _keys(texts: pa.Array, order: int) -> tuple[list[np.ndarray], list[np.ndarra
     return keys, whole, owner
 
 
-def _pack(x: np.ndarray) -> bytes:
-    """64-bit integers byte by byte, highest bytes together: what is small compresses."""
-    return x.view(np.uint8).reshape(-1, 8).T.tobytes()
+def _pack(x: np.ndarray, plain: int = 0) -> bytes:
+    """64-bit integers byte by byte, after their number: ``plain`` low bytes as they are, the others compressed."""
+    by = x.view(np.uint8).reshape(-1, 8).T
+    return len(x).to_bytes(4, "little") + by[:plain].tobytes() + pa.compress(by[plain:].tobytes(), "zstd", asbytes=True)
 
 
-def _unpack(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+def _unpack(raw: bytes, plain: int = 0) -> np.ndarray:
+    n = int.from_bytes(raw[:4], "little")
+    by = np.empty((8, n), np.uint8)
+    by[:plain] = np.frombuffer(raw, np.uint8, plain * n, 4).reshape(plain, n)
+    by[plain:] = np.frombuffer(pa.decompress(raw[4 + plain * n :], (8 - plain) * n, "zstd"), np.uint8).reshape(8 - plain, n)
+    return np.ascontiguousarray(by.T).view(np.uint64).ravel()
+
+
+def _unpacked_keys(raw: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(raw, PLAIN), dtype=np.uint64)
 
 
 def _packets(keys: np.ndarray, bits: int) -> tuple[np.ndarray, list[slice], list[bytes]]:
@@ -73,14 +83,14 @@ def _packets(keys: np.ndarray, bits: int) -> tuple[np.ndarray, list[slice], list
     step[1:] -= keys[:-1]
     step[first] = keys[first]
     parts = [slice(a, b) for a, b in zip(first.tolist(), [*first[1:].tolist(), len(keys)], strict=False)]
-    return bucket[first], parts, [_pack(step[p]) for p in parts]
+    return bucket[first], parts, [_pack(step[p], PLAIN) for p in parts]
 
 
 def _sums(packets: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys of some packets in order, and their counts summed."""
     if not packets:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    keys = np.concatenate([np.cumsum(_unpack(k), dtype=np.uint64) for k, _ in packets])
+    keys = np.concatenate([_unpacked_keys(k) for k, _ in packets])
     counts = np.concatenate([_unpack(c) for _, c in packets])
     order = np.argsort(keys, kind="stable")  # runs in order are merged
     keys, counts = keys[order], counts[order]
@@ -124,17 +134,10 @@ def _counted(texts: pa.Array, order: int, bits: int) -> pa.RecordBatch:
 
 
 def _slices(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(slice, ids, texts): some MB of rows in one. Written, so that whoever reads it finds the same slices."""
-    kind = dict(docs.dtypes)[id_col]
+    """(slice, id, text): about ``TOGETHER`` bytes of rows in a slice, by a hash of id and text, so that every scan finds the same slices."""
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, limit=TOGETHER):
-            ends = pa.array([0, piece.num_rows], pa.int32())
-            columns = [pa.ListArray.from_arrays(ends, piece.column(c)) for c in ("id", "text")]
-            yield pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().int >> 65], pa.int64()), *columns], names=["slice", "ids", "texts"])
-
-    return materialize(mapped(texts, cut, f"slice long, ids array<{kind}>, texts array<string>"), "slices")
+    size = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    return texts.select(F.pmod(F.xxhash64("id", "text"), F.lit(max(1, math.ceil(size / TOGETHER)))).alias("slice"), "id", "text")
 
 
 def _answers(packets: DataFrame) -> DataFrame:
@@ -144,7 +147,7 @@ def _answers(packets: DataFrame) -> DataFrame:
     """
 
     def found(table: tuple[np.ndarray, np.ndarray], keys: bytes) -> bytes:
-        want = np.cumsum(_unpack(keys), dtype=np.uint64)
+        want = _unpacked_keys(keys)
         if not len(table[0]):
             return _pack(np.zeros(len(want), np.uint64))
         place = np.minimum(np.searchsorted(table[0], want), len(table[0]) - 1)
@@ -183,7 +186,9 @@ def _answers(packets: DataFrame) -> DataFrame:
 
 def _values(keys: list[np.ndarray], whole: list[np.ndarray], found: np.ndarray, total: int) -> np.ndarray:
     """The log10 score of each word, from the counts of the distinct keys in order."""
-    place = np.unique(np.concatenate([k[w] for k, w in zip(keys, whole, strict=True)]), return_inverse=True)[1]
+    distinct, place = np.unique(np.concatenate([k[w] for k, w in zip(keys, whole, strict=True)]), return_inverse=True)
+    if len(distinct) != len(found):
+        raise RuntimeError("a slice was asked with other rows than it is scored with")
     step, at = float(np.log10(BACKOFF)), 0
     shorter = value = np.zeros(0)
     for n, same in enumerate(whole, 1):
@@ -205,7 +210,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     A word's score is the share of its longest context that it follows, if that n-gram was seen ``LEAST`` times; otherwise that
     of the next shorter context times ``BACKOFF``. Some MB of rows ask each bucket for the counts of their distinct n-grams, and
-    get them back in the same order. Texts without words (null, empty, blank) score null; repeated rows score alike; an empty
+    get them back in the same order. Asking and scoring group the rows alike, so texts are shuffled once and read from there
+    again. Texts without words (null, empty, blank) score null; repeated rows score alike (and lie in one slice); an empty
     table gives no rows; other columns are ignored.
     """
     order, bits, total = model.order, model.bits, model.total
@@ -214,38 +220,25 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     own = model.source[0] is docs and model.source[1] == text_col
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at, texts in zip(batch.column("slice").to_pylist(), batch.column("texts"), strict=True):
-                bucket, keys, counts = _counted(texts.values, order, bits).columns
-                counts = counts if own else pa.nulls(len(counts), pa.binary())
-                yield pa.RecordBatch.from_arrays([bucket, pa.array([at] * len(bucket), pa.int64()), keys, counts], names=["bucket", "slice", "keys", "counts"])
+    def joined(column: pa.ChunkedArray) -> pa.Array:
+        return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
 
-    def scored(ids: pa.Array, texts: pa.Array, answers: list[bytes]) -> pa.RecordBatch:
+    def ask(rows: pa.Table) -> pa.Table:
+        bucket, keys, counts = _counted(joined(rows["text"]), order, bits).columns
+        at = pa.array(np.full(len(bucket), rows["slice"][0].as_py(), np.int64))
+        return pa.table({"bucket": bucket, "slice": at, "keys": keys, "counts": counts if own else pa.nulls(len(bucket), pa.binary())})
+
+    def scored(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        ids, texts = joined(rows["id"]), joined(rows["text"])
         keys, whole, owner = _keys(texts, order)
         n = np.bincount(owner, minlength=len(texts))
-        found = np.concatenate([np.zeros(0, np.uint64), *[_unpack(x) for x in answers]])
+        told = answers.sort_by("bucket")["counts"].to_pylist()  # in the order of the slice's keys
+        found = np.concatenate([np.zeros(0, np.uint64), *[_unpack(x) for x in told]])
         log = np.bincount(owner, _values(keys, whole, found, total), len(texts)) if len(owner) else np.zeros(len(texts))
         mean = pa.array(np.round(log / np.maximum(n, 1), 9), mask=n == 0)
-        return pa.RecordBatch.from_arrays([ids, pa.array(n.astype(np.int64)), mean], names=["doc_id", "n_words", "score"])
+        return pa.table({"doc_id": ids, "n_words": pa.array(n.astype(np.int64)), "score": mean})
 
-    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, answers = None, []
-        for batch in batches:
-            for k, (bucket, x) in enumerate(zip(batch.column("bucket").to_pylist(), batch.column("counts").to_pylist(), strict=True)):
-                if bucket >= 0:
-                    answers.append(x)
-                    continue
-                if rows is not None:
-                    yield scored(*rows, answers)
-                rows, answers = (batch.column("ids")[k].values, batch.column("texts")[k].values), []
-        if rows is not None:
-            yield scored(*rows, answers)
-
-    packets = mapped(table.select("slice", "texts"), ask, "bucket long, slice long, keys binary, counts binary")
+    packets = table.groupBy("slice").applyInArrow(ask, "bucket long, slice long, keys binary, counts binary")
     # the corpus itself sends its n-grams once, to be counted and to ask
     answers = _answers(packets if own else packets.unionByName(model.counts.withColumn("slice", F.lit(None).cast("long"))))
-    rows = table.select("slice", F.lit(-1).cast("long").alias("bucket"), "ids", "texts").unionByName(answers, allowMissingColumns=True)
-    # a slice's rows, then its answers by bucket: in the order of its keys
-    dealt = rows.select("slice", "bucket", "ids", "texts", "counts").repartition("slice").sortWithinPartitions("slice", "bucket")
-    return mapped(dealt, add_up, f"doc_id {kind}, n_words long, score double")
+    return table.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(scored, f"doc_id {kind}, n_words long, score double")
