@@ -127,7 +127,7 @@ def reuse_stats(spark, d):
 @query("failure_burst", """SELECT seq, destination, n AS recent_failures, n >= 20 AS burst FROM (SELECT *, count(*) FILTER (WHERE NOT ok) OVER
   (PARTITION BY destination ORDER BY ts RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW) AS n FROM calls)""")
 def failure_burst(spark, d):
-    return throttle.failure_burst(v.calls(spark, d), DAY, 20)
+    return throttle.failure_burst(v.calls(spark, d), DAY, 20, ties_together=True)
 
 
 @query("destination_health", """SELECT destination, count(*) FILTER (WHERE NOT ok) AS failures, count(*) FILTER (WHERE ok) AS successes, count(*) AS total_requests,

@@ -2,6 +2,7 @@
 
 import bisect
 import hashlib
+import os
 import random
 from collections import deque
 from datetime import datetime, timedelta
@@ -182,6 +183,34 @@ def test_failure_burst(events, window):
     assert all(r["burst"] == (r["recent_failures"] >= 5) for r in got)
 
 
+def test_failure_burst_query_with_equal_times(spark, tmp_path):
+    """Copies of the events under other numbers and users of the same destination, as SQL frames them."""
+    from suite.compare import difference, duck
+    from suite.q_order import failure_burst
+    from suite.registry import ORACLES
+
+    rows = [(k, T0 + timedelta(hours=7 * (k % 25 // 2)), k % 25 * 10, "error" if k % 3 else "view", 0.0, "{}") for k in range(100)]
+    types = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    spark.createDataFrame(rows, types).coalesce(1).write.parquet(str(tmp_path / "events"))
+    os.replace(next((tmp_path / "events").glob("part-*.parquet")), tmp_path / "events.parquet")
+    assert difference(spark, duck(str(tmp_path)), str(tmp_path), failure_burst, ORACLES["failure_burst"]) is None
+
+
+def test_failure_burst_at_equal_times(spark):
+    """Calls of one time see each other; calls that share a number, or have no time or outcome, have an answer each."""
+    late = T0 + timedelta(seconds=61)
+    rows = [("d", T0, 2, False), ("d", T0, 1, False), ("d", T0, 3, True), ("d", T0, 3, True), ("e", T0, 1, None), ("d", late, 4, False)]
+    rows += [("d", None, 5, False), ("d", None, 6, True), (None, T0, 7, False), (None, T0, 8, None)]
+    calls = spark.createDataFrame(rows, "destination string, ts timestamp, seq bigint, ok boolean")
+    got = throttle.failure_burst(calls, 60, 2, ties_together=True).collect()
+    assert sorted(((r["seq"], r["destination"] or "", r["recent_failures"], r["burst"]) for r in got)) == [
+        (1, "d", 2, True), (1, "e", 0, False), (2, "d", 2, True), (3, "d", 2, True), (3, "d", 2, True), (4, "d", 1, False),
+        (5, "d", 1, False), (6, "d", 1, False), (7, "", 1, False), (8, "", 1, False),
+    ]
+    got = throttle.failure_burst(calls, 60, 2).where("destination = 'd'").collect()
+    assert sorted((r["seq"], r["recent_failures"]) for r in got) == [(1, 1), (2, 2), (3, 2), (3, 2), (4, 1), (5, 1), (6, 1)]
+
+
 def test_destination_health(events):
     rows, df = events
     calls = df.select(F.coalesce("key", F.lit("none")).alias("destination"), "ts", "seq", (F.col("seq") % 7 != 0).alias("ok"))

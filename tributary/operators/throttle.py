@@ -181,24 +181,30 @@ def request_reuse(requests: DataFrame, key: str, ts: str, seq: str, ttl_seconds:
     return sequential_fold(requests, key, ts, seq, ReuseWindow(ttl_seconds))
 
 
-def failure_burst(calls: DataFrame, window_seconds: int = 60, threshold: int = 5) -> DataFrame:
+def failure_burst(calls: DataFrame, window_seconds: int = 60, threshold: int = 5, ties_together: bool = False) -> DataFrame:
     """Failures of a destination in the trailing window at every call, and whether they reach the threshold.
 
-    Each call contributes itself and a probe at the far end of its window. One running total over both
-    gives the failures up to the call and those before the window; their difference is the answer.
+    Calls of one time follow each other by ``seq``; with ``ties_together`` they all see each other, as a SQL frame by range has it.
+    Calls without a time only see each other, and one without an outcome has not failed.
+
+    Calls that share a place are counted as one row. Each such row contributes itself and a probe at the far end of its window. One
+    running total over both gives the failures up to it and those before the window; their difference is the answer of all its calls.
     """
-    t = F.unix_micros(F.col("ts").cast("timestamp"))
-    fail = F.when(F.col("ok"), 0).otherwise(1)
-    call = calls.select("destination", t.alias("_t"), F.lit(1).alias("_kind"), "seq", fail.alias("_fail"))
-    probe = call.select(
-        "destination", (F.col("_t") - window_seconds * SECOND).alias("_t"), F.lit(0).alias("_kind"), "seq",
-        F.lit(0).alias("_fail"),
-    )
+    place = ["_t"] if ties_together else ["_t", "seq"]
+    timed = calls.withColumn("_t", F.unix_micros(F.col("ts").cast("timestamp")))
+    placed = timed.groupBy("destination", *place).agg(F.count_if(~F.col("ok")).alias("_fail")).withColumn("_of", F.col("_t"))
+    probe = placed.withColumns({"_t": F.col("_t") - window_seconds * SECOND, "_fail": F.lit(0).cast("long"), "_kind": F.lit(0)})
     total = running_sum(
-        call.unionByName(probe), F.col("_fail"), [F.col("_t"), F.col("_kind"), F.col("seq")], ["destination"], "_sum"
+        placed.withColumn("_kind", F.lit(1)).unionByName(probe), F.col("_fail"),
+        [F.col("_t"), F.col("_kind"), *(F.col(c) for c in place[1:])], ["destination"], "_sum",
     )
     signed = F.when(F.col("_kind") == 1, F.col("_sum")).otherwise(-F.col("_sum"))
-    return total.groupBy("seq", "destination").agg(F.sum(signed).alias("recent_failures")).withColumn("burst", F.col("recent_failures") >= threshold)
+    answer = total.groupBy("destination", "_of", *place[1:]).agg(F.sum(signed).alias("recent_failures"))
+    named = answer.select(*[F.col(c).alias(f"_a_{c}") for c in ("destination", "_of", *place[1:])], "recent_failures")
+    same = timed["destination"].eqNullSafe(named["_a_destination"]) & timed["_t"].eqNullSafe(named["_a__of"])
+    for c in place[1:]:
+        same = same & timed[c].eqNullSafe(named[f"_a_{c}"])
+    return timed.join(named, same).select("seq", "destination", "recent_failures", (F.col("recent_failures") >= threshold).alias("burst"))
 
 
 def backoff_seconds(attempt: Column, base: float = 1.0, maximum: float = 60.0) -> Column:
