@@ -62,3 +62,16 @@ def test_ephemeral_mode_stores_nothing(spark):
     rows = spark.createDataFrame([(1, "x")], "id int, content string").withColumn("created_at", F.lit("2024-01-01").cast("timestamp"))
     assert tables.chunk_bodies(rows, "ephemeral").count() == 0
     assert tables.chunk_bodies(rows, "postgres").first()["purge_at"] is None
+
+
+def test_the_listing_query_keeps_large_files_and_every_folder(spark, tmp_path):
+    from suite.compare import difference, duck
+    from suite.q_sources import scan_local_files as listing
+    from suite.registry import ORACLES
+
+    rows = [(0, "x" * 20000, "en", "s1", 20000), (48, "y", "en", "s1", 1), (72, "hidden", "en", "s1", 6)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").coalesce(1).write.parquet(str(tmp_path / "d"))
+    os.replace(next((tmp_path / "d").glob("part-*.parquet")), tmp_path / "documents.parquet")
+    got = {r["path"]: r["size"] for r in listing(spark, str(tmp_path)).collect()}
+    assert got == {"src/doc_0.py": 20000, "node_modules/doc_48.py": 1}
+    assert difference(spark, duck(str(tmp_path)), str(tmp_path), listing, ORACLES["scan_local_files"]) is None
