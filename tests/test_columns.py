@@ -90,6 +90,15 @@ def test_base64(spark, raw, by_id, by_path):
     assert one(spark, k.decode_base64(F.col("r"), by_path=True), r=raw) == by_path
 
 
+def test_base64_cleans_only_what_does_not_decode(spark):
+    """The search for characters outside the alphabet stands once in the plan, and only behind the plain decoder."""
+    rows = spark.createDataFrame([("aGVsbG8=",), ("a*GVsbG8=",), ("aGVs\r\nbG8=\n",), ("aGVsbG8",), (None,)], "r string")
+    got = rows.select("r", k.decode_base64(F.col("r")).alias("t"))
+    assert [r["t"] for r in got.collect()] == ["hello", "hello", "hello", "hello", None]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 1 and plan.index("replace(replace(r") < plan.index("regexp_replace")
+
+
 def test_text_fallback(spark):
     rows = spark.createDataFrame([(bytearray("ü".encode()),), (bytearray(b"\xfc!"),), (None,)], "raw binary")
     assert [r[0] for r in rows.select(k.decode_text(F.col("raw"))).collect()] == ["ü", "ü!", ""]
