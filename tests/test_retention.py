@@ -73,6 +73,24 @@ def test_a_retired_tenant_leaves_other_files_alone(spark, tmp_path):
     assert {v["tenant_id"] for _, v in partitions_of(spark, stored, ["tenant_id"])} == {"a", None}
 
 
+def test_many_rows_for_few_tenants_are_written_in_place(spark, tmp_path):
+    """Each of four tasks leaves its part in each folder, so nothing is shuffled; few rows or many tenants are brought together."""
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting)
+    rows = spark.range(0, 1_200_000, 1, 4).select(F.col("id").cast("string").alias("id"), (F.col("id") % 3).alias("tenant_id"), F.lit(NOW).alias("created_at"))
+    path = str(tmp_path / "bodies")
+    tables.write_chunk_bodies(rows, path, partition_by=("tenant_id",))
+    assert len(files_below(path)) == 12 and spark.conf.get(setting) == before
+    got = spark.read.parquet(path).groupBy("tenant_id").agg(F.count("id").alias("n"), F.countDistinct("id").alias("d")).collect()
+    assert sorted(map(tuple, got)) == [(t, 400_000, 400_000) for t in range(3)]
+    out = retire_tenant_folders(spark, 1, {"bodies": (spark.read.parquet(path), path, ["tenant_id"])})
+    assert [tuple(r) for r in out.collect()] == [("bodies", 400_000)] and len(files_below(path)) == 8
+    few, many = str(tmp_path / "few"), str(tmp_path / "many")
+    tables.write_chunk_bodies(rows.where("id < 300000 or id >= 1199000"), few, partition_by=("tenant_id",))
+    tables.write_chunk_bodies(rows.withColumn("tenant_id", F.col("id").cast("long") % 40), many, partition_by=("tenant_id",))
+    assert len(files_below(few)) == 3 and len(files_below(many)) == 40
+
+
 def test_versions_swap_whole(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "jobs"))
     with pytest.raises(FileNotFoundError):

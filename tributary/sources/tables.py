@@ -31,6 +31,33 @@ def _clustered(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in columns])
 
 
+#: From so many rows into so few folders on, tasks write the folders themselves; each may have a file in each of them open.
+UNSHUFFLED_ROWS, OPEN_FOLDERS = 1_000_000, 32
+
+
+def _write_folders(rows: DataFrame, columns: tuple[str, ...], path: str, mode: str) -> None:
+    """Rows into a folder for each value of ``columns``.
+
+    Many rows for few folders are written where they are, without a shuffle or a sort: every task leaves a large file in each folder.
+    All others are brought together first, as a file for each task and folder would be a small one.
+    """
+    spark, setting = rows.sparkSession, "spark.sql.maxConcurrentOutputFileWriters"
+    folders = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+    found = folders.agg(F.count(F.lit(1)).alias("folders"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
+    if found["folders"] > OPEN_FOLDERS or found["n"] < UNSHUFFLED_ROWS:
+        _clustered(rows, *columns).write.mode(mode).partitionBy(*columns).parquet(path)
+        return
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, str(OPEN_FOLDERS))
+    try:
+        rows.write.mode(mode).partitionBy(*columns).parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(setting)
+        else:
+            spark.conf.set(setting, before)
+
+
 def write_state(df: DataFrame, table: str, path: str, mode: str = "append") -> None:
     """Write rows of a state table; missing columns become null, extra ones are dropped.
 
@@ -41,7 +68,7 @@ def write_state(df: DataFrame, table: str, path: str, mode: str = "append") -> N
     cols = [(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]
     rows = df.select(*cols)
     if table == "chunks":
-        _clustered(rows, "tenant_id").write.mode(mode).partitionBy("tenant_id").parquet(path)
+        _write_folders(rows, ("tenant_id",), path, mode)
     else:
         rows.write.mode(mode).parquet(path)
 
@@ -114,7 +141,7 @@ def write_chunk_bodies(
     With ``mongo-ttl`` and no backlog there are as many dates as days to live, and one; a long backlog is better kept by ``month``.
     """
     bodies = chunk_bodies(chunks, mode, ttl_days).withColumn("purge_date", period_of(F.col("purge_at"), period))
-    _clustered(bodies, *partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
+    _write_folders(bodies, partition_by, path, "append")
 
 
 def live_bodies(bodies: DataFrame, as_of: Column) -> DataFrame:
