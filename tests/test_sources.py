@@ -58,6 +58,15 @@ def test_state_round_trip(spark):
     assert back.count() == 2
 
 
+def test_many_chunks_of_few_tenants_are_written_in_place(spark, tmp_path):
+    path = str(tmp_path / "chunks")
+    rows = spark.range(0, 1_200_000, 1, 4).select(F.col("id").cast("string").alias("id"), F.when(F.col("id") % 2 == 0, "t").alias("tenant_id"))
+    tables.write_state(rows, "chunks", path)
+    assert sum(n.endswith(".parquet") for _, _, names in os.walk(path) for n in names) == 8
+    got = tables.read_state(spark, "chunks", path).groupBy("tenant_id").agg(F.count("id"), F.countDistinct("id")).collect()
+    assert {tuple(r) for r in got} == {("t", 600_000, 600_000), (None, 600_000, 600_000)}
+
+
 def test_ephemeral_mode_stores_nothing(spark):
     rows = spark.createDataFrame([(1, "x")], "id int, content string").withColumn("created_at", F.lit("2024-01-01").cast("timestamp"))
     assert tables.chunk_bodies(rows, "ephemeral").count() == 0
