@@ -174,3 +174,29 @@ def test_failure_windows(spark):
     calls = spark.readStream.schema("destination string, ts timestamp, ok boolean").parquet(path)
     got = drained(st.stream_failure_burst(calls, threshold=5)).collect()
     assert {(r["window_end"] - T0).total_seconds() for r in got} == {10.0, 20.0, 30.0, 40.0, 50.0, 60.0}
+
+
+def test_keys_share_state_rows_and_are_judged_in_order(spark, monkeypatch):
+    """Many keys, one of them null and some beyond a double, whose rows come unordered in small frames: verdicts are those of the batch operators."""
+    monkeypatch.setattr(st, "SHARDS", 4, raising=False)
+    rng = random.Random(11)
+    names = [None, 2**60, 2**60 + 1, *range(40)]
+    rows = [(rng.choice(names), T0 + timedelta(seconds=rng.randrange(3000)), k) for k in range(3000)]
+    rows = sorted(rows, key=lambda r: (r[1] >= T0 + timedelta(seconds=1500), rng.random()))  # ordered between batches only
+    schema, path = "key bigint, ts timestamp, seq bigint", fresh_path(spark, "shards")
+    cut = sum(r[1] < T0 + timedelta(seconds=1500) for r in rows)
+    for part in (rows[:cut], rows[cut:]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(path)
+    batch, setting = spark.createDataFrame(rows, schema), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    feed = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    spark.conf.set(setting, "30")
+    try:
+        got, seen = run_with_progress(st.stream_throttle(feed, "key", "ts", "seq", 2, 60))
+        first, seen2 = run_with_progress(st.stream_dedup_expiring(feed, "key", "ts", "seq", 100))
+    finally:
+        spark.conf.unset(setting)
+    want = throttle.throttle_sliding(batch, "key", "ts", "seq", 2, 60).collect()
+    assert sorted((r["seq"], r["key"] or 0, r["allowed"]) for r in got) == sorted((r["seq"], r["key"] or 0, r["allowed"]) for r in want)
+    want = dedup.rotating_dedup(batch, "key", "ts", "seq", 100).where("not is_duplicate").collect()
+    assert sorted((r["seq"], r["key"] or 0) for r in first) == sorted((r["seq"], r["key"] or 0) for r in want)
+    assert max(states(seen)) <= 4 and max(states(seen2)) <= 4
