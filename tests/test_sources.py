@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tributary.session import fresh_path
@@ -67,6 +68,18 @@ def test_many_chunks_of_few_tenants_are_written_in_place(spark, tmp_path):
     assert {tuple(r) for r in got} == {("t", 600_000, 600_000), (None, 600_000, 600_000)}
 
 
+@pytest.mark.parametrize(("table", "least"), [("file_blobs", 0), ("chunks", 1_000_000), ("chunks", 0)])
+def test_stored_hashes_take_half_their_length(spark, tmp_path, monkeypatch, table, least):
+    """Written plainly, with folders brought together, and with folders in place; a hash of 64 digits holds 32 bytes."""
+    monkeypatch.setattr(tables, "UNSHUFFLED_ROWS", least)
+    path, n = str(tmp_path / table), 200_000
+    rows = spark.range(0, n, 1, 2).select(F.sha2(F.col("id").cast("string"), 256).alias("content_hash"), (F.col("id") % 2).alias("tenant_id"))
+    tables.write_state(rows, table, path)
+    assert sum(os.path.getsize(os.path.join(at, f)) for at, _, names in os.walk(path) for f in names if f.endswith(".parquet")) < 40 * n
+    back = tables.read_state(spark, table, path).select("content_hash", F.col("tenant_id").cast("long"))
+    assert back.exceptAll(rows).isEmpty() and rows.exceptAll(back).isEmpty()
+
+
 def test_ephemeral_mode_stores_nothing(spark):
     rows = spark.createDataFrame([(1, "x")], "id int, content string").withColumn("created_at", F.lit("2024-01-01").cast("timestamp"))
     assert tables.chunk_bodies(rows, "ephemeral").count() == 0
