@@ -3,6 +3,7 @@
 import json
 import os
 from datetime import datetime, timedelta
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -44,6 +45,75 @@ def test_links_in_a_circle_end(spark, tmp_path):
         local_files.walk_tree(spark, str(tmp_path / "missing"))
 
 
+def walked(base):
+    """What a plain walk finds, without hidden names."""
+    found = []
+    for at, folders, names in os.walk(base, followlinks=True):
+        folders[:] = [d for d in folders if not d.startswith(".")]
+        found += [os.path.relpath(os.path.join(at, n), base) for n in names if not n.startswith(".")]
+    return sorted(found)
+
+
+def in_rounds(base):
+    """What the listing finds when its rounds run in this process, and the number of rounds."""
+    ahead, found, rounds = [(str(base), [])], [], 0
+    while ahead:
+        rows = [r for given, above in ahead for r in local_files._near(given, above)]
+        found += [os.path.relpath(os.path.join(at, name), base) for at, name, *_ in rows if name is not None]
+        ahead, rounds = [(at, way) for at, name, _, _, way in rows if name is None], rounds + 1
+    return sorted(found), rounds
+
+
+def test_files_at_any_depth_are_listed(spark, tmp_path):
+    tree(tmp_path, [f"{'d/' * k}{name}" for k in range(151) for name in ("a.txt", "b.py", "side/c.md", ".hidden/d.py", *(f"{n}.js" for n in range(9)))])
+    got = sorted(r["path"] for r in local_files.scan_local_files(spark, str(tmp_path)).collect())
+    assert got == walked(tmp_path) and len(got) == 151 * 12
+    assert max(p.count("/") for p in got) == 151
+
+
+def test_each_round_lists_some_entries_further_down(tmp_path, monkeypatch):
+    tree(tmp_path, [f"{'d/' * k}{name}" for k in range(80) for name in ("a.txt", "side/b.txt")] + [f"big/{n}.txt" for n in range(300)])
+    every = walked(tmp_path)
+    assert in_rounds(tmp_path) == (every, 1)
+    for near, rounds in ((200, 5), (100, 10), (1, 81)):
+        monkeypatch.setattr(local_files, "NEAR", near)
+        got, n = in_rounds(tmp_path)
+        assert got == every and n <= rounds
+    monkeypatch.setattr(local_files, "NEAR", 200)
+    rows = list(local_files._near(str(tmp_path), []))
+    assert str(tmp_path / "big") in [at for at, name, *_ in rows if name is None] and len(rows) < 300  # left for a row of its own
+
+
+def test_links_are_followed_unless_they_lead_back(spark, tmp_path):
+    base = tmp_path / "outer" / "base"
+    tree(base, ["a/x.txt", "b/c/y.txt", "ab/z.txt", "deep/" + "e/" * 70 + "f.txt"])
+    os.symlink(base / "b", base / "a" / "to_b")
+    os.symlink(base / "a", base / "b" / "c" / "to_a")
+    os.symlink(base / "a", base / "ab" / "to_a")  # "a" begins "ab", but isn't above it
+    os.symlink(tmp_path / "outer", base / "b" / "up")
+    os.symlink("self.txt", base / "self.txt")
+    got = {r["path"]: (r["size"], r["updated_at"] is None) for r in local_files.scan_local_files(spark, str(base)).collect()}
+    assert got.pop("self.txt") == (0, True)
+    assert sorted(got) == sorted([
+        "a/x.txt", "a/to_b/c/y.txt", "b/c/y.txt", "b/c/to_a/x.txt", "ab/z.txt", "ab/to_a/x.txt", "ab/to_a/to_b/c/y.txt", "deep/" + "e/" * 70 + "f.txt",
+    ])
+    assert in_rounds(base)[0] == sorted([*got, "self.txt"])
+
+
+def test_numbers_of_devices_and_files_leave_nothing_out(tmp_path, monkeypatch):
+    """Mounts may number their directories otherwise on each executor."""
+    tree(tmp_path, ["a.txt", "x/b.txt", "x/y/c.txt"])
+    stat = os.stat
+
+    def alike(path, **how):
+        s = stat(path, **how)
+        return SimpleNamespace(st_dev=7, st_ino=7, st_mode=s.st_mode, st_size=s.st_size, st_mtime_ns=s.st_mtime_ns)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(os, "stat", alike)
+        assert in_rounds(tmp_path)[0] == ["a.txt", "x/b.txt", "x/y/c.txt"]
+
+
 def test_a_flat_directory_is_read_in_even_parts(spark, tmp_path, monkeypatch):
     tree(tmp_path, [f"f{k:05d}.txt" for k in range(3000)])
     files = local_files.walk_tree(spark, str(tmp_path))
